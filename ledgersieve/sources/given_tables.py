@@ -1,0 +1,175 @@
+"""Transactions and reference tables derived from order and customer tables.
+
+Two fact sets, one row per order, so that all work grows with the tables:
+
+* ``order_transactions``: generated rows for the seeded reference tables, with
+  every 97th rows changed to edge cases (bad amounts, case, blanks, padding)
+* ``customer_transactions``: transfers between the customers, checked against
+  accounts, banks and limits made from customer and nation
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ..fixed_values import TRANSACTION_FIELDS
+from ..plans.validation import References
+from .generated import generate_transactions
+
+_UNLIMITED_PRIORITY = "4-NOT SPECIFIED"
+# type, minimum, maximum, currency, order
+_PRIORITY_LIMITS = [
+    ("1-URGENT", "5000", "400000", "IDR", 0),
+    ("2-HIGH", "5000", "400000", "IDR", 1),
+    ("3-MEDIUM", "5000", "400000", "IDR", 2),
+    ("5-LOW", "5000", "400000", "IDR", 3),
+]
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def order_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"))
+
+
+def order_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw transactions with edge cases, plus ``id``."""
+    made = generate_transactions(order_ids(spark, folder))
+    edge = F.col("id") % 97
+    limits = {"TRANSFER": 1_000_000_000, "PAYMENT": 500_000_000, "TOPUP": 50_000_000, "WITHDRAWAL": 20_000_000}
+    too_much = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])[F.col("transactionType")] + 1
+
+    def changed(name: str, cases: dict[int, Column]) -> Column:
+        column = F.when(edge == 6, F.concat(F.lit("  "), F.col(name), F.lit("  ")))
+        for number, value in cases.items():
+            column = column.when(edge == number, value)
+        return column.otherwise(F.col(name)).alias(name)
+
+    cases = {
+        "amount": {
+            0: F.lit("abc"), 1: too_much.cast("string"), 8: F.lit("9999.99999"), 9: F.lit(""),
+        },
+        "transactionType": {2: F.lit("REFUND"), 7: F.lower("transactionType")},
+        "sourceBankCode": {3: F.lower("sourceBankCode")},
+        "beneficiaryBankCode": {3: F.lower("beneficiaryBankCode")},
+        "sourceAccount": {4: F.lit("")},
+        "beneficiaryAccount": {5: F.col("sourceAccount")},
+    }
+    return made.select("id", *[changed(name, cases.get(name, {})) for name in TRANSACTION_FIELDS])
+
+
+def customer_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    balance = F.col("c_acctbal")
+    return table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("accountNumber"),
+        F.col("c_name").alias("accountName"),
+        _customer_bank(F.col("c_custkey")).alias("bankCode"),
+        F.when(balance < -500, "BLOCKED").when(balance < 0, "INACTIVE").otherwise("ACTIVE").alias("status"),
+    )
+
+
+def nation_banks(spark: SparkSession, folder: str) -> DataFrame:
+    return (
+        table(spark, folder, "nation")
+        .filter("n_regionkey <> 4")
+        .select(
+            F.col("n_name").alias("code"),
+            F.concat(F.lit("Bank of "), F.col("n_name")).alias("name"),
+            F.col("n_nationkey").alias("ord"),
+        )
+    )
+
+
+def priority_limits(spark: SparkSession, folder: str) -> DataFrame:
+    """Limits of the order priorities in use; one priority has none, so it is an unknown type."""
+    priority = F.col("o_orderpriority")
+    used = table(spark, folder, "orders").filter(priority != _UNLIMITED_PRIORITY).select(priority).distinct()
+    return used.select(
+        priority.alias("transactionType"),
+        F.lit("5000").alias("minAmount"),
+        F.lit("400000").alias("maxAmount"),
+        F.lit("IDR").alias("currency"),
+        F.substring(priority, 1, 1).cast("int").alias("ord"),
+    )
+
+
+def customer_references(spark: SparkSession, folder: str) -> References:
+    limits = spark.createDataFrame(_PRIORITY_LIMITS, "transactionType string, minAmount string, maxAmount string, currency string, ord int")
+    return References(nation_banks(spark, folder), limits, customer_accounts(spark, folder))
+
+
+def customer_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """One raw transfer per order, from its customer to another; some name no customer."""
+    customers = table(spark, folder, "customer").agg(F.count("*")).scalar()
+    orders = table(spark, folder, "orders")
+    source = F.col("o_custkey")
+    beneficiary = (source * 31 + 7) % (customers + 20)
+    lower_case = F.col("o_orderkey") % 10 == 3
+    source_bank = _customer_bank(source)
+    return orders.select(
+        F.format_string("ORD-%d", "o_orderkey").alias("referenceId"),
+        source.cast("string").alias("sourceAccount"),
+        F.lit("").alias("sourceAccountName"),
+        F.when(lower_case, F.lower(source_bank)).otherwise(source_bank).alias("sourceBankCode"),
+        beneficiary.cast("string").alias("beneficiaryAccount"),
+        F.lit("").alias("beneficiaryAccountName"),
+        _customer_bank(beneficiary).alias("beneficiaryBankCode"),
+        F.lit("IDR").alias("currency"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("amount"),
+        F.col("o_orderpriority").alias("transactionType"),
+        F.col("o_orderstatus").alias("note"),
+    )
+
+
+def order_run_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """A run log made from the orders: 500 orders are a run, 50 of them a partition."""
+    key = F.col("o_orderkey")
+    run, part = (key - key % 500) / 500, (key % 500 - key % 50) / 50
+    mark = (F.col("run_id") * 7 + F.col("_part") * 3) % 41
+    counted = (
+        table(spark, folder, "orders")
+        .groupBy((run.cast("bigint") + 1).alias("run_id"), part.cast("bigint").alias("_part"))
+        .agg(
+            F.count("*").alias("read_count"),
+            F.count_if(F.col("o_orderstatus") != "P").alias("write_count"),
+            F.count_if(F.col("o_orderstatus") == "P").alias("skip_count"),
+            F.min("o_orderdate").alias("start_time"),
+            F.max("o_orderdate").alias("_last"),
+        )
+    )
+    status = F.when(mark == 0, "FAILED").when(mark == 1, "STARTED").when(mark == 2, "STOPPED").otherwise("COMPLETED")
+    return counted.withColumn("status", status).select(
+        "run_id",
+        F.concat(F.lit("partition-"), F.col("_part").cast("string")).alias("partition_name"),
+        "status",
+        "read_count",
+        "write_count",
+        "skip_count",
+        F.lit(0).cast("bigint").alias("filter_count"),
+        "start_time",
+        F.when(F.col("status") != "STARTED", F.col("_last")).alias("end_time"),
+    )
+
+
+def order_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The runs of ``order_run_steps``: a run is as its worst partition."""
+    steps = order_run_steps(spark, folder)
+    any_is = lambda status: F.bool_or(F.col("status") == status)
+    state = (
+        F.when(any_is("FAILED"), "FAILED")
+        .when(any_is("STOPPED"), "STOPPED")
+        .when(any_is("STARTED"), "STARTED")
+        .otherwise("COMPLETED")
+    )
+    running = any_is("STARTED")
+    return steps.groupBy("run_id").agg(
+        state.alias("status"),
+        F.min("start_time").alias("start_time"),
+        F.when(~running, F.max("end_time")).alias("end_time"),
+    )
+
+
+def _customer_bank(key: Column) -> Column:
+    return F.concat(F.lit("NATION_"), (key % 25).cast("string"))
