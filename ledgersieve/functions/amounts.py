@@ -13,96 +13,86 @@ With the rest the range tests are exact for any text, since limits have at most
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import AMOUNT_TYPE
 
 # Text that is its own printed form and fits the decimal: the usual case.
-_CANONICAL = r"\A(0|[1-9][0-9]{0,19})(\.[0-9]{1,6})?\z"
+_CANONICAL = r"\\A(0|[1-9][0-9]{0,19})([.][0-9]{1,6})?\\z"
 # sign, digits, decimals | decimals only, exponent
-_NUMBER = r"\A([+-]?)(?:([0-9]+)(?:\.([0-9]*))?|\.([0-9]+))(?:[eE]([+-]?[0-9]+))?\z"
+_NUMBER = r"\\A([+-]?)(?:([0-9]+)(?:[.]([0-9]*))?|[.]([0-9]+))(?:[eE]([+-]?[0-9]+))?\\z"
 _MAX_SCALE = 2**31 - 1
 _LARGEST = "9" * 20 + "." + "9" * 18
 
 
 def with_amount(df: DataFrame, source: str, amount: str, text: str, rest: str) -> DataFrame:
-    """Adds the three amount columns for the trimmed text in ``source``.
+    """Adds the three amount columns for the trimmed text in ``source``."""
+    parsed = f"""
+        CASE WHEN {source} RLIKE '{_CANONICAL}' THEN {_struct(f"try_cast({source} AS {AMOUNT_TYPE})", source, "0")}
+             WHEN {source} RLIKE '{_NUMBER}' THEN {_general(source)}
+             ELSE {_ZERO} END"""
+    split = {name: F.col(f"_amount.{field}") for name, field in ((amount, "value"), (text, "text"), (rest, "rest"))}
+    return df.withColumn("_amount", F.expr(parsed)).withColumns(split).drop("_amount")
 
-    Text in canonical form is cast directly. The working columns of the general
-    case are null for it, and each is computed once, in a projection of its own,
-    so that no expression is written out again at every use.
+
+def below(amount: str, rest: str, minimum: str) -> str:
+    """SQL text: the real amount is less than the minimum."""
+    return f"({amount} < {minimum} OR ({rest} < 0 AND {amount} = {minimum}))"
+
+
+def above(amount: str, rest: str, maximum: str) -> str:
+    """SQL text: the real amount is greater than the maximum."""
+    return f"({amount} > {maximum} OR ({rest} > 0 AND {amount} = {maximum}))"
+
+
+def _struct(value: str, text: str, rest: str) -> str:
+    return f"named_struct('value', {value}, 'text', {text}, 'rest', {rest})"
+
+
+_ZERO = _struct(f"CAST('0' AS {AMOUNT_TYPE})", "'0'", "0")
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """The body with a name for an intermediate value, so that it is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _general(raw: str) -> str:
+    """Signs, surplus zeros, exponents, bare points and any number of digits.
+
+    Rare, so it is kept out of the generated code of the usual case, which would
+    otherwise become too long to be compiled to machine code.
     """
-    raw = F.col(source)
-    part = lambda i: F.regexp_extract(raw, _NUMBER, i)
-    parts = F.struct(
-        part(1).alias("sign"),
-        F.concat(part(2), part(3), part(4)).alias("digits"),
-        F.length(F.concat(part(3), part(4))).alias("decimals"),
-        part(5).alias("exponent"),
-    )
-    df = df.withColumn("_plain", raw.rlike(_CANONICAL))
-    df = df.withColumn("_parts", F.when(~F.col("_plain") & raw.rlike(_NUMBER), parts))
-
-    exponent = F.when(F.col("_parts.exponent") == "", F.lit(0)).otherwise(F.col("_parts.exponent").try_cast("bigint"))
-    df = df.withColumns(
-        {
-            "_digits": F.regexp_replace(F.col("_parts.digits"), r"\A0+(?=[0-9])", ""),
-            "_scale": F.col("_parts.decimals") - exponent,
-        }
-    )
-    digits, scale = F.col("_digits"), F.col("_scale")
-    kept_size = F.greatest(F.length(digits) - F.greatest(scale - 18, F.lit(0)), F.lit(0)).try_cast("int")
-    df = df.withColumns(
-        {
-            "_sign": F.when((F.col("_parts.sign") == "-") & (digits != "0"), "-").otherwise(""),
-            "_kept": F.left(digits, kept_size),
-            "_lost": F.right(digits, F.length(digits) - kept_size).rlike("[1-9]"),
-        }
-    )
-    sign, kept = F.col("_sign"), F.col("_kept")
-    cut_text = F.concat(
-        sign, F.when(kept == "", "0").otherwise(kept), F.lit("E"), (-F.least(scale, F.lit(18))).cast("string")
-    )
+    group = lambda i: f"regexp_extract({raw}, '{_NUMBER}', {i})"
+    parts = f"""named_struct(
+        'minus', {group(1)} = '-',
+        'digits', regexp_replace(concat({group(2)}, {group(3)}, {group(4)}), '\\\\A0+(?=[0-9])', ''),
+        'scale', length(concat({group(3)}, {group(4)}))
+                 - CASE WHEN {group(5)} = '' THEN 0 ELSE try_cast({group(5)} AS BIGINT) END)"""
+    # kept: how many leading digits lie within 18 decimals
+    sized = """named_struct(
+        'sign', IF(p.minus AND p.digits <> '0', '-', ''), 'digits', p.digits, 'scale', p.scale,
+        'size', length(p.digits), 'exponent', length(p.digits) - 1 - p.scale,
+        'kept', try_cast(greatest(length(p.digits) - greatest(p.scale - 18, 0), 0) AS INT))"""
     # The size test also keeps a huge exponent away from the cast, which would fail the task.
-    cut = F.when(digits == "0", F.lit("0").cast(AMOUNT_TYPE)).when(
-        F.length(digits) - scale <= 20, cut_text.try_cast(AMOUNT_TYPE)
-    )
-    df = df.withColumn("_cut", cut)
-
-    usable = F.abs(scale) <= _MAX_SCALE
-    clamped = F.concat(sign, F.lit(_LARGEST)).try_cast(AMOUNT_TYPE)
-    away = F.when(sign == "-", -1).otherwise(1)
-    df = df.withColumns(
-        {
-            amount: F.when(F.col("_plain"), raw.try_cast(AMOUNT_TYPE))
-            .when(usable, F.coalesce("_cut", clamped))
-            .otherwise(F.lit("0").cast(AMOUNT_TYPE)),
-            text: F.when(F.col("_plain"), raw)
-            .when(usable, F.concat(sign, _printed(digits, scale)))
-            .otherwise("0"),
-            rest: F.when(usable & (F.col("_cut").isNull() | F.col("_lost")), away).otherwise(0),
-        }
-    )
-    return df.drop("_plain", "_parts", "_digits", "_scale", "_sign", "_kept", "_lost", "_cut")
-
-
-def below(amount: Column, rest: Column, minimum: Column) -> Column:
-    return (amount < minimum) | ((rest < 0) & (amount <= minimum))
-
-
-def above(amount: Column, rest: Column, maximum: Column) -> Column:
-    return (amount > maximum) | ((rest > 0) & (amount >= maximum))
-
-
-def _printed(digits: Column, scale: Column) -> Column:
-    size = F.length(digits)
-    exponent = size - 1 - scale
-    narrow = scale.try_cast("int")
-    fraction = F.when(
-        size > scale, F.concat(F.left(digits, size - narrow), F.lit("."), F.right(digits, narrow))
-    ).otherwise(F.concat(F.lit("0."), F.lpad(digits, narrow, F.lit("0"))))
-    mantissa = F.when(size == 1, digits).otherwise(
-        F.concat(F.left(digits, F.lit(1)), F.lit("."), F.substring(digits, 2, 2**31 - 1))
-    )
-    scientific = F.concat(mantissa, F.lit("E"), F.when(exponent > 0, "+").otherwise(""), exponent.cast("string"))
-    return F.when(scale == 0, digits).when((scale > 0) & (exponent >= -6), fraction).otherwise(scientific)
+    cut = f"""CASE
+        WHEN n.digits = '0' THEN CAST('0' AS {AMOUNT_TYPE})
+        WHEN n.size - n.scale <= 20 THEN try_cast(
+            concat(n.sign, IF(n.kept = 0, '0', left(n.digits, n.kept)), 'E', -least(n.scale, 18)) AS {AMOUNT_TYPE})
+        END"""
+    lost = "right(n.digits, n.size - n.kept) RLIKE '[1-9]'"
+    small = "try_cast(n.scale AS INT)"
+    printed = f"""CASE
+        WHEN n.scale = 0 THEN n.digits
+        WHEN n.scale > 0 AND n.exponent >= -6 AND n.size > n.scale
+            THEN concat(left(n.digits, n.size - {small}), '.', right(n.digits, {small}))
+        WHEN n.scale > 0 AND n.exponent >= -6 THEN concat('0.', lpad(n.digits, {small}, '0'))
+        ELSE concat(left(n.digits, 1), IF(n.size = 1, '', concat('.', substring(n.digits, 2))),
+                    'E', IF(n.exponent > 0, '+', ''), n.exponent) END"""
+    clamped = f"CAST(concat(n.sign, '{_LARGEST}') AS {AMOUNT_TYPE})"
+    number = _let("c", cut, _struct(
+        f"coalesce(c, {clamped})",
+        f"concat(n.sign, {printed})",
+        f"CASE WHEN c IS NULL OR {lost} THEN IF(n.sign = '-', -1, 1) ELSE 0 END",
+    ))
+    return _let("p", parts, _let("n", sized, f"IF(abs(n.scale) <= {_MAX_SCALE}, {number}, {_ZERO})"))

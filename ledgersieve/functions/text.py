@@ -1,34 +1,44 @@
-"""Text and time columns."""
+"""Text and time functions, as SQL text or columns.
+
+Expressions over many columns are written as SQL text: Spark parses each in one
+step, where a tree of column calls costs a round trip per node.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
 # Trimming removes every character up to and including the space.
-BLANKS = "".join(chr(code) for code in range(0x21))
+_BLANKS = "".join(f"\\u{code:04x}" for code in range(0x21))
 
 
-def clean_text(c: Column) -> Column:
-    """Trimmed text; a missing value (an empty CSV field) becomes the empty string."""
-    return F.btrim(F.coalesce(c, F.lit("")), F.lit(BLANKS))
+def clean_text(column: str) -> str:
+    """SQL: trimmed text; a missing value (an empty CSV field) becomes the empty string."""
+    return f"btrim(coalesce({column}, ''), '{_BLANKS}')"
 
 
-def is_blank(c: Column) -> Column:
-    return clean_text(c) == ""
+def is_blank(column: str) -> str:
+    return f"({clean_text(column)} = '')"
 
 
-def case_key(c: Column) -> Column:
-    """Join key for columns compared without case."""
-    return F.upper(c)
+def quoted(value: str) -> str:
+    """A string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def fill(template: str, *values: Column) -> Column:
-    """The template with each {} replaced by the next value, in order."""
+def fill(template: str, *values: str) -> str:
+    """SQL: the template with each {} replaced by the next value, in order."""
     parts = template.split("{}")
-    pieces = [F.lit(parts[0])]
+    pieces = [quoted(parts[0])]
     for value, part in zip(values, parts[1:], strict=True):
-        pieces += [value, F.lit(part)]
-    return F.concat(*pieces)
+        pieces += [value, quoted(part)]
+    return f"concat({', '.join(pieces)})"
+
+
+def case_key(column: str) -> str:
+    """SQL: join key for columns compared without case."""
+    return f"upper({column})"
 
 
 def elapsed_text(start: Column, end: Column, now: Column | None = None) -> Column:
@@ -39,12 +49,5 @@ def elapsed_text(start: Column, end: Column, now: Column | None = None) -> Colum
 
 def local_time_text(ts: Column) -> Column:
     """ISO local date-time in its shortest form: no seconds if zero, 3 or 6 decimals if any."""
-    micros = F.date_format(ts, "SSSSSS")
-    base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm")
-    seconds = F.date_format(ts, "ss")
-    return (
-        F.when((micros == "000000") & (seconds == "00"), base)
-        .when(micros == "000000", F.concat(base, F.lit(":"), seconds))
-        .when(F.right(micros, F.lit(3)) == "000", F.concat(base, F.lit(":"), seconds, F.lit("."), F.left(micros, F.lit(3))))
-        .otherwise(F.concat(base, F.lit(":"), seconds, F.lit("."), micros))
-    )
+    full = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.regexp_replace(F.regexp_replace(full, r"(:00)?\.000000$", ""), r"(\.\d{3})000$", "$1")

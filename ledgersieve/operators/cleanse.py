@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..fixed_values import TRANSACTION_FIELDS
 from ..functions.amounts import with_amount
@@ -17,15 +17,13 @@ def cleanse(raw: DataFrame) -> DataFrame:
     of ``raw`` are kept.
     """
     others = [c for c in raw.columns if c not in TRANSACTION_FIELDS]
-    trimmed = raw.select(*others, *[clean_text(F.col(c)).alias(c) for c in TRANSACTION_FIELDS])
-    typed = with_amount(
-        trimmed.withColumnRenamed("amount", "_written"), "_written", "amount", "amount_text", "amount_rest"
-    )
-    return typed.select(
+    named = {c: "_written" if c == "amount" else c for c in TRANSACTION_FIELDS}
+    trimmed = raw.selectExpr(*others, *[f"{clean_text(c)} AS {name}" for c, name in named.items()])
+    return with_amount(trimmed, "_written", "amount", "amount_text", "amount_rest").selectExpr(
         *others,
         *TRANSACTION_FIELDS,
         "amount_text",
         "amount_rest",
-        F.lit(True).alias("valid"),
-        F.lit(None).cast("string").alias("validationErrors"),
+        "TRUE AS valid",
+        "CAST(NULL AS STRING) AS validationErrors",
     )

@@ -6,55 +6,59 @@ looked-up frames have one row per key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.text import case_key
+from ..functions.text import case_key, quoted
 from ..sources.dimensions import account_lookup, bank_lookup, first_wins, limit_lookup
 
 
 def join_bank(df: DataFrame, banks: DataFrame, code: str, prefix: str) -> DataFrame:
     """Adds {prefix}code, {prefix}name and {prefix}known for a bank code, compared without case."""
     dim = _prefixed(bank_lookup(banks), prefix)
-    joined = df.join(dim, case_key(F.col(code)) == F.col(f"{prefix}bank_key"), "left")
-    return joined.withColumn(f"{prefix}known", F.col(f"{prefix}bank_key").isNotNull()).drop(f"{prefix}bank_key")
+    joined = df.join(dim, F.expr(f"{case_key(code)} = {prefix}bank_key"), "left")
+    return joined.selectExpr(
+        *df.columns, f"{prefix}code", f"{prefix}name", f"{prefix}bank_key IS NOT NULL AS {prefix}known"
+    )
 
 
 def join_limit(df: DataFrame, limits: DataFrame, transaction_type: str, prefix: str) -> DataFrame:
     """Adds the limit columns of a transaction type, compared without case; null if there is none."""
     dim = _prefixed(limit_lookup(limits), prefix)
-    return df.join(dim, case_key(F.col(transaction_type)) == F.col(f"{prefix}type_key"), "left")
+    return df.join(dim, F.expr(f"{case_key(transaction_type)} = {prefix}type_key"), "left")
 
 
 def join_account(df: DataFrame, accounts: DataFrame, number: str, bank: str, prefix: str) -> DataFrame:
     """Adds {prefix}accountName, {prefix}bankCode, {prefix}status and {prefix}found."""
     dim = _prefixed(account_lookup(accounts), prefix)
-    key, bank_key = F.col(f"{prefix}account_key"), F.col(f"{prefix}account_bank_key")
-    joined = df.join(dim, (F.col(number) == key) & (case_key(F.col(bank)) == bank_key), "left")
-    return joined.withColumn(f"{prefix}found", key.isNotNull()).drop(
-        f"{prefix}account_key", f"{prefix}account_bank_key"
+    match = f"{number} = {prefix}account_key AND {case_key(bank)} = {prefix}account_bank_key"
+    return df.join(dim, F.expr(match), "left").selectExpr(
+        *df.columns,
+        f"{prefix}accountName",
+        f"{prefix}bankCode",
+        f"{prefix}status",
+        f"{prefix}account_key IS NOT NULL AS {prefix}found",
     )
 
 
 def rows_with_unknown_bank(df: DataFrame, banks: DataFrame, code: str) -> DataFrame:
     """Anti join: rows whose bank code is not in the table."""
     dim = bank_lookup(banks).select("bank_key")
-    return df.join(dim, case_key(F.col(code)) == F.col("bank_key"), "left_anti")
+    return df.join(dim, F.expr(f"{case_key(code)} = bank_key"), "left_anti")
 
 
 def rows_with_known_account(df: DataFrame, accounts: DataFrame, number: str, bank: str) -> DataFrame:
     """Semi join: rows whose account is in the table, whatever its status."""
     dim = account_lookup(accounts).select("account_key", "account_bank_key")
-    match = (F.col(number) == F.col("account_key")) & (case_key(F.col(bank)) == F.col("account_bank_key"))
-    return df.join(dim, match, "left_semi")
+    match = f"{number} = account_key AND {case_key(bank)} = account_bank_key"
+    return df.join(dim, F.expr(match), "left_semi")
 
 
-def limit_by_type(limits: DataFrame, transaction_type: str | Column) -> DataFrame:
+def limit_by_type(limits: DataFrame, transaction_type: str) -> DataFrame:
     """The limit of one type, compared without case; empty if there is none."""
-    wanted = F.lit(transaction_type) if isinstance(transaction_type, str) else transaction_type
-    matching = limits.filter(case_key(F.col("transactionType")) == case_key(wanted))
-    keyed = matching.withColumn("_key", case_key(F.col("transactionType")))
+    matching = limits.filter(f"{case_key('transactionType')} = {case_key(quoted(transaction_type))}")
+    keyed = matching.withColumn("_key", F.expr(case_key("transactionType")))
     return first_wins(keyed, ["_key"], "ord").select("transactionType", "minAmount", "maxAmount", "currency")
 
 
 def _prefixed(dim: DataFrame, prefix: str) -> DataFrame:
-    return dim.select(*[F.col(c).alias(f"{prefix}{c}") for c in dim.columns])
+    return dim.selectExpr(*[f"{c} AS {prefix}{c}" for c in dim.columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..fixed_values import (
     ABOVE_REASON, BELOW_REASON, MAX_BULK_ACCOUNTS, NOT_FOUND_REASON, STATUS_ACTIVE, STATUS_NOT_FOUND,
@@ -14,27 +14,25 @@ from .lookups import join_account, join_bank, join_limit
 
 
 def validate_bank_codes(df: DataFrame, banks: DataFrame, code: str) -> DataFrame:
-    """Adds ``code`` (as listed, else as given), ``valid`` and ``name``."""
-    kept = [c for c in df.columns if c != "code"]
-    joined = join_bank(df.withColumnRenamed(code, "_given") if code == "code" else df, banks,
-                       "_given" if code == "code" else code, "_bank_")
-    given = F.col("_given" if code == "code" else code)
-    return joined.select(
-        *kept,
-        F.coalesce(F.col("_bank_code"), given).alias("code"),
-        F.col("_bank_known").alias("valid"),
-        F.col("_bank_name").alias("name"),
+    """Replaces the given column by ``code`` (as listed, else as given), ``valid`` and ``name``."""
+    given = df.withColumnRenamed(code, "_given")
+    return join_bank(given, banks, "_given", "_bank_").selectExpr(
+        *[c for c in df.columns if c != code],
+        "coalesce(_bank_code, _given) AS code",
+        "_bank_known AS valid",
+        "_bank_name AS name",
     )
 
 
-def amount_reason(transaction_type: Column, amount: Column, text: Column, rest: Column, prefix: str) -> Column:
-    """Why an amount is not acceptable, or null; for rows joined by ``join_limit``."""
-    limit = lambda name: F.col(f"{prefix}{name}")
-    return (
-        F.when(limit("type_key").isNull(), fill(TYPE_REASON, transaction_type))
-        .when(below(amount, rest, limit("min_amount")), fill(BELOW_REASON, text, limit("min_text"), transaction_type))
-        .when(above(amount, rest, limit("max_amount")), fill(ABOVE_REASON, text, limit("max_text"), transaction_type))
-    )
+def amount_reason(transaction_type: str, amount: str, text: str, rest: str, prefix: str) -> str:
+    """SQL: why an amount is not acceptable, or null; for rows joined by ``join_limit``."""
+    return f"""CASE
+        WHEN {prefix}type_key IS NULL THEN {fill(TYPE_REASON, transaction_type)}
+        WHEN {below(amount, rest, prefix + 'min_amount')}
+            THEN {fill(BELOW_REASON, text, prefix + 'min_text', transaction_type)}
+        WHEN {above(amount, rest, prefix + 'max_amount')}
+            THEN {fill(ABOVE_REASON, text, prefix + 'max_text', transaction_type)}
+        END"""
 
 
 def validate_amounts(df: DataFrame, limits: DataFrame, transaction_type: str, amount: str) -> DataFrame:
@@ -43,47 +41,39 @@ def validate_amounts(df: DataFrame, limits: DataFrame, transaction_type: str, am
     Checked in this order: type unknown, below the minimum, above the maximum.
     Both bounds are inclusive.
     """
-    df = df.withColumn("_written", clean_text(F.col(amount).cast("string"))).drop(amount)
-    typed = with_amount(df, "_written", amount, "_text", "_rest")
-    joined = join_limit(typed, limits, transaction_type, "_limit_")
-    reason = amount_reason(F.col(transaction_type), F.col(amount), F.col("_text"), F.col("_rest"), "_limit_")
-    kept = [c for c in typed.columns if not c.startswith("_")]
-    return joined.withColumn("reason", reason).select(*kept, F.col("reason").isNull().alias("valid"), "reason")
+    written = df.withColumn("_written", F.expr(clean_text(f"CAST({amount} AS STRING)"))).drop(amount)
+    typed = with_amount(written, "_written", amount, "_text", "_rest")
+    reason = amount_reason(transaction_type, amount, "_text", "_rest", "_limit_")
+    return join_limit(typed, limits, transaction_type, "_limit_").selectExpr(
+        *df.columns, f"{reason} AS reason"
+    ).selectExpr(*df.columns, "reason IS NULL AS valid", "reason")
 
 
 def validate_accounts(df: DataFrame, accounts: DataFrame, number: str, bank: str) -> DataFrame:
-    """Adds the six result columns: accountNumber, bankCode, accountName, valid, status, reason.
+    """Replaces number and bank by accountNumber, bankCode, accountName, valid, status and reason.
 
     Number and bank are those of the table if the account is found, else as given.
     """
-    joined = join_account(df, accounts, number, bank, "_acct_")
-    found, status = F.col("_acct_found"), F.col("_acct_status")
-    active = found & is_active(status)
-    reason = F.when(~found, fill(NOT_FOUND_REASON, F.col(number), F.col(bank))).when(
-        ~active, fill(STATUS_REASON, status)
-    )
-    kept = [c for c in df.columns if c not in (number, bank)]
-    return joined.select(
-        *kept,
-        F.col(number).alias("accountNumber"),
-        F.coalesce(F.col("_acct_bankCode"), F.col(bank)).alias("bankCode"),
-        F.col("_acct_accountName").alias("accountName"),
-        active.alias("valid"),
-        F.when(found, F.upper(status)).otherwise(STATUS_NOT_FOUND).alias("status"),
-        reason.alias("reason"),
+    active = f"(_acct_found AND {is_active('_acct_status')})"
+    return join_account(df, accounts, number, bank, "_acct_").selectExpr(
+        *[c for c in df.columns if c not in (number, bank)],
+        f"{number} AS accountNumber",
+        f"coalesce(_acct_bankCode, {bank}) AS bankCode",
+        "_acct_accountName AS accountName",
+        f"{active} AS valid",
+        f"IF(_acct_found, upper(_acct_status), '{STATUS_NOT_FOUND}') AS status",
+        f"""CASE WHEN NOT _acct_found THEN {fill(NOT_FOUND_REASON, number, bank)}
+                 WHEN NOT {active} THEN {fill(STATUS_REASON, '_acct_status')} END AS reason""",
     )
 
 
-def is_active(status: Column) -> Column:
-    return F.upper(status) == STATUS_ACTIVE
+def is_active(status: str) -> str:
+    return f"(upper({status}) = '{STATUS_ACTIVE}')"
 
 
-def has_blank_field(*fields: Column) -> Column:
-    """True if a required field is missing, empty or only white space."""
-    blank = is_blank(fields[0])
-    for field in fields[1:]:
-        blank = blank | is_blank(field)
-    return blank
+def has_blank_field(*fields: str) -> str:
+    """SQL: true if a required field is missing, empty or only white space."""
+    return f"({' OR '.join(is_blank(field) for field in fields)})"
 
 
 def validate_accounts_in_bulk(
@@ -99,35 +89,33 @@ def validate_accounts_in_bulk(
     belong to a refused batch and are counted but not gathered, so no group holds
     more than 100 entries however large a batch is.
     """
-    checked = validate_accounts(requests, accounts, number, bank)
-    entry = F.struct(
-        F.col(position).alias("position"), "accountNumber", "bankCode", "accountName", "valid", "status", "reason"
+    fields = ("accountNumber", "bankCode", "accountName", "valid", "status", "reason")
+    entry = f"struct({position} AS position, {', '.join(fields)})"
+    grouped = validate_accounts(requests, accounts, number, bank).groupBy(batch).agg(
+        F.expr("count(*) AS totalRequested"),
+        F.expr("count_if(valid) AS _valid"),
+        F.expr(f"count_if({has_blank_field('accountNumber', 'bankCode')}) AS _blank"),
+        F.expr(f"max({position}) AS _last"),
+        F.expr(f"collect_list(CASE WHEN {position} < {MAX_BULK_ACCOUNTS} THEN {entry} END) AS _entries"),
     )
-    blank = has_blank_field(F.col("accountNumber"), F.col("bankCode"))
-    grouped = checked.groupBy(batch).agg(
-        F.count("*").alias("totalRequested"),
-        F.count_if("valid").alias("_valid"),
-        F.count_if(blank).alias("_blank"),
-        F.max(position).alias("_last"),
-        F.collect_list(F.when(F.col(position) < MAX_BULK_ACCOUNTS, entry)).alias("_entries"),
-    )
-    accepted = batch_is_accepted(F.col("totalRequested"), F.col("_blank")) & (F.col("_last") < MAX_BULK_ACCOUNTS)
-    return grouped.withColumn("accepted", accepted).select(
+    accepted = f"{batch_is_accepted('totalRequested', '_blank')} AND _last < {MAX_BULK_ACCOUNTS}"
+    return grouped.withColumn("accepted", F.expr(accepted)).selectExpr(
         batch,
         "accepted",
         "totalRequested",
-        F.when(F.col("accepted"), F.col("_valid")).alias("totalValid"),
-        F.when(F.col("accepted"), F.col("totalRequested") - F.col("_valid")).alias("totalInvalid"),
-        F.when(F.col("accepted"), F.array_sort("_entries")).alias("results"),
+        "IF(accepted, _valid, NULL) AS totalValid",
+        "IF(accepted, totalRequested - _valid, NULL) AS totalInvalid",
+        "IF(accepted, array_sort(_entries), NULL) AS results",
     )
 
 
-def batch_is_accepted(size: Column, blank_entries: Column) -> Column:
-    return size.between(1, MAX_BULK_ACCOUNTS) & (blank_entries == 0)
+def batch_is_accepted(size: str, blank_entries: str) -> str:
+    return f"({size} BETWEEN 1 AND {MAX_BULK_ACCOUNTS} AND {blank_entries} = 0)"
 
 
 def check_batches(requests: DataFrame, batch: str, number: str, bank: str) -> DataFrame:
     """Size and contract of each batch, without looking anything up."""
-    blank = has_blank_field(F.col(number), F.col(bank))
-    sizes = requests.groupBy(batch).agg(F.count("*").alias("size"), F.count_if(blank).alias("blank_entries"))
-    return sizes.withColumn("accepted", batch_is_accepted(F.col("size"), F.col("blank_entries")))
+    sizes = requests.groupBy(batch).agg(
+        F.expr("count(*) AS size"), F.expr(f"count_if({has_blank_field(number, bank)}) AS blank_entries")
+    )
+    return sizes.withColumn("accepted", F.expr(batch_is_accepted("size", "blank_entries")))

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..fixed_values import (
     AMOUNT_ERROR, BENEFICIARY_ACCOUNT_ERROR, BENEFICIARY_BANK_ERROR, NO_RESULT_ERROR, SOURCE_ACCOUNT_ERROR,
     SOURCE_BANK_ERROR, STATUS_NOT_FOUND,
 )
-from ..functions.text import fill
-from ..operators.lookups import join_account, join_bank, join_limit
+from ..functions.text import fill, quoted
 from ..operators.cleanse import cleanse
+from ..operators.lookups import join_account, join_bank, join_limit
 from ..operators.rules import Rule, apply_rules
 from ..operators.validators import amount_reason, is_active
 from ..schemas import CORRUPT_COLUMN, RESULTS
@@ -36,28 +35,18 @@ class References:
 
 def transaction_rules() -> list[Rule]:
     """The rules over the columns of ``look_up``, in the order of their messages."""
-    no_result = F.col("no_account_result")
 
-    def account_rule(name: str, role: str, message: str) -> Rule:
-        status = F.col(f"{role}_status")
-        return Rule(name, ~no_result & ~is_active(status), fill(message, F.col(f"{role}Account"), status))
+    def account_rule(name: str, account: str, status: str, message: str) -> Rule:
+        return Rule(name, f"NOT no_account_result AND NOT {is_active(status)}", fill(message, account, status))
 
     return [
-        Rule("source_bank", ~F.col("source_bank_known"), fill(SOURCE_BANK_ERROR, F.col("sourceBankCode"))),
-        Rule(
-            "beneficiary_bank",
-            ~F.col("beneficiary_bank_known"),
-            fill(BENEFICIARY_BANK_ERROR, F.col("beneficiaryBankCode")),
-        ),
+        Rule("source_bank", "NOT source_bank_known", fill(SOURCE_BANK_ERROR, "sourceBankCode")),
+        Rule("beneficiary_bank", "NOT beneficiary_bank_known", fill(BENEFICIARY_BANK_ERROR, "beneficiaryBankCode")),
         # One text for every amount failure; the real reason is in amount_reason.
-        Rule(
-            "amount",
-            F.col("amount_reason").isNotNull(),
-            fill(AMOUNT_ERROR, F.col("amount_text"), F.col("transactionType")),
-        ),
-        Rule("account_lookup", no_result, F.lit(NO_RESULT_ERROR)),
-        account_rule("source_account", "source", SOURCE_ACCOUNT_ERROR),
-        account_rule("beneficiary_account", "beneficiary", BENEFICIARY_ACCOUNT_ERROR),
+        Rule("amount", "amount_reason IS NOT NULL", fill(AMOUNT_ERROR, "amount_text", "transactionType")),
+        Rule("account_lookup", "no_account_result", quoted(NO_RESULT_ERROR)),
+        account_rule("source_account", "sourceAccount", "source_status", SOURCE_ACCOUNT_ERROR),
+        account_rule("beneficiary_account", "beneficiaryAccount", "beneficiary_status", BENEFICIARY_ACCOUNT_ERROR),
     ]
 
 
@@ -73,25 +62,20 @@ def look_up(clean: DataFrame, references: References) -> DataFrame:
     df = join_bank(df, references.banks, "beneficiaryBankCode", "_bene_bank_")
     df = join_limit(df, references.limits, "transactionType", "_limit_")
 
-    # A pair with a blank field is refused as a whole, so neither account gets a result.
-    pair = ("sourceAccount", "sourceBankCode", "beneficiaryAccount", "beneficiaryBankCode")
-    # Results are known by account number alone and the first one counts, so a
-    # transfer to the same number takes the source's result for both sides.
-    same = F.col("sourceAccount") == F.col("beneficiaryAccount")
-    source_status = _status(F.col("_src_found"), F.col("_src_status"))
-    reason = amount_reason(
-        F.col("transactionType"), F.col("amount"), F.col("amount_text"), F.col("amount_rest"), "_limit_"
-    )
-    return df.select(
+    def status(side: str) -> str:
+        return f"IF(_{side}_found, upper(_{side}_status), '{STATUS_NOT_FOUND}')"
+
+    return df.selectExpr(
         *clean.columns,
-        F.col("_src_bank_known").alias("source_bank_known"),
-        F.col("_bene_bank_known").alias("beneficiary_bank_known"),
-        reason.alias("amount_reason"),
-        reduce(lambda a, b: a | b, [F.col(c) == "" for c in pair]).alias("no_account_result"),
-        source_status.alias("source_status"),
-        F.when(same, source_status)
-        .otherwise(_status(F.col("_bene_found"), F.col("_bene_status")))
-        .alias("beneficiary_status"),
+        "_src_bank_known AS source_bank_known",
+        "_bene_bank_known AS beneficiary_bank_known",
+        f"{amount_reason('transactionType', 'amount', 'amount_text', 'amount_rest', '_limit_')} AS amount_reason",
+        # A pair with a blank field is refused as a whole, so neither account gets a result.
+        "'' IN (sourceAccount, sourceBankCode, beneficiaryAccount, beneficiaryBankCode) AS no_account_result",
+        f"{status('src')} AS source_status",
+        # Results are known by account number alone and the first one counts, so a
+        # transfer to the same number takes the source's result for both sides.
+        f"IF(sourceAccount = beneficiaryAccount, {status('src')}, {status('bene')}) AS beneficiary_status",
     )
 
 
@@ -111,17 +95,15 @@ def check_lines(scanned: DataFrame, references: References, rules: list[Rule] |
     """Scanned lines (with ``line_id``) to result rows: the fields, the errors and the outcome.
 
     The outcome is valid, invalid, or quarantined for a line with a wrong number of
-    fields. No line is left out, so line ids stay gapless within a task.
+    fields. No line is left out, so line ids stay gapless within a task. The amount
+    is shown as printed.
     """
     checked = validate_transactions(cleanse(rescue_short_lines(scanned)), references, rules)
-    corrupt = F.col(CORRUPT_COLUMN).isNotNull()
-    outcome = F.when(corrupt, "quarantined").when(F.col("valid"), "valid").otherwise("invalid")
-    # Output files show the amount as printed.
-    rows = checked.withColumns({"outcome": outcome, "amount": F.col("amount_text")})
-    for column in ("validationErrors", "amount_reason"):
-        rows = rows.withColumn(column, F.when(~corrupt, F.col(column)))
-    return rows.select(*RESULTS.fieldNames())
-
-
-def _status(found: Column, status: Column) -> Column:
-    return F.when(found, F.upper(status)).otherwise(STATUS_NOT_FOUND)
+    good = f"{CORRUPT_COLUMN} IS NULL"
+    changed = {
+        "amount": "amount_text",
+        "validationErrors": f"IF({good}, validationErrors, NULL)",
+        "amount_reason": f"IF({good}, amount_reason, NULL)",
+        "outcome": f"CASE WHEN NOT ({good}) THEN 'quarantined' WHEN valid THEN 'valid' ELSE 'invalid' END",
+    }
+    return checked.selectExpr(*[f"{changed.get(c, c)} AS {c}" for c in RESULTS.fieldNames()])

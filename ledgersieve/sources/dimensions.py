@@ -22,15 +22,15 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def seeded_banks(spark: SparkSession) -> DataFrame:
-    return _local(spark, schemas.BANKS, [(*row, i) for i, row in enumerate(BANK_CODES)])
+    return local_table(spark, schemas.BANKS, [(*row, i) for i, row in enumerate(BANK_CODES)])
 
 
 def seeded_limits(spark: SparkSession) -> DataFrame:
-    return _local(spark, schemas.LIMITS, [(*row, i) for i, row in enumerate(TRANSACTION_LIMITS)])
+    return local_table(spark, schemas.LIMITS, [(*row, i) for i, row in enumerate(TRANSACTION_LIMITS)])
 
 
 def seeded_accounts(spark: SparkSession) -> DataFrame:
-    return _local(spark, schemas.ACCOUNTS, ACCOUNTS)
+    return local_table(spark, schemas.ACCOUNTS, ACCOUNTS)
 
 
 def read_banks(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -57,16 +57,17 @@ def first_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def bank_lookup(banks: DataFrame) -> DataFrame:
-    keyed = banks.withColumn("bank_key", case_key(F.col("code")))
+    keyed = banks.withColumn("bank_key", F.expr(case_key("code")))
     return first_wins(keyed, ["bank_key"], "ord").select("bank_key", "code", "name")
 
 
 def limit_lookup(limits: DataFrame) -> DataFrame:
-    keyed = limits.withColumn("type_key", case_key(F.col("transactionType")))
-    df = first_wins(keyed, ["type_key"], "ord")
+    keyed = limits.withColumn("type_key", F.expr(case_key("transactionType")))
+    df = first_wins(keyed, ["type_key"], "ord").withColumns(
+        {f"_{side}": F.expr(clean_text(f"CAST({side}Amount AS STRING)")) for side in ("min", "max")}
+    )
     for side in ("min", "max"):
-        df = df.withColumn("_written", clean_text(F.col(f"{side}Amount").cast("string")))
-        df = with_amount(df, "_written", f"{side}_amount", f"{side}_text", f"_{side}_rest")
+        df = with_amount(df, f"_{side}", f"{side}_amount", f"{side}_text", f"_{side}_rest")
     return df.select(
         "type_key", "transactionType", "min_amount", "min_text", "max_amount", "max_text", "currency"
     )
@@ -78,23 +79,26 @@ def account_lookup(accounts: DataFrame) -> DataFrame:
     The aggregate that finds duplicates leaves the rows partitioned by the join
     key, so a sort-merge join needs no further shuffle of this side.
     """
-    once = lambda c: F.max(c).alias(c)
     keyed = accounts.groupBy(
-        F.col("accountNumber").alias("account_key"), case_key(F.col("bankCode")).alias("account_bank_key")
-    ).agg(F.count("*").alias("copies"), once("accountName"), once("bankCode"), once("status"))
-    duplicate = F.raise_error(
-        F.concat(F.lit("Duplicate account key "), F.col("account_key"), F.lit(":"), F.col("account_bank_key"))
+        F.col("accountNumber").alias("account_key"), F.expr(f"{case_key('bankCode')} AS account_bank_key")
+    ).agg(
+        F.expr("count(*) AS copies"),
+        *[F.expr(f"max({c}) AS {c}") for c in ("accountName", "bankCode", "status")],
     )
-    status = F.when(F.col("copies") > 1, duplicate.cast("string")).otherwise(F.col("status"))
-    return keyed.select(
-        "account_key", "account_bank_key", "accountName", "bankCode", status.alias("status")
+    error = "raise_error(concat('Duplicate account key ', account_key, ':', account_bank_key))"
+    return keyed.selectExpr(
+        "account_key",
+        "account_bank_key",
+        "accountName",
+        "bankCode",
+        f"IF(copies > 1, CAST({error} AS STRING), status) AS status",
     )
 
 
 def duplicate_accounts(accounts: DataFrame) -> DataFrame:
     """Account keys that occur more than once; must be empty for a usable table."""
     return (
-        accounts.groupBy("accountNumber", case_key(F.col("bankCode")).alias("bankKey"))
+        accounts.groupBy("accountNumber", F.expr(f"{case_key('bankCode')} AS bankKey"))
         .agg(F.count("*").alias("copies"))
         .filter("copies > 1")
     )
@@ -109,7 +113,7 @@ def hint_by_size(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFram
     return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
 
 
-def _local(spark: SparkSession, ddl: str, rows) -> DataFrame:
+def local_table(spark: SparkSession, ddl: str, rows) -> DataFrame:
     """A small local relation; unlike a parallelised list its size is known to the planner."""
     names = [part.split()[0] for part in ddl.split(", ")]
     columns = list(zip(*rows))

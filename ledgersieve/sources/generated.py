@@ -7,17 +7,15 @@ yields the same rows again, and other engines can repeat the formulas.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..fixed_values import (
     ACCOUNTS, BANK_CODES, DEFAULT_INVALID_RATE, FAULT_WEIGHTS, GENERATOR_CURRENCY, NOTES,
     TRANSACTION_LIMITS, UNKNOWN_BANK_CODES, UNKNOWN_NAME, UNKNOWN_NUMBER_RANGE,
 )
+from ..functions.text import quoted
 
-ACTIVE = [a for a in ACCOUNTS if a[3] == "ACTIVE"]
-INACTIVE = [a for a in ACCOUNTS if a[3] == "INACTIVE"]
-BLOCKED = [a for a in ACCOUNTS if a[3] == "BLOCKED"]
-# Multipliers of ids beyond this could overflow; draws that need large factors fold the id first.
+# Large factors would overflow for large ids, so these are folded first.
 _FOLD = 1_000_003
 
 
@@ -30,36 +28,32 @@ def generate_transactions(
     the fault put in, or is null.
     """
     rate = max(0.0, min(1.0, invalid_rate))
-    df = ids.withColumn("_k", F.col("id") + F.lit(seed).cast("bigint"))
-    k = F.col("_k")
-    df = df.withColumns(
-        {
-            "_src": k * 31 % 12,
-            "_bene": (k * 31 % 12 + 1 + k * 17 % 11) % 12,
-            "_type": k % len(TRANSACTION_LIMITS),
-            "fault": F.when(k * 7919 % 1000 >= round(1000 * (1 - rate)), _fault_class(k * 104729 % 997 % 100)),
-            "_first_side": _div(k, 7) % 2 == 0,
-        }
-    )
-    df = df.withColumns(
-        {
-            "_min": _pick([int(limit[1]) for limit in TRANSACTION_LIMITS], F.col("_type")).cast("bigint"),
-            "_max": _pick([int(limit[2]) for limit in TRANSACTION_LIMITS], F.col("_type")).cast("bigint"),
-        }
+    low, high = UNKNOWN_NUMBER_RANGE
+    types = len(TRANSACTION_LIMITS)
+    drawn = ids.selectExpr("*", f"id + {int(seed)}L AS k").selectExpr(
+        "*",
+        f"IF(k * 7919 % 1000 >= {round(1000 * (1 - rate))}, {_fault('k * 104729 % 997 % 100')}, NULL) AS fault",
+        "k div 7 % 2 = 0 AS at_source",
+        f"{_pick([limit[1] + 'L' for limit in TRANSACTION_LIMITS], f'k % {types}')} AS low",
+        f"{_pick([limit[2] + 'L' for limit in TRANSACTION_LIMITS], f'k % {types}')} AS high",
+        f"{low} + k % {_FOLD} * 982451 % {high - low + 1} AS unknown",
     )
-    fault, low, high = F.col("fault"), F.col("_min"), F.col("_max")
-    amount = F.when(fault == "below_minimum", 1 + k % _FOLD * 15485863 % (low - 1)).otherwise(
-        low + k % _FOLD * 1299709 % (high - low + 1)
+    sides = drawn.selectExpr(
+        "*",
+        f"{_account('k * 31 % 12', 'at_source')} AS source",
+        f"{_account('(k * 31 % 12 + 1 + k * 17 % 11) % 12', 'NOT at_source')} AS beneficiary",
     )
-    return df.select(
+    amount = f"""IF(fault = 'below_minimum', 1 + k % {_FOLD} * 15485863 % (low - 1),
+                    low + k % {_FOLD} * 1299709 % (high - low + 1))"""
+    return sides.selectExpr(
         *ids.columns,
-        F.format_string("TRX-%07d", "id").alias("referenceId"),
-        *_party(k, "source", F.col("_src"), F.col("_first_side")),
-        *_party(k, "beneficiary", F.col("_bene"), ~F.col("_first_side")),
-        F.lit(GENERATOR_CURRENCY).alias("currency"),
-        amount.cast("string").alias("amount"),
-        _pick([limit[0] for limit in TRANSACTION_LIMITS], F.col("_type")).alias("transactionType"),
-        _pick(NOTES, _div(k, 13) % len(NOTES)).alias("note"),
+        "format_string('TRX-%07d', id) AS referenceId",
+        *_party("source", "at_source"),
+        *_party("beneficiary", "NOT at_source"),
+        f"'{GENERATOR_CURRENCY}' AS currency",
+        f"CAST({amount} AS STRING) AS amount",
+        f"{_pick_text([limit[0] for limit in TRANSACTION_LIMITS], f'k % {types}')} AS transactionType",
+        f"{_pick_text(NOTES, f'k div 13 % {len(NOTES)}')} AS note",
         "fault",
     )
 
@@ -69,47 +63,49 @@ def generate_range(spark: SparkSession, rows: int, **kwargs) -> DataFrame:
     return generate_transactions(spark.range(1, rows + 1), **kwargs)
 
 
-def _fault_class(percent: Column) -> Column:
+def _fault(percent: str) -> str:
     """The fault whose cumulative share covers ``percent`` (0..99)."""
-    chosen, limit = F, 0
+    cases, limit = [], 0
     for name, weight in FAULT_WEIGHTS:
         limit += weight
-        chosen = chosen.when(percent < limit, name)
-    return chosen
+        cases.append(f"WHEN {percent} < {limit} THEN '{name}'")
+    return f"CASE {' '.join(cases)} END"
 
 
-def _party(k: Column, role: str, index: Column, is_faulty_side: Column) -> list[Column]:
-    """Account, name and bank of one side, with the row's fault applied if it is on this side."""
-    fault = F.when(is_faulty_side, F.col("fault"))
-    low, high = UNKNOWN_NUMBER_RANGE
-    drawn = low + k % _FOLD * 982451 % (high - low + 1)
+def _account(active: str, faulty: str) -> str:
+    """Place of a side's account in the seeded list, or -1 for an unknown account.
+
+    ``active`` counts within the active accounts only.
+    """
+    places = lambda status: [str(i) for i, account in enumerate(ACCOUNTS) if account[3] == status]
+    inactive, blocked = places("INACTIVE"), places("BLOCKED")
+    return f"""CASE
+        WHEN {faulty} AND fault = 'inactive' THEN {_pick(inactive, f'k div 5 % {len(inactive)}')}
+        WHEN {faulty} AND fault = 'blocked' THEN {_pick(blocked, f'k % {len(blocked)}')}
+        WHEN {faulty} AND fault = 'unknown' THEN -1
+        ELSE {_pick(places('ACTIVE'), active)} END"""
+
+
+def _party(role: str, faulty: str) -> list[str]:
+    """Account, name and bank of one side, the bank with the row's fault applied."""
+    known = lambda field: _pick_text([account[field] for account in ACCOUNTS], role)
+    seeded = ", ".join(f"'{account[0]}'" for account in ACCOUNTS)
     # No two seeded numbers are neighbours, so the next number is free.
-    number = F.when(drawn.cast("string").isin([a[0] for a in ACCOUNTS]), drawn + 1).otherwise(drawn)
-
-    def field(position: int, unknown: Column) -> Column:
-        values = lambda accounts: [a[position] for a in accounts]
-        return (
-            F.when(fault == "inactive", _pick(values(INACTIVE), _div(k, 5) % len(INACTIVE)))
-            .when(fault == "blocked", _pick(values(BLOCKED), k % len(BLOCKED)))
-            .when(fault == "unknown", unknown)
-            .otherwise(_pick(values(ACTIVE), index))
-        )
-
-    any_bank = _pick([b[0] for b in BANK_CODES], _div(k, 11) % len(BANK_CODES))
-    unknown_bank = _pick(UNKNOWN_BANK_CODES, _div(k, 3) % len(UNKNOWN_BANK_CODES))
-    bank = F.when(fault == "bank_code", unknown_bank).otherwise(field(2, any_bank))
+    number = f"CAST(unknown + IF(CAST(unknown AS STRING) IN ({seeded}), 1, 0) AS STRING)"
+    some_bank = _pick_text([bank[0] for bank in BANK_CODES], f"k div 11 % {len(BANK_CODES)}")
+    no_bank = _pick_text(UNKNOWN_BANK_CODES, f"k div 3 % {len(UNKNOWN_BANK_CODES)}")
     return [
-        field(0, number.cast("string")).alias(f"{role}Account"),
-        field(1, F.lit(UNKNOWN_NAME)).alias(f"{role}AccountName"),
-        bank.alias(f"{role}BankCode"),
+        f"IF({role} < 0, {number}, {known(0)}) AS {role}Account",
+        f"IF({role} < 0, {quoted(UNKNOWN_NAME)}, {known(1)}) AS {role}AccountName",
+        f"""CASE WHEN {faulty} AND fault = 'bank_code' THEN {no_bank}
+                 WHEN {role} < 0 THEN {some_bank} ELSE {known(2)} END AS {role}BankCode""",
     ]
 
 
-def _div(k: Column, n: int) -> Column:
-    """Whole-number quotient; exact, since the division has no remainder."""
-    return ((k - k % n) / n).cast("bigint")
+def _pick(values, index: str) -> str:
+    """SQL: element of a fixed list by a 0-based index."""
+    return f"array({', '.join(values)})[CAST({index} AS INT)]"
 
 
-def _pick(values, index: Column) -> Column:
-    """Element of a fixed list by a 0-based index column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick_text(values, index: str) -> str:
+    return _pick([quoted(v) for v in values], index)

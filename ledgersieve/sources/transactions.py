@@ -75,10 +75,10 @@ def rescue_short_lines(scanned: DataFrame) -> DataFrame:
     return df.select(*kept, *[field(n) for n in TRANSACTION_FIELDS], corrupt)
 
 
-def write_transaction_files(transactions: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Writes raw transactions in the input format, one file per partition of the frame."""
+def write_transaction_files(transactions: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """Writes raw transactions in the input format, each task one file or several of limited size."""
     named = transactions.select(*[F.col(f).alias(h) for f, h in zip(TRANSACTION_FIELDS, CSV_HEADER)])
-    named.write.mode(mode).options(**WRITE_OPTIONS).csv(path)
+    named.write.mode("overwrite").options(**WRITE_OPTIONS, maxRecordsPerFile=rows_per_file).csv(path)
 
 
 def _ddl(schema) -> str:

@@ -31,11 +31,14 @@ from ..sources.transactions import stream_transactions, with_line_id
 class ChunkedRun:
     """A run in progress. ``start`` and ``resume`` create it; ``wait`` ends it."""
 
-    def __init__(self, spark, output, references, rules, run_id, output_id, input_path, resumed_from, max_files):
+    def __init__(
+        self, spark, output, references, rules, run_id, output_id, input_path, resumed_from, max_files, max_chunks=None
+    ):
         self.run_id = run_id
         self._spark, self._output, self._output_id = spark, output, output_id
         self._references, self._rules = references, rules
         self._stop = threading.Event()
+        self._chunks_left = max_chunks
         self._state = dict(
             run_id=run_id, output_id=output_id, input_path=input_path, resumed_from=resumed_from,
             start_time=datetime.now(timezone.utc),
@@ -52,11 +55,16 @@ class ChunkedRun:
     @classmethod
     def start(
         cls, spark: SparkSession, input_path: str, output: str, references: References,
-        *, max_files: int | None = None, rules: list[Rule] | None = None,
+        *, max_files: int | None = None, max_chunks: int | None = None, rules: list[Rule] | None = None,
     ) -> "ChunkedRun":
-        """Starts checking all files that are now in the directory."""
+        """Starts checking all files that are now in the directory.
+
+        With ``max_chunks`` the run stops by itself after so many chunks.
+        """
         run_id = new_run_id()
-        return cls(spark, output, references, rules, run_id, run_id, input_path, None, max_files)
+        return cls(
+            spark, output, references, rules, run_id, run_id, input_path, None, max_files, max_chunks
+        )
 
     @classmethod
     def resume(
@@ -71,7 +79,7 @@ class ChunkedRun:
         )
 
     def request_stop(self) -> None:
-        """Asks the run to stop once the current chunk is written."""
+        """Asks the run to stop once the chunk in progress is written and committed."""
         self._stop.set()
 
     def wait(self) -> str:
@@ -102,6 +110,10 @@ class ChunkedRun:
         steps.coalesce(1).write.mode("overwrite").parquet(
             f"{self._output}/steps/execution={self._output_id}-{chunk}"
         )
+        if self._chunks_left is not None:
+            self._chunks_left -= 1
+            if self._chunks_left <= 0:
+                self.request_stop()
 
     def _log(self, status: str, **values) -> None:
         exit_code = None if status == "STARTED" else status
