@@ -17,6 +17,11 @@ def clean_text(column: str) -> str:
     return f"btrim(coalesce({column}, ''), '{_BLANKS}')"
 
 
+def has_control_character(*columns: str) -> str:
+    """SQL: true if any of the columns holds a character below the space."""
+    return f"(concat_ws('', {', '.join(columns)}) RLIKE '[\\\\x00-\\\\x1f]')"
+
+
 def is_blank(column: str) -> str:
     return f"({clean_text(column)} = '')"
 
