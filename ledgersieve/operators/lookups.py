@@ -14,24 +14,19 @@ from ..sources.dimensions import account_lookup, bank_lookup, first_wins, limit_
 
 def join_bank(df: DataFrame, banks: DataFrame, code: str, prefix: str) -> DataFrame:
     """Adds {prefix}code, {prefix}name and {prefix}known for a bank code, compared without case."""
-    dim = _prefixed(bank_lookup(banks), prefix)
-    joined = df.join(dim, F.expr(f"{case_key(code)} = {prefix}bank_key"), "left")
-    return joined.selectExpr(
+    return attach_bank(df, bank_lookup(banks), code, prefix).selectExpr(
         *df.columns, f"{prefix}code", f"{prefix}name", f"{prefix}bank_key IS NOT NULL AS {prefix}known"
     )
 
 
 def join_limit(df: DataFrame, limits: DataFrame, transaction_type: str, prefix: str) -> DataFrame:
     """Adds the limit columns of a transaction type, compared without case; null if there is none."""
-    dim = _prefixed(limit_lookup(limits), prefix)
-    return df.join(dim, F.expr(f"{case_key(transaction_type)} = {prefix}type_key"), "left")
+    return attach_limit(df, limit_lookup(limits), transaction_type, prefix)
 
 
 def join_account(df: DataFrame, accounts: DataFrame, number: str, bank: str, prefix: str) -> DataFrame:
     """Adds {prefix}accountName, {prefix}bankCode, {prefix}status and {prefix}found."""
-    dim = _prefixed(account_lookup(accounts), prefix)
-    match = f"{number} = {prefix}account_key AND {case_key(bank)} = {prefix}account_bank_key"
-    return df.join(dim, F.expr(match), "left").selectExpr(
+    return attach_account(df, account_lookup(accounts), number, bank, prefix).selectExpr(
         *df.columns,
         f"{prefix}accountName",
         f"{prefix}bankCode",
@@ -40,6 +35,20 @@ def join_account(df: DataFrame, accounts: DataFrame, number: str, bank: str, pre
     )
 
 
+def attach_bank(df: DataFrame, lookup: DataFrame, code: str, prefix: str) -> DataFrame:
+    """The bare join with a ``bank_lookup``; its key is null where there is no match."""
+    return df.join(_prefixed(lookup, prefix), F.expr(f"{case_key(code)} = {prefix}bank_key"), "left")
+
+
+def attach_limit(df: DataFrame, lookup: DataFrame, transaction_type: str, prefix: str) -> DataFrame:
+    return df.join(_prefixed(lookup, prefix), F.expr(f"{case_key(transaction_type)} = {prefix}type_key"), "left")
+
+
+def attach_account(df: DataFrame, lookup: DataFrame, number: str, bank: str, prefix: str) -> DataFrame:
+    match = f"{number} = {prefix}account_key AND {case_key(bank)} = {prefix}account_bank_key"
+    return df.join(_prefixed(lookup, prefix), F.expr(match), "left")
+
+
 def rows_with_unknown_bank(df: DataFrame, banks: DataFrame, code: str) -> DataFrame:
     """Anti join: rows whose bank code is not in the table."""
     dim = bank_lookup(banks).select("bank_key")

@@ -12,11 +12,13 @@ from ..fixed_values import (
 )
 from ..functions.text import fill, quoted
 from ..operators.cleanse import cleanse
-from ..operators.lookups import join_account, join_bank, join_limit
+from ..operators.lookups import attach_account, attach_bank, attach_limit
 from ..operators.rules import Rule, apply_rules
 from ..operators.validators import amount_reason, is_active
 from ..schemas import CORRUPT_COLUMN, RESULTS
-from ..sources.dimensions import seeded_accounts, seeded_banks, seeded_limits
+from ..sources.dimensions import (
+    account_lookup, bank_lookup, limit_lookup, seeded_accounts, seeded_banks, seeded_limits,
+)
 from ..sources.transactions import rescue_short_lines
 
 
@@ -56,19 +58,20 @@ def look_up(clean: DataFrame, references: References) -> DataFrame:
     The accounts come first: if that table is too large to broadcast, the rows are
     shuffled before the small lookups have widened them.
     """
-    df = join_account(clean, references.accounts, "sourceAccount", "sourceBankCode", "_src_")
-    df = join_account(df, references.accounts, "beneficiaryAccount", "beneficiaryBankCode", "_bene_")
-    df = join_bank(df, references.banks, "sourceBankCode", "_src_bank_")
-    df = join_bank(df, references.banks, "beneficiaryBankCode", "_bene_bank_")
-    df = join_limit(df, references.limits, "transactionType", "_limit_")
+    accounts, banks = account_lookup(references.accounts), bank_lookup(references.banks)
+    df = attach_account(clean, accounts, "sourceAccount", "sourceBankCode", "_src_")
+    df = attach_account(df, accounts, "beneficiaryAccount", "beneficiaryBankCode", "_bene_")
+    df = attach_bank(df, banks, "sourceBankCode", "_src_bank_")
+    df = attach_bank(df, banks, "beneficiaryBankCode", "_bene_bank_")
+    df = attach_limit(df, limit_lookup(references.limits), "transactionType", "_limit_")
 
     def status(side: str) -> str:
-        return f"IF(_{side}_found, upper(_{side}_status), '{STATUS_NOT_FOUND}')"
+        return f"IF(_{side}_account_key IS NOT NULL, upper(_{side}_status), '{STATUS_NOT_FOUND}')"
 
     return df.selectExpr(
         *clean.columns,
-        "_src_bank_known AS source_bank_known",
-        "_bene_bank_known AS beneficiary_bank_known",
+        "_src_bank_bank_key IS NOT NULL AS source_bank_known",
+        "_bene_bank_bank_key IS NOT NULL AS beneficiary_bank_known",
         f"{amount_reason('transactionType', 'amount', 'amount_text', 'amount_rest', '_limit_')} AS amount_reason",
         # A pair with a blank field is refused as a whole, so neither account gets a result.
         "'' IN (sourceAccount, sourceBankCode, beneficiaryAccount, beneficiaryBankCode) AS no_account_result",

@@ -54,11 +54,12 @@ draws AS (
     {_list(x[0] for x in TRANSACTION_LIMITS)}[k % 4 + 1] AS transactionType,
     CAST({_list(x[1] for x in TRANSACTION_LIMITS)}[k % 4 + 1] AS BIGINT) AS lo,
     CAST({_list(x[2] for x in TRANSACTION_LIMITS)}[k % 4 + 1] AS BIGINT) AS hi,
-    CASE WHEN k * 7919 % 1000 < {rate} THEN NULL
-      WHEN k * 104729 % 997 % 100 < 30 THEN 'bank_code' WHEN k * 104729 % 997 % 100 < 55 THEN 'inactive'
-      WHEN k * 104729 % 997 % 100 < 70 THEN 'blocked' WHEN k * 104729 % 997 % 100 < 90 THEN 'unknown'
+    CASE WHEN (k % 1000003 + 1) * 1103515245 % 2147483647 % 1000 < {rate} THEN NULL
+      WHEN percent < 30 THEN 'bank_code' WHEN percent < 55 THEN 'inactive'
+      WHEN percent < 70 THEN 'blocked' WHEN percent < 90 THEN 'unknown'
       ELSE 'below_minimum' END AS fault
-  FROM (SELECT o_orderkey AS id, o_orderkey + {seed} AS k FROM orders)
+  FROM (SELECT *, (k % 1000003 + 1) * 742938285 % 2147483647 % 100 AS percent
+    FROM (SELECT o_orderkey AS id, o_orderkey + {seed} AS k FROM orders))
 ),
 made AS (
   SELECT id, printf('TRX-%07d', id) AS referenceId, {party("source", "s", "first_side")},

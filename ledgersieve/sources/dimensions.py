@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..fixed_values import ACCOUNTS, BANK_CODES, TRANSACTION_LIMITS
-from ..functions.amounts import with_amount
-from ..functions.text import case_key, clean_text
+from ..functions.text import case_key
 
 # Narrow rows (two keys, a name and a status): about 100 MB as a broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -62,15 +61,17 @@ def bank_lookup(banks: DataFrame) -> DataFrame:
 
 
 def limit_lookup(limits: DataFrame) -> DataFrame:
+    """Limits by type; each bound as a number and as written. A bound that is no number fails the query."""
     keyed = limits.withColumn("type_key", F.expr(case_key("transactionType")))
-    df = first_wins(keyed, ["type_key"], "ord").withColumns(
-        {f"_{side}": F.expr(clean_text(f"CAST({side}Amount AS STRING)")) for side in ("min", "max")}
-    )
-    for side in ("min", "max"):
-        df = with_amount(df, f"_{side}", f"{side}_amount", f"{side}_text", f"_{side}_rest")
-    return df.select(
-        "type_key", "transactionType", "min_amount", "min_text", "max_amount", "max_text", "currency"
-    )
+    bounds = [
+        column
+        for side in ("min", "max")
+        for column in (
+            f"CAST({side}Amount AS {schemas.AMOUNT_TYPE}) AS {side}_amount",
+            f"trim(CAST({side}Amount AS STRING)) AS {side}_text",
+        )
+    ]
+    return first_wins(keyed, ["type_key"], "ord").selectExpr("type_key", "transactionType", *bounds, "currency")
 
 
 def account_lookup(accounts: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def generate_transactions(
     types = len(TRANSACTION_LIMITS)
     drawn = ids.selectExpr("*", f"id + {int(seed)}L AS k").selectExpr(
         "*",
-        f"IF(k * 7919 % 1000 >= {round(1000 * (1 - rate))}, {_fault('k * 104729 % 997 % 100')}, NULL) AS fault",
+        f"IF({_draw(1103515245)} % 1000 >= {round(1000 * (1 - rate))}, {_fault()}, NULL) AS fault",
         "k div 7 % 2 = 0 AS at_source",
         f"{_pick([limit[1] + 'L' for limit in TRANSACTION_LIMITS], f'k % {types}')} AS low",
         f"{_pick([limit[2] + 'L' for limit in TRANSACTION_LIMITS], f'k % {types}')} AS high",
@@ -63,12 +63,17 @@ def generate_range(spark: SparkSession, rows: int, **kwargs) -> DataFrame:
     return generate_transactions(spark.range(1, rows + 1), **kwargs)
 
 
-def _fault(percent: str) -> str:
-    """The fault whose cumulative share covers ``percent`` (0..99)."""
+def _draw(factor: int) -> str:
+    """A multiplicative congruential draw: independent for different factors, below 2^31 - 1."""
+    return f"(k % {_FOLD} + 1) * {factor} % 2147483647"
+
+
+def _fault() -> str:
+    """The fault whose cumulative share, in percent, covers a draw."""
     cases, limit = [], 0
     for name, weight in FAULT_WEIGHTS:
         limit += weight
-        cases.append(f"WHEN {percent} < {limit} THEN '{name}'")
+        cases.append(f"WHEN {_draw(742938285)} % 100 < {limit} THEN '{name}'")
     return f"CASE {' '.join(cases)} END"
 
 
