@@ -5,6 +5,11 @@ row per key, so a join can neither lose nor multiply transactions. No join is
 hinted blindly: Spark broadcasts a side whose size it knows to be small, AQE
 decides again on real sizes, and a larger side is sort-merge joined with skewed
 partitions split.
+
+The lookups derive their join key after the aggregate that makes it unique. Were
+the grouping key itself joined on, the planner would join right on top of the
+aggregate, without a shuffle of its own for that side, and AQE could then no longer
+split the partition of a hot bank or account.
 """
 
 from __future__ import annotations
@@ -56,13 +61,17 @@ def first_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def bank_lookup(banks: DataFrame) -> DataFrame:
-    keyed = banks.withColumn("bank_key", F.expr(case_key("code")))
-    return first_wins(keyed, ["bank_key"], "ord").select("bank_key", "code", "name")
+    """Banks by code without case."""
+    winners = first_wins(banks.withColumn("_key", F.expr(case_key("code"))), ["_key"], "ord")
+    return winners.selectExpr(f"{case_key('code')} AS bank_key", "code", "name")
 
 
 def limit_lookup(limits: DataFrame) -> DataFrame:
-    """Limits by type; each bound as a number and as written. A bound that is no number fails the query."""
-    keyed = limits.withColumn("type_key", F.expr(case_key("transactionType")))
+    """Limits by type without case; each bound as a number and as written.
+
+    A bound that is no number fails the query.
+    """
+    winners = first_wins(limits.withColumn("_key", F.expr(case_key("transactionType"))), ["_key"], "ord")
     bounds = [
         column
         for side in ("min", "max")
@@ -71,25 +80,21 @@ def limit_lookup(limits: DataFrame) -> DataFrame:
             f"trim(CAST({side}Amount AS STRING)) AS {side}_text",
         )
     ]
-    return first_wins(keyed, ["type_key"], "ord").selectExpr("type_key", "transactionType", *bounds, "currency")
+    return winners.selectExpr(
+        f"{case_key('transactionType')} AS type_key", "transactionType", *bounds, "currency"
+    )
 
 
 def account_lookup(accounts: DataFrame) -> DataFrame:
-    """Accounts by number (as is) and bank (without case). A duplicate key fails the query.
-
-    The aggregate that finds duplicates leaves the rows partitioned by the join
-    key, so a sort-merge join needs no further shuffle of this side.
-    """
-    keyed = accounts.groupBy(
-        F.col("accountNumber").alias("account_key"), F.expr(f"{case_key('bankCode')} AS account_bank_key")
-    ).agg(
+    """Accounts by number (as is) and bank (without case). A duplicate key fails the query."""
+    grouped = accounts.groupBy("accountNumber", F.expr(f"{case_key('bankCode')} AS _bank_key")).agg(
         F.expr("count(*) AS copies"),
         *[F.expr(f"max({c}) AS {c}") for c in ("accountName", "bankCode", "status")],
     )
-    error = "raise_error(concat('Duplicate account key ', account_key, ':', account_bank_key))"
-    return keyed.selectExpr(
-        "account_key",
-        "account_bank_key",
+    error = "raise_error(concat('Duplicate account key ', accountNumber, ':', _bank_key))"
+    return grouped.selectExpr(
+        "accountNumber AS account_key",
+        f"{case_key('bankCode')} AS account_bank_key",
         "accountName",
         "bankCode",
         f"IF(copies > 1, CAST({error} AS STRING), status) AS status",

@@ -133,10 +133,10 @@ def test_only_needed_columns_are_scanned(spark, references, tmp_path):
     assert "EqualTo(currency,IDR)" in plan
 
 
-def test_hot_account_is_split_when_accounts_are_not_broadcast(spark, references, conf):
-    """A third of all rows have one source account; its partition is split, and nothing is lost."""
+def test_hot_accounts_are_split_when_accounts_are_not_broadcast(spark, references, conf):
+    """A third of the rows have one source and two fifths one beneficiary; both joins split them."""
     conf(
-        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__autoBroadcastJoinThreshold="10KB",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="30KB",
@@ -145,21 +145,23 @@ def test_hot_account_is_split_when_accounts_are_not_broadcast(spark, references,
     rows = spark.range(0, 30_000, 1, 8).selectExpr(
         "CAST(id AS STRING) AS referenceId",
         "IF(id % 3 = 0, '1234567890', CAST(id AS STRING)) AS sourceAccount", "'A' AS sourceAccountName",
-        "'BCA' AS sourceBankCode", "'0987654321' AS beneficiaryAccount", "'B' AS beneficiaryAccountName",
-        "'BNI' AS beneficiaryBankCode", "'IDR' AS currency", "'500000' AS amount", "'TRANSFER' AS transactionType",
-        "'' AS note",
+        "IF(id % 3 = 0 OR id % 2 = 0, 'BCA', 'BNI') AS sourceBankCode",
+        "IF(id % 5 < 2, '0987654321', concat('b', id)) AS beneficiaryAccount", "'B' AS beneficiaryAccountName",
+        "IF(id % 5 < 2, 'BNI', 'bri') AS beneficiaryBankCode", "'IDR' AS currency", "'500000' AS amount",
+        "IF(id % 2 = 0, 'TRANSFER', 'TOPUP') AS transactionType", "'' AS note",
     )
-    from ledgersieve.operators.lookups import join_account
-
-    clean = cleanse(rows)
-    joined = join_account(clean, references.accounts, "sourceAccount", "sourceBankCode", "a_")
-    out = joined.select("referenceId", "sourceAccount", "a_found", "a_status")
-    found = out.collect()
-    assert len(found) == 30_000 and sum(r.a_found for r in found) == 10_000
-    assert "SortMergeJoin(skew=true)" in plan_of(out)
-    checked = validate_transactions(clean, references)
-    totals = checked.selectExpr("count(*) AS n", "count_if(valid) AS ok", "count(DISTINCT referenceId) AS ids").first()
-    assert tuple(totals) == (30_000, 10_000, 30_000)
+    others = spark.range(0, 20_000).selectExpr("concat('x', id)", "'N'", "IF(id % 2 = 0, 'BCA', 'BRI')", "'ACTIVE'")
+    accounts = references.accounts.union(others)
+    checked = validate_transactions(cleanse(rows), References(references.banks, references.limits, accounts))
+    found = checked.select("referenceId", "valid", "validationErrors").collect()
+    assert plan_of(checked.select("valid")).count("BroadcastHashJoin") == 3
+    ids = [int(r.referenceId) for r in found]
+    assert sorted(ids) == list(range(30_000))
+    assert {int(r.referenceId) for r in found if r.valid} == {i for i in range(30_000) if i % 3 == 0 and i % 5 < 2}
+
+    out = checked.select("referenceId", "valid", "validationErrors")
+    out.collect()
+    assert plan_of(out).split("Initial Plan")[0].count("SortMergeJoin(skew=true)") == 2
 
 
 def test_account_table_is_shuffled_once_for_both_sides(spark, references, conf):
