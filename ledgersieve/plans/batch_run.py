@@ -6,14 +6,15 @@ import time
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from ..fixed_values import DEFAULT_PARTITIONS, RESTARTABLE_STATUSES
+from ..operators.cleanse import cleanse
 from ..operators.rules import Rule
 from ..sources.transactions import resolve_input, scan_transactions, with_line_id
 from .outputs import stage_results, write_ranges
 from .run_log import append_state, count_steps, read_runs
-from .validation import References, check_lines
+from .validation import Mapper, References, check_lines
 
 
 def new_run_id() -> str:
@@ -30,6 +31,7 @@ def run_validation(
     default_input: str | None = None,
     partitions: int = DEFAULT_PARTITIONS,
     rules: list[Rule] | None = None,
+    mapper: Mapper = cleanse,
     **scan_options: str,
 ) -> str:
     """Checks all lines of the input and writes both outputs; returns the run id.
@@ -38,7 +40,7 @@ def run_validation(
     """
     path = resolve_input(input_path, default_input)
     run_id = new_run_id()
-    _execute(spark, path, output, references, run_id, run_id, None, partitions, rules, scan_options)
+    _execute(spark, path, output, references, run_id, run_id, None, partitions, rules, mapper, scan_options)
     return run_id
 
 
@@ -50,6 +52,7 @@ def resume_run(
     *,
     partitions: int = DEFAULT_PARTITIONS,
     rules: list[Rule] | None = None,
+    mapper: Mapper = cleanse,
     **scan_options: str,
 ) -> str:
     """Repeats a stopped or failed run with the same input as a new execution; returns its id.
@@ -61,13 +64,14 @@ def resume_run(
     check_status(run, RESTARTABLE_STATUSES, "resumed")
     new_id = new_run_id()
     _execute(
-        spark, run.input_path, output, references, new_id, run.output_id, run_id, partitions, rules, scan_options
+        spark, run.input_path, output, references, new_id, run.output_id, run_id, partitions, rules, mapper,
+        scan_options,
     )
     return new_id
 
 
 def find_run(spark: SparkSession, output: str, run_id: str):
-    run = read_runs(spark, output).filter(f"run_id = '{run_id}'").first()
+    run = read_runs(spark, output).filter(F.col("run_id") == run_id).first()
     if run is None:
         raise LookupError(f"no run {run_id}")
     return run
@@ -78,7 +82,7 @@ def check_status(run, allowed: tuple[str, ...], action: str) -> None:
         raise ValueError(f"run {run.run_id} is {run.status}; only {' or '.join(allowed)} runs can be {action}")
 
 
-def _execute(spark, path, output, references, run_id, output_id, resumed_from, partitions, rules, scan_options):
+def _execute(spark, path, output, references, run_id, output_id, resumed_from, partitions, rules, mapper, scan_options):
     start = datetime.now(timezone.utc)
     state = dict(
         run_id=run_id, output_id=output_id, input_path=path, resumed_from=resumed_from, start_time=start
@@ -86,7 +90,7 @@ def _execute(spark, path, output, references, run_id, output_id, resumed_from, p
     append_state(spark, output, seq=time.time_ns(), status="STARTED", **state)
     try:
         lines = with_line_id(scan_transactions(spark, path, **scan_options))
-        stored = stage_results(check_lines(lines, references, rules), output, output_id)
+        stored = stage_results(check_lines(lines, references, rules, mapper), output, output_id)
         labelled = write_ranges(stored, output, output_id, partitions)
         end = datetime.now(timezone.utc)
         count_steps(labelled, run_id, start, end).coalesce(1).write.mode("overwrite").parquet(

@@ -26,7 +26,8 @@ def read_runs(spark: SparkSession, output: str) -> DataFrame:
 
 
 def read_steps(spark: SparkSession, output: str) -> DataFrame:
-    return spark.read.schema(schemas.RUN_STEPS).parquet(f"{output}/steps")
+    steps = spark.read.schema(schemas.RUN_STEPS).parquet(f"{output}/steps")
+    return steps.drop("execution")
 
 
 def count_steps(labelled: DataFrame, run_id: str, start: datetime, end: datetime) -> DataFrame:

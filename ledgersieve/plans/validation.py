@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,10 @@ from ..sources.dimensions import (
 from ..sources.transactions import rescue_short_lines
 
 
+# Raw text columns in, cleansed rows as ``cleanse`` gives them out.
+Mapper = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class References:
     """The three tables a transaction is checked against."""
@@ -94,14 +99,18 @@ def validate_transactions(
     return checked.select(*clean.columns, "amount_reason")
 
 
-def check_lines(scanned: DataFrame, references: References, rules: list[Rule] | None = None) -> DataFrame:
+def check_lines(
+    scanned: DataFrame, references: References, rules: list[Rule] | None = None, mapper: Mapper = cleanse
+) -> DataFrame:
     """Scanned lines (with ``line_id``) to result rows: the fields, the errors and the outcome.
 
+    ``rules`` and ``mapper`` replace the standard rules and the standard ``cleanse``.
+
     The outcome is valid, invalid, or quarantined for a line with a wrong number of
     fields. No line is left out, so line ids stay gapless within a task. The amount
     is shown as printed.
     """
-    checked = validate_transactions(cleanse(rescue_short_lines(scanned)), references, rules)
+    checked = validate_transactions(rescue_short_lines(scanned).transform(mapper), references, rules)
     good = f"{CORRUPT_COLUMN} IS NULL"
     changed = {
         "amount": "amount_text",

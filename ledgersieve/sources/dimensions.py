@@ -21,10 +21,6 @@ from .. import schemas
 from ..fixed_values import ACCOUNTS, BANK_CODES, TRANSACTION_LIMITS
 from ..functions.text import case_key
 
-# Narrow rows (two keys, a name and a status): about 100 MB as a broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
 def seeded_banks(spark: SparkSession) -> DataFrame:
     return local_table(spark, schemas.BANKS, [(*row, i) for i, row in enumerate(BANK_CODES)])
 
@@ -110,15 +106,6 @@ def duplicate_accounts(accounts: DataFrame) -> DataFrame:
     )
 
 
-def hint_by_size(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint if the table has at most ``max_rows`` rows, else the table as it is.
-
-    For tables computed by a query, where Spark has no usable size estimate. The
-    count stops early: it reads at most ``max_rows`` + 1 rows.
-    """
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
-
-
 def local_table(spark: SparkSession, ddl: str, rows) -> DataFrame:
     """A small local relation; unlike a parallelised list its size is known to the planner."""
     names = [part.split()[0] for part in ddl.split(", ")]

@@ -15,16 +15,18 @@ from __future__ import annotations
 import threading
 import time
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..fixed_values import RESTARTABLE_STATUSES
+from ..operators.cleanse import cleanse
 from ..operators.rules import Rule
 from ..plans.batch_run import check_status, find_run, new_run_id
 from ..plans.outputs import stage_results, write_chunk
 from ..plans.run_log import append_state, count_steps
-from ..plans.validation import References, check_lines
+from ..plans.validation import Mapper, References, check_lines
 from ..sources.transactions import stream_transactions, with_line_id
 
 
@@ -32,11 +34,10 @@ class ChunkedRun:
     """A run in progress. ``start`` and ``resume`` create it; ``wait`` ends it."""
 
     def __init__(
-        self, spark, output, references, rules, run_id, output_id, input_path, resumed_from, max_files, max_chunks=None
+        self, spark, output, check, run_id, output_id, input_path, resumed_from, max_files, max_chunks=None
     ):
         self.run_id = run_id
-        self._spark, self._output, self._output_id = spark, output, output_id
-        self._references, self._rules = references, rules
+        self._spark, self._output, self._output_id, self._check = spark, output, output_id, check
         self._stop = threading.Event()
         self._chunks_left = max_chunks
         self._state = dict(
@@ -56,30 +57,31 @@ class ChunkedRun:
     def start(
         cls, spark: SparkSession, input_path: str, output: str, references: References,
         *, max_files: int | None = None, max_chunks: int | None = None, rules: list[Rule] | None = None,
+        mapper: Mapper = cleanse,
     ) -> "ChunkedRun":
         """Starts checking all files that are now in the directory.
 
         With ``max_chunks`` the run stops by itself after so many chunks.
         """
         run_id = new_run_id()
-        return cls(
-            spark, output, references, rules, run_id, run_id, input_path, None, max_files, max_chunks
-        )
+        check = partial(check_lines, references=references, rules=rules, mapper=mapper)
+        return cls(spark, output, check, run_id, run_id, input_path, None, max_files, max_chunks)
 
     @classmethod
     def resume(
         cls, spark: SparkSession, run_id: str, output: str, references: References,
-        *, max_files: int | None = None, rules: list[Rule] | None = None,
+        *, max_files: int | None = None, rules: list[Rule] | None = None, mapper: Mapper = cleanse,
     ) -> "ChunkedRun":
         """Goes on after the last committed chunk of a stopped or failed run, as a new execution."""
         run = find_run(spark, output, run_id)
         check_status(run, RESTARTABLE_STATUSES, "resumed")
-        return cls(
-            spark, output, references, rules, new_run_id(), run.output_id, run.input_path, run_id, max_files
-        )
+        check = partial(check_lines, references=references, rules=rules, mapper=mapper)
+        return cls(spark, output, check, new_run_id(), run.output_id, run.input_path, run_id, max_files)
 
     def request_stop(self) -> None:
         """Asks the run to stop once the chunk in progress is written and committed."""
+        if not self.query.isActive:
+            raise ValueError(f"run {self.run_id} is not running")
         self._stop.set()
 
     def wait(self) -> str:
@@ -100,7 +102,7 @@ class ChunkedRun:
             # The chunk is not begun, so the one before it is the last committed.
             raise InterruptedError("stop requested")
         start = datetime.now(timezone.utc)
-        results = check_lines(with_line_id(lines), self._references, self._rules)
+        results = self._check(with_line_id(lines))
         stored = stage_results(results, self._output, self._output_id, chunk)
         write_chunk(stored, self._output, self._output_id, chunk)
         steps = count_steps(
@@ -113,7 +115,7 @@ class ChunkedRun:
         if self._chunks_left is not None:
             self._chunks_left -= 1
             if self._chunks_left <= 0:
-                self.request_stop()
+                self._stop.set()
 
     def _log(self, status: str, **values) -> None:
         exit_code = None if status == "STARTED" else status

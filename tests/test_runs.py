@@ -56,6 +56,22 @@ def test_header_of_the_output_files(spark, references, tmp_path):
     assert firsts["valid"][1].split(",")[8] == "500000"
 
 
+def test_own_mapper_and_rules(spark, references, tmp_path):
+    from ledgersieve.operators.cleanse import cleanse
+    from ledgersieve.operators.rules import Rule
+
+    out = str(tmp_path / "out")
+    run_validation(
+        spark, write_csv(tmp_path / "in.csv", LINES), out, references, partitions=1,
+        rules=[Rule("small", "amount < 60000", "concat('small for ', currency)")],
+        mapper=lambda raw: cleanse(raw.withColumn("currency", raw.transactionType)),
+    )
+    errors = {r.referenceId: r.validationErrors for r in read_output(spark, out, "invalid").collect()}
+    assert errors == {
+        "TRX-T003": "small for PAYMENT", "TRX-T011": "small for TRANSFER", "TRX-T013": "small for PAYMENT",
+    }
+
+
 def test_runs_add_up(spark, references, tmp_path):
     source, out = write_csv(tmp_path / "in.csv", LINES), str(tmp_path / "out")
     ids = [run_validation(spark, source, out, references, partitions=1) for _ in range(2)]
@@ -100,6 +116,8 @@ def test_chunked_run_stops_after_a_chunk_and_resumes(spark, references, tmp_path
     assert rows.count() == rows.select("referenceId").distinct().count() == 52
     expected = {(f"P{i}-{r[0][4:]}", r[-1]) for i in range(4) for r in GOLDEN}
     assert {(r.referenceId, r.validationErrors) for r in rows.collect()} == expected
+    with pytest.raises(ValueError, match="not running"):
+        again.request_stop()
     status = {r.run_id: r.status for r in run_log.read_runs(spark, out).collect()}
     assert status == {run.run_id: "STOPPED", again.run_id: "COMPLETED"}
     steps = run_log.run_progress(run_log.read_steps(spark, out))

@@ -6,7 +6,7 @@ from ledgersieve.operators.validators import (
     check_batches, validate_accounts, validate_accounts_in_bulk, validate_amounts, validate_bank_codes,
 )
 from ledgersieve.sources.dimensions import (
-    bank_lookup, duplicate_accounts, first_wins, hint_by_size, local_table, read_accounts, read_banks, read_limits,
+    bank_lookup, duplicate_accounts, first_wins, local_table, read_accounts, read_banks, read_limits,
 )
 
 
@@ -136,12 +136,6 @@ def test_duplicate_accounts(spark, references):
     assert duplicate_accounts(more).collect() == [("1234567890", "BCA", 2)]
 
 
-def test_hint_by_size(spark, references):
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(hint_by_size(references.accounts, 15))
-    assert "broadcast" not in plan(hint_by_size(references.accounts, 14))
-
-
 def test_reference_tables_from_files(spark, tmp_path):
     (tmp_path / "banks.csv").write_text("code,name,ord\nBCA,Bank Central Asia,0\n")
     (tmp_path / "limits.csv").write_text("transactionType,minAmount,maxAmount,currency,ord\nT,10.50,99,IDR,0\n")
