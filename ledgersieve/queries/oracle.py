@@ -281,9 +281,9 @@ _ORACLE = {
     "join_beneficiary_bank": _join_bank("beneficiary"),
     "join_source_account": _join_account("source"),
     "join_beneficiary_account": _join_account("beneficiary"),
-    "same_account_override": f"""{_CHECKED_CTE} SELECT referenceId, sourceBankCode, beneficiaryBankCode,
-        s_status AS source_status, b_status AS beneficiary_status FROM checked
-        WHERE sourceAccount = beneficiaryAccount""",
+    "same_account_override": f"""{_CHECKED_CTE} SELECT referenceId, sourceAccount = beneficiaryAccount AS same_account,
+        sourceBankCode, beneficiaryBankCode, s_status AS source_status, b_status AS beneficiary_status
+        FROM checked""",
     "limit_by_type": """SELECT DISTINCT o_orderpriority AS transactionType, '5000' AS minAmount,
         '400000' AS maxAmount, 'IDR' AS currency FROM orders WHERE upper(o_orderpriority) = '2-HIGH'""",
     "unknown_banks_anti": f"""{_CLEAN_CTE}, {_SIDES} SELECT referenceId, side, bank FROM sides

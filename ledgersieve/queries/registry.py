@@ -198,9 +198,10 @@ def join_beneficiary_account(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("same_account_override")
 def same_account_override(spark: SparkSession, folder: str) -> DataFrame:
-    same = _clean(spark, folder).filter("sourceAccount = beneficiaryAccount")
-    return look_up(same, References.seeded(spark)).select(
-        "referenceId", "sourceBankCode", "beneficiaryBankCode", "source_status", "beneficiary_status"
+    looked_up = look_up(_clean(spark, folder), References.seeded(spark))
+    return looked_up.selectExpr(
+        "referenceId", "sourceAccount = beneficiaryAccount AS same_account", "sourceBankCode", "beneficiaryBankCode",
+        "source_status", "beneficiary_status",
     )
 
 
