@@ -112,7 +112,7 @@ def local_table(spark: SparkSession, ddl: str, rows) -> DataFrame:
     columns = list(zip(*rows))
     types = [pa.int32() if part.endswith(" int") else pa.string() for part in ddl.split(", ")]
     table = pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
-    return spark.createDataFrame(table)
+    return spark.createDataFrame(table).coalesce(1)
 
 
 def _read(spark: SparkSession, path: str, fmt: str, ddl: str) -> DataFrame:

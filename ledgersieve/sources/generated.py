@@ -29,22 +29,25 @@ def generate_transactions(
     """
     rate = max(0.0, min(1.0, invalid_rate))
     low, high = UNKNOWN_NUMBER_RANGE
-    types = len(TRANSACTION_LIMITS)
-    drawn = ids.selectExpr("*", f"id + {int(seed)}L AS k").selectExpr(
+    # Intermediate values are columns, so that each is computed once and the generated code stays short.
+    folded = ids.selectExpr("*", f"id + {int(seed)}L AS k").selectExpr(
+        "*", f"k % {_FOLD} AS folded", "k * 31 % 12 AS first_active", f"k % {len(TRANSACTION_LIMITS)} AS type"
+    )
+    drawn = folded.selectExpr("*", f"{_draw(742938285)} % 100 AS percent").selectExpr(
         "*",
         f"IF({_draw(1103515245)} % 1000 >= {round(1000 * (1 - rate))}, {_fault()}, NULL) AS fault",
         "k div 7 % 2 = 0 AS at_source",
-        f"{_pick([limit[1] + 'L' for limit in TRANSACTION_LIMITS], f'k % {types}')} AS low",
-        f"{_pick([limit[2] + 'L' for limit in TRANSACTION_LIMITS], f'k % {types}')} AS high",
-        f"{low} + k % {_FOLD} * 982451 % {high - low + 1} AS unknown",
+        f"{_pick([limit[1] + 'L' for limit in TRANSACTION_LIMITS], 'type')} AS low",
+        f"{_pick([limit[2] + 'L' for limit in TRANSACTION_LIMITS], 'type')} AS high",
+        f"{low} + folded * 982451 % {high - low + 1} AS unknown",
     )
     sides = drawn.selectExpr(
         "*",
-        f"{_account('k * 31 % 12', 'at_source')} AS source",
-        f"{_account('(k * 31 % 12 + 1 + k * 17 % 11) % 12', 'NOT at_source')} AS beneficiary",
+        f"{_account('first_active', 'at_source')} AS source",
+        f"{_account('(first_active + 1 + k * 17 % 11) % 12', 'NOT at_source')} AS beneficiary",
     )
-    amount = f"""IF(fault = 'below_minimum', 1 + k % {_FOLD} * 15485863 % (low - 1),
-                    low + k % {_FOLD} * 1299709 % (high - low + 1))"""
+    amount = """IF(fault = 'below_minimum', 1 + folded * 15485863 % (low - 1),
+                   low + folded * 1299709 % (high - low + 1))"""
     return sides.selectExpr(
         *ids.columns,
         "format_string('TRX-%07d', id) AS referenceId",
@@ -52,7 +55,7 @@ def generate_transactions(
         *_party("beneficiary", "NOT at_source"),
         f"'{GENERATOR_CURRENCY}' AS currency",
         f"CAST({amount} AS STRING) AS amount",
-        f"{_pick_text([limit[0] for limit in TRANSACTION_LIMITS], f'k % {types}')} AS transactionType",
+        f"{_pick_text([limit[0] for limit in TRANSACTION_LIMITS], 'type')} AS transactionType",
         f"{_pick_text(NOTES, f'k div 13 % {len(NOTES)}')} AS note",
         "fault",
     )
@@ -65,51 +68,53 @@ def generate_range(spark: SparkSession, rows: int, **kwargs) -> DataFrame:
 
 def _draw(factor: int) -> str:
     """A multiplicative congruential draw: independent for different factors, below 2^31 - 1."""
-    return f"(k % {_FOLD} + 1) * {factor} % 2147483647"
+    return f"(folded + 1) * {factor} % 2147483647"
 
 
 def _fault() -> str:
-    """The fault whose cumulative share, in percent, covers a draw."""
+    """The fault whose cumulative share covers the drawn percent (0..99)."""
     cases, limit = [], 0
     for name, weight in FAULT_WEIGHTS:
         limit += weight
-        cases.append(f"WHEN {_draw(742938285)} % 100 < {limit} THEN '{name}'")
+        cases.append(f"WHEN percent < {limit} THEN '{name}'")
     return f"CASE {' '.join(cases)} END"
 
 
 def _account(active: str, faulty: str) -> str:
-    """Place of a side's account in the seeded list, or -1 for an unknown account.
+    """A side's account (number, name, bank) from the seeded list, or null for an unknown one.
 
     ``active`` counts within the active accounts only.
     """
     places = lambda status: [str(i) for i, account in enumerate(ACCOUNTS) if account[3] == status]
     inactive, blocked = places("INACTIVE"), places("BLOCKED")
-    return f"""CASE
+    place = f"""CASE
         WHEN {faulty} AND fault = 'inactive' THEN {_pick(inactive, f'k div 5 % {len(inactive)}')}
         WHEN {faulty} AND fault = 'blocked' THEN {_pick(blocked, f'k % {len(blocked)}')}
-        WHEN {faulty} AND fault = 'unknown' THEN -1
-        ELSE {_pick(places('ACTIVE'), active)} END"""
+        WHEN NOT ({faulty} AND fault <=> 'unknown') THEN {_pick(places('ACTIVE'), active)} END"""
+    rows = [
+        f"named_struct('number', {quoted(number)}, 'name', {quoted(name)}, 'bank', {quoted(bank)})"
+        for number, name, bank, _ in ACCOUNTS
+    ]
+    return _pick(rows, place)
 
 
 def _party(role: str, faulty: str) -> list[str]:
     """Account, name and bank of one side, the bank with the row's fault applied."""
-    known = lambda field: _pick_text([account[field] for account in ACCOUNTS], role)
     seeded = ", ".join(f"'{account[0]}'" for account in ACCOUNTS)
     # No two seeded numbers are neighbours, so the next number is free.
     number = f"CAST(unknown + IF(CAST(unknown AS STRING) IN ({seeded}), 1, 0) AS STRING)"
     some_bank = _pick_text([bank[0] for bank in BANK_CODES], f"k div 11 % {len(BANK_CODES)}")
     no_bank = _pick_text(UNKNOWN_BANK_CODES, f"k div 3 % {len(UNKNOWN_BANK_CODES)}")
     return [
-        f"IF({role} < 0, {number}, {known(0)}) AS {role}Account",
-        f"IF({role} < 0, {quoted(UNKNOWN_NAME)}, {known(1)}) AS {role}AccountName",
-        f"""CASE WHEN {faulty} AND fault = 'bank_code' THEN {no_bank}
-                 WHEN {role} < 0 THEN {some_bank} ELSE {known(2)} END AS {role}BankCode""",
+        f"coalesce({role}.number, {number}) AS {role}Account",
+        f"coalesce({role}.name, {quoted(UNKNOWN_NAME)}) AS {role}AccountName",
+        f"IF({faulty} AND fault = 'bank_code', {no_bank}, coalesce({role}.bank, {some_bank})) AS {role}BankCode",
     ]
 
 
 def _pick(values, index: str) -> str:
     """SQL: element of a fixed list by a 0-based index."""
-    return f"array({', '.join(values)})[CAST({index} AS INT)]"
+    return f"get(array({', '.join(values)}), CAST({index} AS INT))"
 
 
 def _pick_text(values, index: str) -> str:
