@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgersieve.queries.oracle import all_oracles
+from ledgersieve.queries.registry import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the given tables are not here")
 
@@ -27,6 +29,8 @@ def ordered(rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
