@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import round_trip
 from .mixing import mix_sources
+from .shipping import ship_package
+from .wavelet import read_shards, write_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,13 +24,26 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return read_shards(write_shards(_table(spark, folder, "documents"), tokenizer, end_id=2))
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return round_trip(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-_QUERIES = (op2_mix_sources, op8_byte_bpe)
+_QUERIES = (op2_mix_sources, op7_wavelet_shards, op8_byte_bpe)
 
 
 def all_queries() -> dict[str, Query]:
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: _shipped(query) for query in _QUERIES}
+
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, folder)
+
+    return run
