@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import round_trip
 from .mixing import mix_sources
 from .shipping import ship_package
+from .simhash import near_duplicates
 from .wavelet import read_shards, write_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,11 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(_table(spark, folder, "documents"), shingle_words=3, max_bits=3)
+    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
 def op7_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return read_shards(write_shards(_table(spark, folder, "documents"), tokenizer, end_id=2))
@@ -34,7 +40,7 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-_QUERIES = (op2_mix_sources, op7_wavelet_shards, op8_byte_bpe)
+_QUERIES = (op2_mix_sources, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe)
 
 
 def all_queries() -> dict[str, Query]:
