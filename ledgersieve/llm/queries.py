@@ -11,6 +11,7 @@ from .bpe import round_trip
 from .mixing import mix_sources
 from .shipping import ship_package
 from .simhash import near_duplicates
+from .suffixes import cut_repeats, kept_digests
 from .wavelet import read_shards, write_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +41,11 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-_QUERIES = (op2_mix_sources, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe)
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return kept_digests(cut_repeats(_table(spark, folder, "documents"), window=13))
+
+
+_QUERIES = (op2_mix_sources, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe, op10_suffix_dedup)
 
 
 def all_queries() -> dict[str, Query]:
