@@ -35,7 +35,21 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op2_mix_sources": MIXING}
+TOP_K = """
+WITH used AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM used q JOIN used c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op1_mtree_top_k": TOP_K, "op2_mix_sources": MIXING}
 
 
 def all_oracles() -> dict[str, str]:

@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .ann import nearest_by_cosine
 from .bpe import round_trip
 from .mixing import mix_sources
+from .mtree import top_inner_products
 from .shipping import ship_package
 from .simhash import near_duplicates
 from .suffixes import cut_repeats, kept_digests
@@ -21,11 +23,19 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_mtree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_inner_products(_table(spark, folder, "embeddings"), every=100, k=10, scale=1024)
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix_sources(_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_by_cosine(_table(spark, folder, "embeddings"), every=50, k=5)
+
+
 def op6_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_table(spark, folder, "documents"), shingle_words=3, max_bits=3)
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
@@ -45,7 +55,9 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept_digests(cut_repeats(_table(spark, folder, "documents"), window=13))
 
 
-_QUERIES = (op2_mix_sources, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe, op10_suffix_dedup)
+_QUERIES = (
+    op1_mtree_top_k, op2_mix_sources, op5_adaptive_scan, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe, op10_suffix_dedup,
+)
 
 
 def all_queries() -> dict[str, Query]:
