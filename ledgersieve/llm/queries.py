@@ -11,6 +11,8 @@ from .ann import nearest_by_cosine
 from .bpe import round_trip
 from .mixing import mix_sources
 from .mtree import top_inner_products
+from .pages import extract_main_text
+from .quality import classify_quality
 from .shipping import ship_package
 from .simhash import near_duplicates
 from .suffixes import cut_repeats, kept_digests
@@ -32,6 +34,10 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return classify_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels")).drop("text_hash")
+
+
 def op5_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_by_cosine(_table(spark, folder, "embeddings"), every=50, k=5)
 
@@ -51,12 +57,16 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op9_page_differencing(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(_table(spark, folder, "pages"))
+
+
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept_digests(cut_repeats(_table(spark, folder, "documents"), window=13))
 
 
 _QUERIES = (
-    op1_mtree_top_k, op2_mix_sources, op5_adaptive_scan, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe, op10_suffix_dedup,
+    op1_mtree_top_k, op2_mix_sources, op3_kneser_ney_quality, op5_adaptive_scan, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe, op9_page_differencing, op10_suffix_dedup,
 )
 
 
