@@ -179,47 +179,30 @@ def rank_encoder(path: str, pattern: str) -> RankEncoder:
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Token ids of every document: doc_id, ids (binary, four little-endian bytes each).
+    """Encodes every document, decodes the ids again, and returns the ids and digests of both.
 
-    ``ranks_path`` must be readable at the same place on every executor. A null text is encoded as
-    an empty one and gives no ids. Each row is encoded on its own, so null, repeated or equal
-    doc_ids and further columns change nothing, and no row is shuffled.
+    doc_id, n_tokens, ids (binary, little-endian unsigned 32-bit integers), ids_sha256 and
+    decoded_sha256 (of the decoded bytes), both in lowercase hex. ``ranks_path`` must be readable at
+    the same place on every executor. A null text is encoded as an empty one and gives no ids. Each
+    row is encoded on its own, so null, repeated or equal doc_ids and further columns change nothing,
+    and no row is shuffled.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = rank_encoder(ranks_path, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [encoder.encode(text or "") for text in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, ids binary")
-
-
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Encodes every document, decodes the ids again, and returns digests of both.
-
-    doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit integers) and
-    decoded_sha256 (of the decoded bytes). Rows are treated as in ``encode_documents``.
-    """
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = rank_encoder(ranks_path, pattern)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                rows: list[tuple[int, str, str]] = []
+                rows: list[tuple[int, bytes, str, str]] = []
                 for text in part.column("text").to_pylist():
                     ids = encoder.encode(text or "")
                     decoded = encoder.decode(ids)
-                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-                counts, ids_sha, decoded_sha = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(decoded_sha)],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                    rows.append((len(ids) // 4, ids, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+                kinds = (pa.int64(), pa.binary(), pa.string(), pa.string())
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names)
 
+    names = ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        encode, f"doc_id {kind}, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string"
     )

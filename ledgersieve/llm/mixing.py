@@ -25,8 +25,9 @@ def mix_sources(
 ) -> DataFrame:
     """How many words of each document the mix takes.
 
-    ``docs`` needs doc_id, text and source; further columns are ignored. Returns doc_id, source,
-    size (words), source_size, target (double), budget (the target in whole words) and taken.
+    ``docs`` needs doc_id, text and source; further columns are ignored. Returns doc_id, text_hash
+    (xxhash64 of the text), source, size (words), source_size, target (double), budget (the target in
+    whole words) and taken.
 
     The sources, by code point and null last, get ``weights`` in turn. Together they are to give
     ``share`` of all words, none more than ``most_epochs`` times its own; what a source cannot give
@@ -34,13 +35,13 @@ def mix_sources(
     at the cut gives only its first words.
 
     Null and empty texts have size 0 and give nothing. Null doc_ids draw one common key. Rows with
-    the same doc_id are taken shorter first; rows that also have the same size are alike here, so
-    reruns agree. An empty table gives an empty result.
+    the same doc_id are taken shorter first, then by text_hash, so reruns agree. An empty table gives an empty result.
     """
     sized = stored(
         docs.select(
             "doc_id",
             "source",
+            F.xxhash64("text").alias("text_hash"),
             word_count(F.col("text")).alias("size"),
             F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("draw"),
         ),
@@ -51,7 +52,7 @@ def mix_sources(
     ranged = sized.withColumn("bucket", F.shiftright(first_bits * buckets, 32))
 
     heads = _bucket_heads(ranged, weights, share, most_epochs)
-    rows = ranged.select("source", "bucket", "draw", "doc_id", "size", F.lit(False).alias("head")).unionByName(
+    rows = ranged.select("source", "bucket", "draw", "doc_id", "text_hash", "size", F.lit(False).alias("head")).unionByName(
         heads.select(
             "source", "bucket", F.lit("").alias("draw"), F.lit(True).alias("head"),
             F.col("before").alias("size"), "source_size", "target", "budget",
@@ -60,16 +61,16 @@ def mix_sources(
     )
     # The head of a bucket comes first and counts all that lies before the bucket.
     bucket = Window.partitionBy("source", "bucket")
-    earlier = bucket.orderBy(F.desc("head"), "draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = bucket.orderBy(F.desc("head"), "draw", "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.select(
-        "doc_id", "source", "size", "head",
+        "doc_id", "text_hash", "source", "size", "head",
         F.sum("size").over(earlier).alias("before"),
         *[F.max(c).over(earlier).alias(c) for c in ("source_size", "target", "budget")],
     ).filter("NOT head")
     epochs = F.expr("IF(source_size = 0, 0L, budget div source_size)")
     cut = F.col("budget") - epochs * F.col("source_size") - F.col("before")
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target", "budget",
+        "doc_id", "text_hash", "source", "size", "source_size", "target", "budget",
         (epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), cut))).alias("taken"),
     )
 

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .ann import nearest_by_cosine
-from .bpe import round_trip
+from .bpe import encode_documents
+from .licenses import scan_licenses
 from .mixing import mix_sources
 from .mtree import top_inner_products
 from .pages import extract_main_text
@@ -38,13 +39,18 @@ def op3_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
     return classify_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels")).drop("text_hash")
 
 
+def op4_license_compression(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(_table(spark, folder, "documents"))
+
+
 def op5_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_by_cosine(_table(spark, folder, "embeddings"), every=50, k=5)
 
 
 def op6_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_table(spark, folder, "documents"), shingle_words=3, max_bits=3)
-    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def op7_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,7 +60,7 @@ def op7_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return round_trip(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return encode_documents(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN).drop("ids")
 
 
 def op9_page_differencing(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,7 +72,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _QUERIES = (
-    op1_mtree_top_k, op2_mix_sources, op3_kneser_ney_quality, op5_adaptive_scan, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe, op9_page_differencing, op10_suffix_dedup,
+    op1_mtree_top_k, op2_mix_sources, op3_kneser_ney_quality, op4_license_compression, op5_adaptive_scan, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe, op9_page_differencing, op10_suffix_dedup,
 )
 
 

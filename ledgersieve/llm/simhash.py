@@ -37,18 +37,23 @@ def text_fingerprint(text: str | None, shingle_words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
-    """doc_id and the fingerprint (long) of the whole text, lower-cased in A-Z; 0 for a text without words."""
+    """doc_id, text_hash (xxhash64 of the text) and the fingerprint (long) of the whole text, lower-cased in A-Z.
+
+    A text without words has fingerprint 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
                 found = np.array([text_fingerprint(t, shingle_words) for t in rows.column("text").to_pylist()], dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"]
+                    [rows.column("doc_id"), rows.column("text_hash"), pa.array(found.view(np.int64))],
+                    ["doc_id", "text_hash", "fingerprint"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint long")
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return hashed.mapInArrow(run, f"doc_id {kind}, text_hash long, fingerprint long")
 
 
 def near_duplicates(
@@ -56,8 +61,9 @@ def near_duplicates(
 ) -> DataFrame:
     """Components of documents whose fingerprints differ in ``max_bits`` bits or fewer.
 
-    Returns doc_id, fingerprint (long) and component_id: the smallest doc_id that links reach, its
-    own included. Further columns of ``docs`` are ignored. Null and empty texts share fingerprint 0,
+    Returns doc_id, text_hash (xxhash64 of the text), fingerprint (long), component_id: the smallest
+    doc_id that links reach, its own included, and root: a fingerprint that names the component where
+    doc_ids repeat. Further columns of ``docs`` are ignored. Null and empty texts share fingerprint 0,
     which links as any other. Null doc_ids are linked but name no component unless all are null.
     Repeated rows come back as often as they are given. ``sample_rows`` bounds the sample behind the
     upper tree, which only spreads work: every fingerprint is searched.
@@ -73,9 +79,10 @@ def near_duplicates(
         .select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
     )
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    groups = rooted.join(names, "root").select("fingerprint", "component_id")
+    groups = rooted.join(names, "root").select("fingerprint", "component_id", "root")
     return prints.join(groups, "fingerprint", "left").select(
-        "doc_id", "fingerprint", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "text_hash", "fingerprint", F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("root", "fingerprint").alias("root"),
     )
 
 
