@@ -20,12 +20,14 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .texts import slices
 
 _LEVELS = (1, 2, 4)
-_CELLS = 1 << 15
+_CELLS = 1 << 14
+_SLICE_CHARS = 2_000_000
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = np.uint64(0xD1342543DE82EF95)
 _LINE = np.uint64(0xBF58476D1CE4E5B9)
@@ -84,7 +86,7 @@ def _texts(rows: pa.RecordBatch) -> list[bytes]:
 
 def _cells(line: WordLine, starts: np.ndarray, window: int) -> list[np.ndarray]:
     """For each level, the cell of every suffix's prefix of that many words."""
-    return [(line.runs(min(n, window), starts) >> np.uint64(49)).astype(np.int64) for n in _LEVELS]
+    return [(line.runs(min(n, window), starts) >> np.uint64(50)).astype(np.int64) for n in _LEVELS]
 
 
 class PrefixShards:
@@ -131,36 +133,38 @@ def repeated_windows(docs: DataFrame, window: int = 13, shard_suffixes: int = 1_
     """Where windows of words start that also start in a document with a smaller doc_id.
 
     doc_id, text_hash (xxhash64 of the text; tells rows with one doc_id apart), places (binary:
-    ascending 32-bit word numbers); several rows per document. Windows do not cross documents.
+    ascending 32-bit word numbers). Windows do not cross documents.
     """
     shards = PrefixShards(_prefix_counts(docs, window), shard_suffixes)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in slices(batch, "text"):
-                yield from _suffix_rows(rows, shards, window)
+            for rows in slices(batch, "text", _SLICE_CHARS):
+                yield from _suffix_rows(rows, part << 32 | number, shards, window)
+                number += 1
 
-    kind = "doc_id long, text_hash long, places binary"
     packed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        suffixes, f"shard long, docs binary, suffixes binary, {kind}"
+        suffixes, "shard long, slice long, ids binary, suffixes binary, keys binary, settled binary"
     )
-    return packed.groupBy("shard").applyInArrow(_leaves_to_cut, kind)
+    leaves = packed.groupBy("shard").applyInArrow(_leaves_to_cut, "slice long, keys binary, leaves binary")
+    return leaves.groupBy("slice").applyInArrow(_by_document, "doc_id long, text_hash long, places binary")
 
 
-def _suffix_rows(rows: pa.RecordBatch, shards: PrefixShards, window: int) -> Iterator[pa.RecordBatch]:
-    """A run of documents as one packed row per shard, and rows with the windows already known to go.
+def _suffix_rows(rows: pa.RecordBatch, number: int, shards: PrefixShards, window: int) -> Iterator[pa.RecordBatch]:
+    """A slice of documents as one packed row per shard; the first one also names the documents.
 
-    Among the documents of the run, all but the first to have a window are settled here, so that a
+    Among the documents of the slice, all but the first to have a window are settled here, so that a
     passage copied many times sends few suffixes to its shard.
     """
     line = WordLine(_texts(rows))
     starts, text = line.windows(window)
     if not len(starts):
         return
-    keys = rows.column("doc_id").fill_null(0).to_numpy()
+    ids = rows.column("doc_id").fill_null(0).to_numpy()
     named = rows.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-    rank = _id_ranks(keys, named)
-    hashes = rows.column("text_hash").to_numpy()
+    rank = _id_ranks(ids, named)
+    keys = zlib.compress(np.stack([ids, named.astype(np.int64), rows.column("text_hash").to_numpy(), line.bounds[:-1]]).tobytes(), 1)
 
     paths = line.runs(window, starts)
     by_path = np.argsort(paths, kind="stable")
@@ -169,91 +173,85 @@ def _suffix_rows(rows: pa.RecordBatch, shards: PrefixShards, window: int) -> Ite
     np.minimum.at(lowest, node, rank[text[by_path]])
     goes = np.empty(len(starts), dtype=bool)
     goes[by_path] = rank[text[by_path]] > lowest[node]
+    settled = _pack_steps(starts[goes])
 
-    local = starts - line.bounds[text]
-    for number in np.unique(text[goes]):
-        span = slice(*np.searchsorted(text, [number, number + 1]))
-        doc_id, text_hash = int(keys[number]) if named[number] else None, int(hashes[number])
-        yield _suffix_row((hash((doc_id, text_hash)) % shards.shards), None, None, doc_id, text_hash, local[span][goes[span]])
-
-    stay = ~goes
-    shard = shards.of(line, starts[stay], window)
+    starts, text, paths = starts[~goes], text[~goes], paths[~goes]
+    shard = shards.of(line, starts, window)
     order = np.argsort(shard, kind="stable")
-    cuts = np.flatnonzero(np.diff(shard[order])) + 1
-    for part in np.split(order, cuts):
-        if not len(part):
-            continue
-        texts, place_of = np.unique(text[stay][part], return_inverse=True)
-        head = np.stack([keys[texts], named[texts].astype(np.int64), hashes[texts]])
-        body = np.empty(len(part), dtype=[("path", "<u8"), ("text", "<u4"), ("place", "<u4")])
-        body["path"], body["text"], body["place"] = paths[stay][part], place_of, local[stay][part]
-        yield _suffix_row(int(shard[part[0]]), head.tobytes(), _pack(body), None, None, None)
-
-
-def _pack(body: np.ndarray) -> bytes:
-    """Paths as they are; text and place as differences, deflated: they ascend."""
-    steps = np.diff(body["text"].astype(np.int64), prepend=0).astype("<u4").tobytes()
-    places = np.diff(body["place"].astype(np.int64), prepend=0).astype("<i4").tobytes()
-    packed = zlib.compress(steps + places, 1)
-    return len(body).to_bytes(4, "little") + body["path"].tobytes() + packed
-
-
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    size = int.from_bytes(data[:4], "little")
-    rest = zlib.decompress(data[4 + 8 * size :])
-    return (
-        np.frombuffer(data, "<u8", size, 4),
-        np.cumsum(np.frombuffer(rest, "<u4", size), dtype=np.int64),
-        np.cumsum(np.frombuffer(rest, "<i4", size, 4 * size), dtype=np.int64),
-    )
+    for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+        texts, first = np.unique(text[part], return_index=True)
+        owners = np.stack([ids[texts], named[texts].astype(np.int64), first])
+        own_ids = zlib.compress(np.diff(owners, prepend=0, axis=1).astype("<i8").T.tobytes(), 1)
+        data = len(part).to_bytes(4, "little") + paths[part].astype("<u8").tobytes() + _pack_steps(starts[part])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([int(shard[part[0]])], pa.int64()), pa.array([number], pa.int64()), pa.array([own_ids], pa.binary()),
+                pa.array([data], pa.binary()), pa.array([keys], pa.binary()), pa.array([settled], pa.binary()),
+            ],
+            ["shard", "slice", "ids", "suffixes", "keys", "settled"],
+        )
+        keys = settled = None
 
 
-def _suffix_row(shard: int, docs, suffixes, doc_id, text_hash, places) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
-    packed = None if places is None else places.astype("<u4").tobytes()
-    values = (shard, docs, suffixes, doc_id, text_hash, packed)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([v], k) for v, k in zip(values, kinds, strict=True)],
-        ["shard", "docs", "suffixes", "doc_id", "text_hash", "places"],
-    )
+def _pack_steps(ascending: np.ndarray) -> bytes:
+    """Ascending numbers as deflated differences, low bytes first."""
+    steps = np.diff(ascending.astype(np.int64), prepend=0).astype("<u4")
+    return zlib.compress(steps.view("u1").reshape(-1, 4).T.tobytes(), 1)
 
 
-def _leaves_to_cut(rows: pa.Table) -> pa.Table:
-    """The leaves below a shard's internal nodes, but those of each node's first document."""
-    settled = rows.filter(rows["suffixes"].is_null()).select(["doc_id", "text_hash", "places"])
-    packed = rows.filter(rows["suffixes"].is_valid())
-    heads, paths, owner, places, known = [], [], [], [], 0
-    for head, body in zip(packed["docs"].to_pylist(), packed["suffixes"].to_pylist(), strict=True):
-        head = np.frombuffer(head, "<i8").reshape(3, -1)
-        path, text, place = _unpack(body)
-        heads.append(head)
-        paths.append(path)
-        owner.append((text + known).astype(np.uint32))
-        places.append(place.astype(np.uint32))
-        known += head.shape[1]
-    if not heads:
-        return settled
-    ids, named, hashes = np.concatenate(heads, axis=1)
-    paths, owner, places = np.concatenate(paths), np.concatenate(owner), np.concatenate(places)
-    rank = _id_ranks(ids, named == 1)
+def _unpack_steps(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), "u1").reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.int64)
+
 
+def _leaves_to_cut(rows: pa.Table) -> pa.Table:
+    """The leaves below a shard's internal nodes, but those of each node's first document, by slice."""
+    ids, named, paths, owner, starts, sizes, known = [], [], [], [], [], [], 0
+    for head, data in zip(rows["ids"].to_pylist(), rows["suffixes"].to_pylist(), strict=True):
+        own_ids, own_named, first = np.cumsum(np.frombuffer(zlib.decompress(head), "<i8").reshape(-1, 3), axis=0).T
+        size = int.from_bytes(data[:4], "little")
+        ids.append(own_ids)
+        named.append(own_named == 1)
+        paths.append(np.frombuffer(data, "<u8", size, 4))
+        starts.append(_unpack_steps(data[4 + 8 * size :]).astype(np.uint32))
+        owner.append(np.repeat(np.arange(known, known + len(first), dtype=np.uint32), np.diff(np.append(first, size))))
+        sizes.append(size)
+        known += len(first)
+    rank = _id_ranks(np.concatenate(ids), np.concatenate(named))[np.concatenate(owner)]
+    del ids, named, owner
+    paths, starts = np.concatenate(paths), np.concatenate(starts)
     by_path = np.argsort(paths, kind="stable")
-    paths, owner, places = paths[by_path], owner[by_path], places[by_path]
+    paths = paths[by_path]
     new_node = np.concatenate([[True], paths[1:] != paths[:-1]])
-    first = np.minimum.reduceat(rank[owner], np.flatnonzero(new_node))
-    cut = rank[owner] > first[np.cumsum(new_node) - 1]
-    owner, places = owner[cut], places[cut]
-    order = np.lexsort((places, owner))
-    owner, places = owner[order], places[order].astype("<u4")
-    texts, begins = np.unique(owner, return_index=True)
-    found = pa.table(
+    first = np.minimum.reduceat(rank[by_path], np.flatnonzero(new_node))
+    cut = np.empty(len(paths), dtype=bool)
+    cut[by_path] = rank[by_path] > first[np.cumsum(new_node) - 1]
+    ends = np.cumsum(sizes)
+    leaves = [
+        zlib.compress(b"") if not cut[end - size : end].any() else _pack_steps(starts[end - size : end][cut[end - size : end]])
+        for end, size in zip(ends.tolist(), sizes, strict=True)
+    ]
+    found = pa.table({"slice": rows["slice"], "keys": rows["keys"], "leaves": pa.array(leaves, pa.binary())})
+    settled = rows.filter(rows["settled"].is_valid())
+    nameless = pa.nulls(len(settled), pa.binary())
+    return pa.concat_tables([found, pa.table({"slice": settled["slice"], "keys": nameless, "leaves": settled["settled"]})])
+
+
+def _by_document(rows: pa.Table) -> pa.Table:
+    """A slice's leaves as places within its documents."""
+    keys = next(k for k in rows["keys"].to_pylist() if k is not None)
+    ids, named, hashes, bounds = np.frombuffer(zlib.decompress(keys), "<i8").reshape(4, -1)
+    starts = np.sort(np.concatenate([_unpack_steps(leaves) for leaves in rows["leaves"].to_pylist()]))
+    text = np.searchsorted(bounds, starts, side="right") - 1
+    texts, begins = np.unique(text, return_index=True)
+    places = np.split((starts - bounds[text]).astype("<u4"), begins[1:]) if len(texts) else []
+    return pa.table(
         {
             "doc_id": pa.array(ids[texts], pa.int64(), mask=named[texts] == 0),
             "text_hash": pa.array(hashes[texts], pa.int64()),
-            "places": pa.array([p.tobytes() for p in np.split(places, begins[1:])] if len(texts) else [], pa.binary()),
+            "places": pa.array([p.tobytes() for p in places], pa.binary()),
         }
     )
-    return pa.concat_tables([settled, found])
 
 
 def _id_ranks(ids: np.ndarray, named: np.ndarray) -> np.ndarray:
