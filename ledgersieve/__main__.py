@@ -2,6 +2,7 @@
 
     python -m ledgersieve generate --rows 100000 --out data/transactions
     python -m ledgersieve start --input data/transactions --output data/out
+    python -m ledgersieve stop --output data/out --run ID
     python -m ledgersieve status --output data/out [--run ID]
     python -m ledgersieve summary --output data/out
 
@@ -58,16 +59,28 @@ def _status(spark, args):
     if args.run:
         run_log.run_status(runs, run_log.read_steps(spark, args.output), args.run).show(truncate=False, vertical=True)
     else:
-        run_log.runs_latest(run_log.with_elapsed(runs)).select(
+        _print(run_log.runs_latest(run_log.with_elapsed(runs)).select(
             "run_id", "status", "elapsed", "input_path", "resumed_from"
-        ).show(truncate=False)
+        ))
+
+
+def _stop(spark, args):
+    run_log.request_stop(spark, args.output, args.run)
+    print(args.run, run_log.STOPPING)
+
+
+def _print(report) -> None:
+    """All rows of a report, fetched part by part."""
+    print("\t".join(report.columns))
+    for row in report.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
 
 
 def _summary(spark, args):
-    reports.output_counts(read_both_outputs(spark, args.output)).orderBy("outcome", "partition").show(1000, False)
+    _print(reports.output_counts(read_both_outputs(spark, args.output)).orderBy("outcome", "partition"))
     invalid = read_output(spark, args.output, "invalid")
-    reports.errors_by_type(invalid).show(truncate=False)
-    reports.error_histogram(invalid).show(20, False)
+    _print(reports.errors_by_type(invalid))
+    _print(reports.error_histogram(invalid))
 
 
 def _references(spark, args) -> References:
@@ -105,6 +118,7 @@ def _parser() -> argparse.ArgumentParser:
     )
     command("start", _start, ("--input", {"required": True}), output, *run_options)
     command("resume", _resume, run, output, *run_options)
+    command("stop", _stop, run, output)
     command("status", _status, output, ("--run", {}))
     command("summary", _summary, output)
     return parser

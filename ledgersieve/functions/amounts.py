@@ -2,13 +2,16 @@
 
 An amount is arbitrary-precision text. Three columns stand for it:
 
-* ``amount``       decimal(38,18), cut to 18 decimals or clamped; 0 if the text is no number
+* ``amount``       decimal(38,18), cut to 18 decimals; null if it has over 20 digits before the
+                   point, 0 if the text is no number
 * ``amount_text``  the number as printed: the written scale is kept, an exponent is
                    used only for a negative scale or a leading digit beyond 1e-6
-* ``amount_rest``  sign of what ``amount`` leaves out of the real value, 0 if exact
+* ``amount_rest``  sign of what ``amount`` leaves out of the real value (of all of it if
+                   ``amount`` is null), 0 if exact
 
 With the rest the range tests are exact for any text, since limits have at most
-18 decimals: a value cut to the maximum with a positive rest lies above it.
+18 decimals: a value cut to the maximum with a positive rest lies above it, and one too
+large for the decimal lies on the side of its sign.
 """
 
 from __future__ import annotations
@@ -22,7 +25,6 @@ _CANONICAL = r"\\A(0|[1-9][0-9]{0,19})([.][0-9]{1,6})?\\z"
 # sign, digits, decimals | decimals only, exponent
 _NUMBER = r"\\A([+-]?)(?:([0-9]+)(?:[.]([0-9]*))?|[.]([0-9]+))(?:[eE]([+-]?[0-9]+))?\\z"
 _MAX_SCALE = 2**31 - 1
-_LARGEST = "9" * 20 + "." + "9" * 18
 
 
 def with_amount(df: DataFrame, source: str, amount: str, text: str, rest: str) -> DataFrame:
@@ -37,12 +39,12 @@ def with_amount(df: DataFrame, source: str, amount: str, text: str, rest: str) -
 
 def below(amount: str, rest: str, minimum: str) -> str:
     """SQL text: the real amount is less than the minimum."""
-    return f"({amount} < {minimum} OR ({rest} < 0 AND {amount} = {minimum}))"
+    return f"(coalesce({amount} < {minimum}, {rest} < 0) OR ({rest} < 0 AND {amount} = {minimum}))"
 
 
 def above(amount: str, rest: str, maximum: str) -> str:
     """SQL text: the real amount is greater than the maximum."""
-    return f"({amount} > {maximum} OR ({rest} > 0 AND {amount} = {maximum}))"
+    return f"(coalesce({amount} > {maximum}, {rest} > 0) OR ({rest} > 0 AND {amount} = {maximum}))"
 
 
 def _struct(value: str, text: str, rest: str) -> str:
@@ -89,9 +91,8 @@ def _general(raw: str) -> str:
         WHEN n.scale > 0 AND n.exponent >= -6 THEN concat('0.', lpad(n.digits, {small}, '0'))
         ELSE concat(left(n.digits, 1), IF(n.size = 1, '', concat('.', substring(n.digits, 2))),
                     'E', IF(n.exponent > 0, '+', ''), n.exponent) END"""
-    clamped = f"CAST(concat(n.sign, '{_LARGEST}') AS {AMOUNT_TYPE})"
     number = _let("c", cut, _struct(
-        f"coalesce(c, {clamped})",
+        "c",
         f"concat(n.sign, {printed})",
         f"CASE WHEN c IS NULL OR {lost} THEN IF(n.sign = '-', -1, 1) ELSE 0 END",
     ))

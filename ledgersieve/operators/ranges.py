@@ -1,46 +1,46 @@
 """Contiguous ranges of lines: ceil(N / g) lines each, the last one shorter.
 
-A global row number would need all rows in one task. Here rows are numbered
-within their task, the tasks' row counts are summed up (one small row per task),
-and each row adds its task's offset.
+A global row number would need all rows in one task. Here rows are numbered within
+their block (a file split, or a sort partition), the blocks' row counts are summed up
+(one small row per block), and each row adds its block's offset.
 """
 
 from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import shared_dir
 
 _ROW_BITS = 33
-# Offsets are two numbers per task: 2 million are some 100 MB as a broadcast.
-_MAX_BROADCAST_TASKS = 2_000_000
 
 
-def label_ranges(df: DataFrame, ranges: int, line_id: str = "line_id", label: str = "partition") -> DataFrame:
-    """Adds the 0-based range of each row, by the order of ``line_id``.
+def label_ranges(
+    df: DataFrame, ranges: int, blocks: tuple[str, ...] = ("line_file", "line_block"), line_id: str = "line_id",
+    label: str = "partition",
+) -> DataFrame:
+    """Adds the 0-based range of each row, by the order of its block and, within it, of ``line_id``.
 
-    ``df`` must be stored (a table or a checkpoint), since ids may differ between
-    two evaluations of a query, and hold all rows of each task.
+    ``df`` must be stored (a table or a checkpoint), since ids may differ between two
+    evaluations of a query, and hold all rows of each block; the ids of a block are gapless.
+    The window sees one row per block.
     """
+    placed = df.join(block_offsets(df, blocks, line_id), _same(blocks), "left")
+    size = max(1, ceil(df.count() / ranges))
+    place = F.col("_offset") + F.col(line_id)
+    return placed.withColumn(label, F.floor(place / size).cast("int")).drop("_offset", *[f"_{b}" for b in blocks])
+
+
+def block_offsets(df: DataFrame, blocks: tuple[str, ...], line_id: str = "line_id") -> DataFrame:
+    """Per block (under names with an underscore) what to add to a line's id to get its place."""
     shared_dir(df.sparkSession)
-    task = F.shiftright(F.col(line_id), _ROW_BITS)
-    tasks = df.groupBy(task.alias("_task")).agg(
-        F.count("*").alias("_rows"), F.min(_row(line_id)).alias("_first")
+    sizes = df.groupBy(*[F.col(b).alias(f"_{b}") for b in blocks]).agg(
+        F.count("*").alias("_rows"), F.min(line_id).alias("_first")
     )
-    tasks = tasks.checkpoint()
-    total, task_count = tasks.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.count("*")).first()
-    size = max(1, ceil(total / ranges))
-    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tasks.select(
-        "_task", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_offset")
-    )
-    if task_count <= _MAX_BROADCAST_TASKS:
-        offsets = F.broadcast(offsets)
-    joined = df.join(offsets, task == F.col("_task"))
-    place = F.col("_offset") + _row(line_id)
-    return joined.withColumn(label, F.floor(place / size).cast("int")).drop("_task", "_offset")
+    earlier = Window.orderBy(*[f"_{b}" for b in blocks]).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    return sizes.select(*[f"_{b}" for b in blocks], (before - F.col("_first")).alias("_offset")).checkpoint()
 
 
 def range_split(df: DataFrame, order: list[str], ranges: int, label: str = "partition") -> DataFrame:
@@ -51,24 +51,22 @@ def range_split(df: DataFrame, order: list[str], ranges: int, label: str = "part
     """
     shared_dir(df.sparkSession)
     placed = df.withColumn("_place", F.monotonically_increasing_id())
-    ordered = placed.orderBy(*order, "_place").drop("_place")
-    stored = ordered.withColumn("_line", F.monotonically_increasing_id()).checkpoint()
-    return label_ranges(stored, ranges, "_line", label).drop("_line")
+    ordered = placed.orderBy(*order, "_place").drop("_place").withColumn("_line", F.monotonically_increasing_id())
+    stored = ordered.withColumn("_task", F.shiftright("_line", _ROW_BITS)).checkpoint()
+    return label_ranges(stored, ranges, ("_task",), "_line", label).drop("_line", "_task")
 
 
-def range_bounds(df: DataFrame, ranges: int) -> DataFrame:
-    """First and last line of each range (startLine, endLine, partition); line 1 is the header."""
-    size = F.ceil(F.col("total") / ranges)
-    start = F.col("partition") * size + 2
-    numbered = df.agg(F.count("*").alias("total")).select(
-        "total", F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))).alias("partition")
-    )
-    return numbered.filter(start <= F.col("total") + 1).select(
-        start.alias("startLine"),
-        F.least(start + size - 1, F.col("total") + 1).alias("endLine"),
-        "partition",
+def range_bounds(labelled: DataFrame, blocks: tuple[str, ...] = ("line_file", "line_block"), line_id: str = "line_id") -> DataFrame:
+    """First and last line of each range as it was written (startLine, endLine, partition); line 1 is the header."""
+    placed = labelled.join(block_offsets(labelled, blocks, line_id), _same(blocks), "left")
+    line = F.col("_offset") + F.col(line_id) + 2
+    return placed.groupBy("partition").agg(F.min(line).alias("startLine"), F.max(line).alias("endLine")).select(
+        "startLine", "endLine", "partition"
     )
 
 
-def _row(line_id: str) -> Column:
-    return F.col(line_id).bitwiseAND((1 << _ROW_BITS) - 1)
+def _same(blocks: tuple[str, ...]):
+    condition = F.lit(True)
+    for block in blocks:
+        condition &= F.col(block).eqNullSafe(F.col(f"_{block}"))
+    return condition

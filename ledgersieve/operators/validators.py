@@ -36,17 +36,18 @@ def amount_reason(transaction_type: str, amount: str, text: str, rest: str, pref
 
 
 def validate_amounts(df: DataFrame, limits: DataFrame, transaction_type: str, amount: str) -> DataFrame:
-    """Replaces the amount text by its number and adds ``valid`` and ``reason``.
+    """Replaces the amount text by its number and adds ``amount_text``, ``valid`` and ``reason``.
 
-    Checked in this order: type unknown, below the minimum, above the maximum.
+    ``amount_text`` is the exact number as printed; the number is null if it has more than
+    20 digits before the point. Checked in this order: type unknown, below the minimum, above the maximum.
     Both bounds are inclusive.
     """
     written = df.withColumn("_written", F.expr(clean_text(f"CAST({amount} AS STRING)"))).drop(amount)
-    typed = with_amount(written, "_written", amount, "_text", "_rest")
-    reason = amount_reason(transaction_type, amount, "_text", "_rest", "_limit_")
+    typed = with_amount(written, "_written", amount, "amount_text", "_rest")
+    reason = amount_reason(transaction_type, amount, "amount_text", "_rest", "_limit_")
     return join_limit(typed, limits, transaction_type, "_limit_").selectExpr(
-        *df.columns, f"{reason} AS reason"
-    ).selectExpr(*df.columns, "reason IS NULL AS valid", "reason")
+        *df.columns, "amount_text", f"{reason} AS reason"
+    ).selectExpr(*df.columns, "amount_text", "reason IS NULL AS valid", "reason")
 
 
 def validate_accounts(df: DataFrame, accounts: DataFrame, number: str, bank: str) -> DataFrame:
@@ -81,31 +82,28 @@ def validate_accounts_in_bulk(
 ) -> DataFrame:
     """One row per batch: accepted, totalRequested, totalValid, totalInvalid, results.
 
-    ``position`` is the 0-based place of an entry in its batch. A batch is accepted
-    if it has 1 to 100 entries and no blank field; a refused one has only
-    ``totalRequested``. ``results`` is in the order of the request.
+    A batch is accepted if it has 1 to 100 entries and no blank field; a refused one has
+    only ``totalRequested``. ``results`` is ordered by ``position``, which may start
+    anywhere, have gaps and repeat.
 
-    Entries are combined per batch before the shuffle. Places from 100 on can only
-    belong to a refused batch and are counted but not gathered, so no group holds
-    more than 100 entries however large a batch is.
+    The contract is checked first, by an aggregate that holds two numbers per batch.
+    Only entries of accepted batches are looked up and gathered, at most 100 each.
     """
+    batches = check_batches(requests, batch, number, bank)
+    accepted = batches.filter("accepted").select(F.col(batch).alias("_batch"))
+    entries = requests.join(accepted, F.col(batch).eqNullSafe(F.col("_batch")), "left_semi")
     fields = ("accountNumber", "bankCode", "accountName", "valid", "status", "reason")
     entry = f"struct({position} AS position, {', '.join(fields)})"
-    grouped = validate_accounts(requests, accounts, number, bank).groupBy(batch).agg(
-        F.expr("count(*) AS totalRequested"),
-        F.expr("count_if(valid) AS _valid"),
-        F.expr(f"count_if({has_blank_field('accountNumber', 'bankCode')}) AS _blank"),
-        F.expr(f"max({position}) AS _last"),
-        F.expr(f"collect_list(CASE WHEN {position} < {MAX_BULK_ACCOUNTS} THEN {entry} END) AS _entries"),
+    gathered = validate_accounts(entries, accounts, number, bank).groupBy(F.col(batch).alias("_batch")).agg(
+        F.expr("count_if(valid) AS _valid"), F.expr(f"array_sort(collect_list({entry})) AS results")
     )
-    accepted = f"{batch_is_accepted('totalRequested', '_blank')} AND _last < {MAX_BULK_ACCOUNTS}"
-    return grouped.withColumn("accepted", F.expr(accepted)).selectExpr(
+    return batches.join(gathered, F.col(batch).eqNullSafe(F.col("_batch")), "left").selectExpr(
         batch,
         "accepted",
-        "totalRequested",
-        "IF(accepted, _valid, NULL) AS totalValid",
-        "IF(accepted, totalRequested - _valid, NULL) AS totalInvalid",
-        "IF(accepted, array_sort(_entries), NULL) AS results",
+        "size AS totalRequested",
+        "_valid AS totalValid",
+        "size - _valid AS totalInvalid",
+        "results",
     )
 
 

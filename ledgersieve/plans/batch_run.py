@@ -8,12 +8,12 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession, functions as F
 
-from ..fixed_values import DEFAULT_PARTITIONS, RESTARTABLE_STATUSES
+from ..fixed_values import DEFAULT_PARTITIONS, RESTARTABLE_STATUSES, STOPPABLE_STATUSES
 from ..operators.cleanse import cleanse
 from ..operators.rules import Rule
 from ..sources.transactions import resolve_input, scan_transactions, with_line_id
 from .outputs import stage_results, write_ranges
-from .run_log import append_state, count_steps, read_runs
+from .run_log import STOPPING, append_state, count_steps, read_runs
 from .validation import Mapper, References, check_lines
 
 
@@ -53,15 +53,17 @@ def resume_run(
     partitions: int = DEFAULT_PARTITIONS,
     rules: list[Rule] | None = None,
     mapper: Mapper = cleanse,
+    abandoned: bool = False,
     **scan_options: str,
 ) -> str:
     """Repeats a stopped or failed run with the same input as a new execution; returns its id.
 
     It writes into the directories of the first execution, replacing whatever that
-    one left, so no line is lost or written twice.
+    one left, so no line is lost or written twice. With ``abandoned``, a run that is still
+    running in the log is repeated too: use it when its driver has died.
     """
     run = find_run(spark, output, run_id)
-    check_status(run, RESTARTABLE_STATUSES, "resumed")
+    check_status(run, RESTARTABLE_STATUSES, "resumed", abandoned)
     new_id = new_run_id()
     _execute(
         spark, run.input_path, output, references, new_id, run.output_id, run_id, partitions, rules, mapper,
@@ -77,7 +79,10 @@ def find_run(spark: SparkSession, output: str, run_id: str):
     return run
 
 
-def check_status(run, allowed: tuple[str, ...], action: str) -> None:
+def check_status(run, allowed: tuple[str, ...], action: str, abandoned: bool = False) -> None:
+    """``abandoned`` also allows a run whose driver is known to be gone, which left it running in the log."""
+    if abandoned and run.status in (*STOPPABLE_STATUSES, STOPPING):
+        return
     if run.status not in allowed:
         raise ValueError(f"run {run.run_id} is {run.status}; only {' or '.join(allowed)} runs can be {action}")
 

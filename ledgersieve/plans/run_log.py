@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,6 +11,8 @@ from .. import schemas
 from ..fixed_values import JOB_NAME, RESTARTABLE_STATUSES, STOPPABLE_STATUSES
 from ..functions.text import elapsed_text, local_time_text
 
+STOPPING = "STOPPING"
+
 
 def append_state(spark: SparkSession, output: str, **values) -> None:
     """Adds a state of a run; the one with the highest ``seq`` is its current state."""
@@ -18,6 +21,22 @@ def append_state(spark: SparkSession, output: str, **values) -> None:
     spark.createDataFrame([row], schemas.RUNS).coalesce(1).write.mode("append").parquet(f"{output}/runs")
 
 
+def request_stop(spark: SparkSession, output: str, run_id: str) -> None:
+    """Asks a run to stop after the chunk in progress; any session that sees the log can ask."""
+    run = read_runs(spark, output).filter(F.col("run_id") == run_id).first()
+    if run is None:
+        raise LookupError(f"no run {run_id}")
+    if run.status not in STOPPABLE_STATUSES:
+        raise ValueError(f"run {run_id} is {run.status}; only {' or '.join(STOPPABLE_STATUSES)} runs can be stopped")
+    state = run.asDict() | {"seq": time.time_ns(), "status": STOPPING}
+    append_state(spark, output, **state)
+
+
+def stop_is_requested(spark: SparkSession, output: str, run_id: str) -> bool:
+    run = read_runs(spark, output).filter(F.col("run_id") == run_id).first()
+    return run is not None and run.status == STOPPING
+
+
 def read_runs(spark: SparkSession, output: str) -> DataFrame:
     """The current state of every run."""
     states = spark.read.schema(schemas.RUNS).parquet(f"{output}/runs")

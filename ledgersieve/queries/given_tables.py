@@ -18,13 +18,13 @@ from ..plans.validation import References
 from ..sources.dimensions import local_table
 from ..sources.generated import generate_transactions
 
-_UNLIMITED_PRIORITY = "4-NOT SPECIFIED"
 # type, minimum, maximum, currency, order
 _PRIORITY_LIMITS = [
     ("1-URGENT", "5000", "400000", "IDR", 0),
     ("2-HIGH", "5000", "400000", "IDR", 1),
     ("3-MEDIUM", "5000", "400000", "IDR", 2),
-    ("5-LOW", "5000", "400000", "IDR", 3),
+    ("4-NOT SPECIFIED", "5000", "400000", "IDR", 3),
+    ("5-LOW", "5000", "400000", "IDR", 4),
 ]
 
 
@@ -41,7 +41,8 @@ def order_transactions(spark: SparkSession, folder: str) -> DataFrame:
     made = generate_transactions(order_ids(spark, folder)).withColumn("edge", F.expr("id % 97"))
     maximum = " ".join(f"WHEN '{limit[0]}' THEN {limit[2]}" for limit in TRANSACTION_LIMITS)
     changed = {
-        "amount": f"""WHEN 0 THEN 'abc' WHEN 1 THEN CAST(CASE transactionType {maximum} END + 1 AS STRING)
+        "amount": f"""WHEN 10 THEN concat(id + 1, repeat('0', 24)) WHEN 11 THEN concat(id + 1, '.', repeat('0', 18), '7')
+                      WHEN 0 THEN 'abc' WHEN 1 THEN CAST(CASE transactionType {maximum} END + 1 AS STRING)
                       WHEN 8 THEN '9999.99999' WHEN 9 THEN ''""",
         "transactionType": "WHEN 2 THEN 'REFUND' WHEN 7 THEN lower(transactionType)",
         "sourceBankCode": "WHEN 3 THEN lower(sourceBankCode)",
@@ -70,7 +71,6 @@ def customer_accounts(spark: SparkSession, folder: str) -> DataFrame:
 def nation_banks(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "nation")
-        .filter("n_regionkey <> 4")
         .select(
             F.col("n_name").alias("code"),
             F.concat(F.lit("Bank of "), F.col("n_name")).alias("name"),
@@ -80,9 +80,9 @@ def nation_banks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def priority_limits(spark: SparkSession, folder: str) -> DataFrame:
-    """Limits of the order priorities in use; one priority has none, so it is an unknown type."""
+    """Limits of the order priorities in use."""
     priority = F.col("o_orderpriority")
-    used = table(spark, folder, "orders").filter(priority != _UNLIMITED_PRIORITY).select(priority).distinct()
+    used = table(spark, folder, "orders").select(priority).distinct()
     return used.select(
         priority.alias("transactionType"),
         F.lit("5000").alias("minAmount"),
@@ -98,10 +98,14 @@ def customer_references(spark: SparkSession, folder: str) -> References:
 
 
 def customer_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """One raw transfer per order, from its customer to another; some name no customer."""
+    """One raw transfer per order, from its customer to another.
+
+    Some name no customer, an unknown bank or type, or the same account on both sides.
+    """
     customers = table(spark, folder, "customer").agg(F.count("*")).scalar()
     orders = table(spark, folder, "orders")
-    beneficiary = (F.col("o_custkey") * 31 + 7) % (customers + 20)
+    other = (F.col("o_custkey") * 31 + 7) % (customers + 20)
+    beneficiary = F.when(F.col("o_orderkey") % 19 == 6, F.col("o_custkey")).otherwise(other)
     return orders.withColumn("bene", beneficiary).selectExpr(
         "concat('ORD-', o_orderkey) AS referenceId",
         "CAST(o_custkey AS STRING) AS sourceAccount",
@@ -109,10 +113,10 @@ def customer_transactions(spark: SparkSession, folder: str) -> DataFrame:
         f"IF(o_orderkey % 10 = 3, lower({_customer_bank('o_custkey')}), {_customer_bank('o_custkey')}) AS sourceBankCode",
         "CAST(bene AS STRING) AS beneficiaryAccount",
         "'' AS beneficiaryAccountName",
-        f"{_customer_bank('bene')} AS beneficiaryBankCode",
+        f"IF(o_orderkey % 13 = 5, 'NATION_99', {_customer_bank('bene')}) AS beneficiaryBankCode",
         "'IDR' AS currency",
         "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS amount",
-        "o_orderpriority AS transactionType",
+        "IF(o_orderkey % 17 = 4, 'REFUND', o_orderpriority) AS transactionType",
         "o_orderstatus AS note",
     )
 

@@ -81,7 +81,8 @@ raw AS (
     {_pad("sourceBankCode", "WHEN e = 3 THEN lower(sourceBankCode)")},
     {_pad("beneficiaryAccount", "WHEN e = 5 THEN sourceAccount")}, {_pad("beneficiaryAccountName")},
     {_pad("beneficiaryBankCode", "WHEN e = 3 THEN lower(beneficiaryBankCode)")}, {_pad("currency")},
-    {_pad("amount", "WHEN e = 0 THEN 'abc' WHEN e = 1 THEN CAST(hi + 1 AS VARCHAR) "
+    {_pad("amount", "WHEN e = 10 THEN (id + 1) || repeat('0', 24) WHEN e = 11 THEN (id + 1) || '.' || repeat('0', 18) || '7' "
+                    "WHEN e = 0 THEN 'abc' WHEN e = 1 THEN CAST(hi + 1 AS VARCHAR) "
                     "WHEN e = 8 THEN '9999.99999' WHEN e = 9 THEN ''")},
     {_pad("transactionType", "WHEN e = 2 THEN 'REFUND' WHEN e = 7 THEN lower(transactionType)")}, {_pad("note")}
   FROM (SELECT *, id % 97 AS e FROM made)
@@ -98,7 +99,8 @@ def _clean(source: str) -> str:
     return f"""
 clean AS (
   SELECT * EXCLUDE (written),
-    CAST(CASE WHEN numeric THEN written ELSE '0' END AS DECIMAL(38,18)) AS amount,
+    CASE WHEN NOT numeric THEN CAST(0 AS DECIMAL(38,18)) WHEN length(split_part(written, '.', 1)) <= 20
+      THEN CAST(regexp_replace(written, '([.][0-9]{{18}})[0-9]+', '\\1') AS DECIMAL(38,18)) END AS amount,
     CASE WHEN numeric THEN written ELSE '0' END AS amount_text
   FROM (SELECT {trimmed}, trim(amount) AS written,
           regexp_full_match(trim(amount), '[0-9]+([.][0-9]+)?') AS numeric FROM {source})
@@ -123,7 +125,7 @@ looked AS (
     CASE WHEN ltype IS NULL THEN 'Transaction type ''' || transactionType || ''' is not configured.'
       WHEN amount < lo THEN 'Amount ' || amount_text || ' is below the minimum of ' || minAmount
         || ' for type ''' || transactionType || '''.'
-      WHEN amount > hi THEN 'Amount ' || amount_text || ' exceeds the maximum of ' || maxAmount
+      WHEN amount > hi OR amount IS NULL THEN 'Amount ' || amount_text || ' exceeds the maximum of ' || maxAmount
         || ' for type ''' || transactionType || '''.' END AS amount_reason
   FROM found
 ),
@@ -158,25 +160,26 @@ _CLEAN_CTE = f"WITH {_DIMS.lstrip()}, {_RAW}, {_clean('raw')}"
 _CHECKED_CTE = f"{_CLEAN_CTE}, {_LOOKED_UP}"
 
 _CUSTOMER_CTE = f"""
-WITH banks AS (SELECT n_name AS code, 'Bank of ' || n_name AS name FROM nation WHERE n_regionkey <> 4),
+WITH banks AS (SELECT n_name AS code, 'Bank of ' || n_name AS name FROM nation),
 limits AS (
   SELECT ltype, '5000' AS minAmount, '400000' AS maxAmount, CAST(5000 AS DECIMAL(38,18)) AS lo,
     CAST(400000 AS DECIMAL(38,18)) AS hi
-  FROM (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('5-LOW')) AS t(ltype)
+  FROM (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW')) AS t(ltype)
 ),
 accounts AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS number, 'NATION_' || (c_custkey % 25) AS bank,
+  SELECT CAST(c_custkey AS VARCHAR) AS number, c_name AS name, 'NATION_' || (c_custkey % 25) AS bank,
     CASE WHEN c_acctbal < -500 THEN 'BLOCKED' WHEN c_acctbal < 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
   FROM customer
 ),
-paired AS (SELECT *, (o_custkey * 31 + 7) % ((SELECT count(*) FROM customer) + 20) AS bene FROM orders),
+paired AS (SELECT *, CASE WHEN o_orderkey % 19 = 6 THEN o_custkey
+  ELSE (o_custkey * 31 + 7) % ((SELECT count(*) FROM customer) + 20) END AS bene FROM orders),
 raw AS (
   SELECT 'ORD-' || o_orderkey AS referenceId, CAST(o_custkey AS VARCHAR) AS sourceAccount, '' AS sourceAccountName,
     CASE WHEN o_orderkey % 10 = 3 THEN 'nation_' ELSE 'NATION_' END || (o_custkey % 25) AS sourceBankCode,
     CAST(bene AS VARCHAR) AS beneficiaryAccount, '' AS beneficiaryAccountName,
-    'NATION_' || (bene % 25) AS beneficiaryBankCode, 'IDR' AS currency,
-    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS amount, o_orderpriority AS transactionType,
-    o_orderstatus AS note
+    CASE WHEN o_orderkey % 13 = 5 THEN 'NATION_99' ELSE 'NATION_' || (bene % 25) END AS beneficiaryBankCode, 'IDR' AS currency,
+    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS amount,
+    CASE WHEN o_orderkey % 17 = 4 THEN 'REFUND' ELSE o_orderpriority END AS transactionType, o_orderstatus AS note
   FROM paired
 ), {_clean('raw')}, {_LOOKED_UP}"""
 
@@ -206,19 +209,19 @@ runs AS (
 
 _REQUESTS = """requests AS (
   SELECT CASE WHEN id % 3 = 0 THEN -1 ELSE id // 60 END AS batch_id,
-    CASE WHEN id % 3 = 0 THEN id // 3 ELSE id % 60 END AS position,
+    CASE WHEN id % 3 = 0 THEN 7 ELSE id % 60 * 5 + 1 END AS position,
     trim(sourceAccount) AS account, trim(sourceBankCode) AS bank FROM raw
 )"""
 
 
 def _join_account(side: str) -> str:
-    return f"""{_CLEAN_CTE} SELECT referenceId, {side}Account, a.name AS account_accountName,
+    return f"""{_CUSTOMER_CTE} SELECT referenceId, {side}Account, a.name AS account_accountName,
       a.status AS account_status, a.number IS NOT NULL AS account_found
     FROM clean LEFT JOIN accounts a ON a.number = {side}Account AND upper(a.bank) = upper({side}BankCode)"""
 
 
 def _join_bank(side: str) -> str:
-    return f"""{_CLEAN_CTE} SELECT referenceId, {side}BankCode, b.name AS bank_name, b.code IS NOT NULL AS bank_known
+    return f"""{_CUSTOMER_CTE} SELECT referenceId, {side}BankCode, b.name AS bank_name, b.code IS NOT NULL AS bank_known
     FROM clean LEFT JOIN banks b ON upper(b.code) = upper({side}BankCode)"""
 
 
@@ -250,12 +253,15 @@ def _counted(cte: str, name: str, tests: dict[str, str], source: str) -> str:
     return f"{cte} {lines}"
 
 
+# Orders with smaller keys come before a line, so its range follows from their number.
+_PART = """CAST((SELECT count(*) FROM orders o WHERE o.o_orderkey < CAST(substr(checked.referenceId, 5) AS BIGINT))
+    // CAST(ceil((SELECT count(*) FROM orders) / 10) AS BIGINT) AS INTEGER)"""
 _N = "CAST(id + 1 AS VARCHAR)"
 _ORACLE = {
-    "scan_transactions": f"{_CLEAN_CTE} SELECT {_null_if_empty(_FIELDS)} FROM raw",
-    "list_bank_codes": "SELECT n_name AS code, 'Bank of ' || n_name AS name FROM nation WHERE n_regionkey <> 4",
+    "scan_transactions": f"{_CUSTOMER_CTE} SELECT {_null_if_empty(_FIELDS)} FROM raw",
+    "list_bank_codes": "SELECT n_name AS code, 'Bank of ' || n_name AS name FROM nation",
     "list_limits": """SELECT DISTINCT o_orderpriority AS transactionType, '5000' AS minAmount, '400000' AS maxAmount,
-        'IDR' AS currency FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'""",
+        'IDR' AS currency FROM orders""",
     "list_accounts": """SELECT CAST(c_custkey AS VARCHAR) AS accountNumber, c_name AS accountName,
         'NATION_' || (c_custkey % 25) AS bankCode, CASE WHEN c_acctbal < -500 THEN 'BLOCKED'
         WHEN c_acctbal < 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status FROM customer""",
@@ -265,15 +271,17 @@ _ORACLE = {
         CAST(NULL AS VARCHAR) AS validationErrors FROM clean""",
     "parse_amount": f"""SELECT id, written, CAST(CASE f WHEN 2 THEN {_N} || '.50' WHEN 3 THEN '0.' || {_N}
           WHEN 5 THEN {_N} || '000' WHEN 6 THEN '0' WHEN 7 THEN '-' || {_N} WHEN 8 THEN '0.0000000' || {_N}
-          WHEN 9 THEN '99999999999999999999.999999999999999999' ELSE {_N} END AS DECIMAL(38,18)) AS amount,
+          WHEN 9 THEN NULL ELSE {_N} END AS DECIMAL(38,18)) AS amount,
         CASE f WHEN 2 THEN {_N} || '.50' WHEN 3 THEN '0.' || {_N} WHEN 5 THEN
           {_scientific(_N, f"'+' || (length({_N}) + 2)")} WHEN 6 THEN '0' WHEN 7 THEN '-' || {_N}
-          WHEN 8 THEN {_scientific(_N, "'-8'")} WHEN 9 THEN {_N} || repeat('0', 20) ELSE {_N} END AS amount_text,
-        CASE f WHEN 9 THEN 1 ELSE 0 END AS amount_rest
-      FROM (SELECT o_orderkey AS id, o_orderkey % 10 AS f, CASE o_orderkey % 10
+          WHEN 8 THEN {_scientific(_N, "'-8'")} WHEN 9 THEN {_N} || repeat('0', 20)
+          WHEN 10 THEN {_N} || '.' || repeat('0', 18) || '1' ELSE {_N} END AS amount_text,
+        CASE f WHEN 9 THEN 1 WHEN 10 THEN 1 ELSE 0 END AS amount_rest
+      FROM (SELECT o_orderkey AS id, o_orderkey % 11 AS f, CASE o_orderkey % 11
           WHEN 0 THEN n WHEN 1 THEN '+' || n WHEN 2 THEN '000' || n || '.50' WHEN 3 THEN '.' || n
           WHEN 4 THEN n || '.' WHEN 5 THEN n || 'e3' WHEN 6 THEN 'abc' || n WHEN 7 THEN '-' || n
-          WHEN 8 THEN '0.0000000' || n ELSE n || repeat('0', 20) END AS written
+          WHEN 8 THEN '0.0000000' || n
+          WHEN 10 THEN n || '.' || repeat('0', 18) || '1' ELSE n || repeat('0', 20) END AS written
         FROM (SELECT o_orderkey, CAST(o_orderkey + 1 AS VARCHAR) AS n FROM orders))""",
     "account_key": f"""{_CLEAN_CTE} SELECT referenceId, sourceAccount || ':' || upper(sourceBankCode) AS source_key,
         beneficiaryAccount || ':' || upper(beneficiaryBankCode) AS beneficiary_key FROM clean""",
@@ -281,20 +289,20 @@ _ORACLE = {
     "join_beneficiary_bank": _join_bank("beneficiary"),
     "join_source_account": _join_account("source"),
     "join_beneficiary_account": _join_account("beneficiary"),
-    "same_account_override": f"""{_CHECKED_CTE} SELECT referenceId, sourceAccount = beneficiaryAccount AS same_account,
+    "same_account_override": f"""{_CUSTOMER_CTE} SELECT referenceId, sourceAccount = beneficiaryAccount AS same_account,
         sourceBankCode, beneficiaryBankCode, s_status AS source_status, b_status AS beneficiary_status
         FROM checked""",
     "limit_by_type": """SELECT DISTINCT o_orderpriority AS transactionType, '5000' AS minAmount,
         '400000' AS maxAmount, 'IDR' AS currency FROM orders WHERE upper(o_orderpriority) = '2-HIGH'""",
-    "unknown_banks_anti": f"""{_CLEAN_CTE}, {_SIDES} SELECT referenceId, side, bank FROM sides
+    "unknown_banks_anti": f"""{_CUSTOMER_CTE}, {_SIDES} SELECT referenceId, side, bank FROM sides
         WHERE NOT EXISTS (SELECT 1 FROM banks WHERE upper(code) = upper(bank))""",
-    "known_accounts_semi": f"""{_CLEAN_CTE}, {_SIDES} SELECT referenceId, side, account FROM sides s
+    "known_accounts_semi": f"""{_CUSTOMER_CTE}, {_SIDES} SELECT referenceId, side, account FROM sides s
         WHERE EXISTS (SELECT 1 FROM accounts a WHERE a.number = s.account AND upper(a.bank) = upper(s.bank))""",
-    "validate_bank_code": f"""{_CLEAN_CTE}, {_SIDES} SELECT referenceId, side, coalesce(b.code, bank) AS code,
+    "validate_bank_code": f"""{_CUSTOMER_CTE}, {_SIDES} SELECT referenceId, side, coalesce(b.code, bank) AS code,
         b.code IS NOT NULL AS valid, b.name FROM sides LEFT JOIN banks b ON upper(b.code) = upper(bank)""",
-    "validate_amount": f"""{_CHECKED_CTE} SELECT referenceId, transactionType, amount,
+    "validate_amount": f"""{_CHECKED_CTE} SELECT referenceId, transactionType, amount, amount_text,
         amount_reason IS NULL AS valid, amount_reason AS reason FROM checked""",
-    "validate_account": f"""{_CLEAN_CTE}, {_SIDES} SELECT referenceId, side, account AS accountNumber,
+    "validate_account": f"""{_CUSTOMER_CTE}, {_SIDES} SELECT referenceId, side, account AS accountNumber,
         coalesce(a.bank, s.bank) AS bankCode, a.name AS accountName, coalesce(a.status = 'ACTIVE', FALSE) AS valid,
         coalesce(a.status, 'NOT_FOUND') AS status,
         CASE WHEN a.number IS NULL THEN 'Account number ''' || account || ''' not found for bank ''' || s.bank || '''.'
@@ -318,35 +326,33 @@ _ORACLE = {
         beneficiaryBankCode, validationErrors FROM checked WHERE no_result""",
     "validate_transactions": f"{_CHECKED_CTE} SELECT {_CHECKED_FIELDS} FROM checked",
     "validate_transactions_customers": f"{_CUSTOMER_CTE} SELECT {_CHECKED_FIELDS} FROM checked",
-    "rule_hits": _counted(_CHECKED_CTE, "rule", _RULE_TESTS, "checked"),
-    "valid_output": f"{_CHECKED_CTE} SELECT {_VALID_FIELDS} FROM checked WHERE valid",
-    "invalid_output": f"{_CHECKED_CTE} SELECT {_INVALID_FIELDS} FROM checked WHERE NOT valid",
-    "written_outputs": f"""{_CHECKED_CTE} SELECT {_null_if_empty(_VALID_FIELDS)},
-          CAST(NULL AS VARCHAR) AS validationErrors, 'valid' AS outcome FROM checked WHERE valid
-        UNION ALL BY NAME SELECT {_null_if_empty(_INVALID_FIELDS)}, 'invalid' AS outcome
+    "rule_hits": _counted(_CUSTOMER_CTE, "rule", _RULE_TESTS, "checked"),
+    "valid_output": f"{_CUSTOMER_CTE} SELECT {_VALID_FIELDS} FROM checked WHERE valid",
+    "invalid_output": f"{_CUSTOMER_CTE} SELECT {_INVALID_FIELDS} FROM checked WHERE NOT valid",
+    "written_outputs": f"""{_CUSTOMER_CTE} SELECT {_null_if_empty(_VALID_FIELDS)},
+          CAST(NULL AS VARCHAR) AS validationErrors, 'valid' AS outcome, {_PART} AS partition FROM checked WHERE valid
+        UNION ALL BY NAME SELECT {_null_if_empty(_INVALID_FIELDS)}, 'invalid' AS outcome, {_PART} AS partition
         FROM checked WHERE NOT valid""",
-    "stream_validate": f"""{_CHECKED_CTE} SELECT {_VALID_FIELDS}, validationErrors,
+    "stream_validate": f"""{_CUSTOMER_CTE} SELECT {_VALID_FIELDS}, validationErrors,
         CASE WHEN valid THEN 'valid' ELSE 'invalid' END AS outcome FROM checked""",
-    "output_counts": f"""{_CHECKED_CTE}, placed AS (
-          SELECT CASE WHEN valid THEN 'valid' ELSE 'invalid' END AS outcome,
-            (row_number() OVER (ORDER BY referenceId) - 1) // CAST(ceil((SELECT count(*) FROM orders) / 10) AS BIGINT) AS p
-          FROM checked)
-        SELECT outcome, CAST(p AS INTEGER) AS partition, count(*) AS n FROM placed GROUP BY ROLLUP (outcome, p)""",
-    "reconcile_outputs": f"""{_CHECKED_CTE} SELECT count(*) AS input_rows, count(*) FILTER (valid) AS valid_rows,
+    "output_counts": f"""{_CUSTOMER_CTE}, placed AS (
+          SELECT CASE WHEN valid THEN 'valid' ELSE 'invalid' END AS outcome, {_PART} AS p FROM checked)
+        SELECT outcome, p AS partition, count(*) AS n FROM placed GROUP BY ROLLUP (outcome, p)""",
+    "reconcile_outputs": f"""{_CUSTOMER_CTE} SELECT count(*) AS input_rows, count(*) FILTER (valid) AS valid_rows,
         count(*) FILTER (NOT valid) AS invalid_rows, CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS repeated,
         CAST(0 AS BIGINT) AS in_both FROM checked""",
     "resume_anti_join": f"""{_CLEAN_CTE} SELECT referenceId, sourceAccount FROM clean WHERE referenceId NOT IN
         (SELECT printf('TRX-%07d', o_orderkey) FROM orders WHERE o_orderstatus = 'F')""",
-    "validity_totals": f"""{_CHECKED_CTE} SELECT count(*) AS total, count(*) FILTER (valid) AS valid_rows,
+    "validity_totals": f"""{_CUSTOMER_CTE} SELECT count(*) AS total, count(*) FILTER (valid) AS valid_rows,
         count(*) FILTER (NOT valid) AS invalid_rows FROM checked""",
     "input_count": "SELECT count(*) AS input_rows FROM orders",
     "errors_by_type": _counted(
         _CHECKED_CTE, "error_type",
         {key: f"contains(validationErrors, '{text}')" for key, text in _HIT_TEXTS.items()}, "checked",
     ),
-    "error_histogram": f"""{_CHECKED_CTE} SELECT validationErrors, count(*) AS n FROM checked WHERE NOT valid
+    "error_histogram": f"""{_CUSTOMER_CTE} SELECT validationErrors, count(*) AS n FROM checked WHERE NOT valid
         GROUP BY validationErrors""",
-    "preview_invalid": f"{_CHECKED_CTE} SELECT {_INVALID_FIELDS} FROM checked WHERE NOT valid ORDER BY referenceId LIMIT 4",
+    "preview_invalid": f"{_CHECKED_CTE} SELECT {_INVALID_FIELDS}, CAST(row_number() OVER (ORDER BY referenceId) AS INTEGER) AS rank FROM checked WHERE NOT valid ORDER BY referenceId LIMIT 4",
     "run_progress": f"""{_STEPS_CTE} SELECT run_id, count(*) AS total_partitions,
         count(*) FILTER (status = 'COMPLETED') AS completed, count(*) FILTER (status = 'STARTED') AS running,
         count(*) FILTER (status = 'FAILED') AS failed, CAST(sum(read_count) AS BIGINT) AS total_read,
@@ -354,8 +360,18 @@ _ORACLE = {
         CAST(0 AS BIGINT) AS total_filtered FROM steps GROUP BY run_id""",
     "run_partitions": f"""{_STEPS_CTE} SELECT run_id, 'partition-' || part AS partition_name, status, read_count,
         write_count, skip_count, CAST(0 AS BIGINT) AS filter_count, CAST(start_time AS VARCHAR) AS start_time,
-        CAST(end_time AS VARCHAR) AS end_time FROM steps WHERE run_id = 1""",
+        CAST(end_time AS VARCHAR) AS end_time,
+        CAST(row_number() OVER (ORDER BY 'partition-' || part) AS INTEGER) AS rank FROM steps WHERE run_id = 1""",
+    "logged_run": """WITH placed AS (
+          SELECT o_orderkey % 10 IN (2, 4) AS skipped, (row_number() OVER (ORDER BY o_orderkey) - 1)
+            // CAST(ceil((SELECT count(*) FROM orders) / 10) AS BIGINT) AS p FROM orders)
+        SELECT 'COMPLETED' AS run_status, CAST(sum(count(*)) OVER () AS BIGINT) AS total_read,
+          CAST(sum(count(*) FILTER (NOT skipped)) OVER () AS BIGINT) AS total_written,
+          CAST(sum(count(*) FILTER (skipped)) OVER () AS BIGINT) AS total_skipped, 'partition-' || p AS partition_name,
+          count(*) AS read_count, count(*) FILTER (NOT skipped) AS write_count, count(*) FILTER (skipped) AS skip_count
+        FROM placed GROUP BY p""",
     "runs_latest": f"{_STEPS_CTE} SELECT run_id, status FROM runs",
+    "stoppable_runs": f"{_STEPS_CTE} SELECT run_id, status FROM runs WHERE status IN ('STARTED', 'STARTING')",
     "restartable_runs": f"{_STEPS_CTE} SELECT run_id, status FROM runs WHERE status IN ('STOPPED', 'FAILED')",
     "run_elapsed": f"""{_STEPS_CTE} SELECT run_id, datediff('second', start_time,
         coalesce(end_time, TIMESTAMP '2030-01-01 00:00:00')) || 's' AS elapsed FROM runs""",

@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..fixed_values import INVALID_OUTPUT_FIELDS, NO_RESULT_ERROR, TRANSACTION_FIELDS
+from ..fixed_values import CSV_HEADER, INVALID_OUTPUT_FIELDS, NO_RESULT_ERROR, TRANSACTION_FIELDS
 from ..functions.amounts import with_amount
 from ..functions.text import case_key, clean_text
 from ..operators.cleanse import cleanse
 from ..operators.lookups import (
     join_account, join_bank, limit_by_type, rows_with_known_account, rows_with_unknown_bank,
 )
-from ..operators.ranges import range_bounds, range_split
+from ..operators.ranges import label_ranges, range_bounds, range_split
 from ..operators.reconcile import reconcile, remaining_rows
 from ..operators.rules import count_rule_hits
 from ..operators.validators import (
@@ -24,7 +24,6 @@ from ..plans import reports, run_log
 from ..plans.batch_run import run_validation
 from ..plans.outputs import read_both_outputs, read_results, select_output, stage_results
 from ..plans.validation import References, check_lines, look_up, transaction_rules, validate_transactions
-from ..schemas import CORRUPT_COLUMN
 from ..session import new_work_dir
 from ..sources.dimensions import (
     duplicate_accounts, first_wins, seeded_accounts, seeded_banks, seeded_limits,
@@ -63,6 +62,14 @@ def _clean(spark: SparkSession, folder: str) -> DataFrame:
     return cleanse(order_transactions(spark, folder).drop("id"))
 
 
+def _transfers(spark: SparkSession, folder: str) -> DataFrame:
+    return cleanse(customer_transactions(spark, folder))
+
+
+def _checked_transfers(spark: SparkSession, folder: str) -> DataFrame:
+    return validate_transactions(_transfers(spark, folder), customer_references(spark, folder))
+
+
 def _checked(spark: SparkSession, folder: str) -> DataFrame:
     return validate_transactions(_clean(spark, folder), References.seeded(spark))
 
@@ -73,8 +80,8 @@ def _invalid(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored(spark: SparkSession, folder: str) -> DataFrame:
     """The result rows written once, as a batch run does; both outputs are projections of them."""
-    lines = with_line_id(order_transactions(spark, folder).withColumn(CORRUPT_COLUMN, F.lit(None).cast("string")))
-    results = check_lines(lines, References.seeded(spark))
+    lines = with_line_id(scan_transactions(spark, _transaction_files(spark, folder)))
+    results = check_lines(lines, customer_references(spark, folder))
     return stage_results(results, new_work_dir(spark, "results"), "orders")
 
 
@@ -87,18 +94,25 @@ def _sides(clean: DataFrame) -> DataFrame:
 
 
 def _transaction_files(spark: SparkSession, folder: str, files: int = 8) -> str:
-    """Writes the order transactions as CSV parts, at least ``files`` of them, and returns the folder."""
+    """Writes the customers' transfers as CSV files in the order of their keys, and returns the folder.
+
+    The last of ``files`` files is shorter than the others.
+    """
     path = new_work_dir(spark, "transactions")
-    rows_per_file = max(1, ceil(order_ids(spark, folder).count() / files))
-    write_transaction_files(order_transactions(spark, folder), path, rows_per_file)
+    rows_per_file = max(1, ceil(order_ids(spark, folder).count() / (files - 0.5)))
+    in_order = customer_transactions(spark, folder).withColumn("_key", F.expr("CAST(substring(referenceId, 5) AS BIGINT)"))
+    write_transaction_files(in_order.orderBy("_key"), path, rows_per_file)
     return path
 
 
 def _bulk_requests(spark: SparkSession, folder: str) -> DataFrame:
-    """Source accounts in batches: a third of all rows are one far too large batch."""
+    """Source accounts in batches: a third of all rows are one far too large batch, all at one position.
+
+    In the other batches positions start at 1 and have gaps.
+    """
     return order_transactions(spark, folder).selectExpr(
         "IF(id % 3 = 0, -1L, id div 60) AS batch_id",
-        "IF(id % 3 = 0, id div 3, id % 60) AS position",
+        "IF(id % 3 = 0, 7L, id % 60 * 5 + 1) AS position",
         f"{clean_text('sourceAccount')} AS account",
         f"{clean_text('sourceBankCode')} AS bank",
     )
@@ -148,10 +162,11 @@ def cleanse_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("parse_amount")
 def parse_amount(spark: SparkSession, folder: str) -> DataFrame:
-    """Ten ways of writing a number made from the order key."""
+    """Ways of writing a number made from the order key."""
     forms = (
         "n", "concat('+', n)", "concat('000', n, '.50')", "concat('.', n)", "concat(n, '.')", "concat(n, 'e3')",
         "concat('abc', n)", "concat('-', n)", "concat('0.0000000', n)", "concat(n, repeat('0', 20))",
+        "concat(n, '.', repeat('0', 18), '1')",
     )
     cases = " ".join(f"WHEN {number} THEN {form}" for number, form in enumerate(forms))
     named = order_ids(spark, folder).withColumn("n", F.expr("CAST(id + 1 AS STRING)"))
@@ -170,27 +185,27 @@ def account_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("join_source_bank")
 def join_source_bank(spark: SparkSession, folder: str) -> DataFrame:
-    joined = join_bank(_clean(spark, folder), seeded_banks(spark), "sourceBankCode", "bank_")
+    joined = join_bank(_transfers(spark, folder), nation_banks(spark, folder), "sourceBankCode", "bank_")
     return joined.select("referenceId", "sourceBankCode", "bank_name", "bank_known")
 
 
 @_query("join_beneficiary_bank")
 def join_beneficiary_bank(spark: SparkSession, folder: str) -> DataFrame:
-    joined = join_bank(_clean(spark, folder), seeded_banks(spark), "beneficiaryBankCode", "bank_")
+    joined = join_bank(_transfers(spark, folder), nation_banks(spark, folder), "beneficiaryBankCode", "bank_")
     return joined.select("referenceId", "beneficiaryBankCode", "bank_name", "bank_known")
 
 
 @_query("join_source_account")
 def join_source_account(spark: SparkSession, folder: str) -> DataFrame:
-    clean = _clean(spark, folder)
-    joined = join_account(clean, seeded_accounts(spark), "sourceAccount", "sourceBankCode", "account_")
+    clean = _transfers(spark, folder)
+    joined = join_account(clean, customer_accounts(spark, folder), "sourceAccount", "sourceBankCode", "account_")
     return joined.select("referenceId", "sourceAccount", "account_accountName", "account_status", "account_found")
 
 
 @_query("join_beneficiary_account")
 def join_beneficiary_account(spark: SparkSession, folder: str) -> DataFrame:
-    clean = _clean(spark, folder)
-    joined = join_account(clean, seeded_accounts(spark), "beneficiaryAccount", "beneficiaryBankCode", "account_")
+    clean = _transfers(spark, folder)
+    joined = join_account(clean, customer_accounts(spark, folder), "beneficiaryAccount", "beneficiaryBankCode", "account_")
     return joined.select(
         "referenceId", "beneficiaryAccount", "account_accountName", "account_status", "account_found"
     )
@@ -198,7 +213,7 @@ def join_beneficiary_account(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("same_account_override")
 def same_account_override(spark: SparkSession, folder: str) -> DataFrame:
-    looked_up = look_up(_clean(spark, folder), References.seeded(spark))
+    looked_up = look_up(_transfers(spark, folder), customer_references(spark, folder))
     return looked_up.selectExpr(
         "referenceId", "sourceAccount = beneficiaryAccount AS same_account", "sourceBankCode", "beneficiaryBankCode",
         "source_status", "beneficiary_status",
@@ -212,14 +227,14 @@ def limit_of_type(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("unknown_banks_anti")
 def unknown_banks_anti(spark: SparkSession, folder: str) -> DataFrame:
-    sides = _sides(_clean(spark, folder))
-    return rows_with_unknown_bank(sides, seeded_banks(spark), "bank").select("referenceId", "side", "bank")
+    sides = _sides(_transfers(spark, folder))
+    return rows_with_unknown_bank(sides, nation_banks(spark, folder), "bank").select("referenceId", "side", "bank")
 
 
 @_query("known_accounts_semi")
 def known_accounts_semi(spark: SparkSession, folder: str) -> DataFrame:
-    sides = _sides(_clean(spark, folder))
-    return rows_with_known_account(sides, seeded_accounts(spark), "account", "bank").select(
+    sides = _sides(_transfers(spark, folder))
+    return rows_with_known_account(sides, customer_accounts(spark, folder), "account", "bank").select(
         "referenceId", "side", "account"
     )
 
@@ -229,7 +244,7 @@ def known_accounts_semi(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("validate_bank_code")
 def validate_bank_code(spark: SparkSession, folder: str) -> DataFrame:
-    checked = validate_bank_codes(_sides(_clean(spark, folder)), seeded_banks(spark), "bank")
+    checked = validate_bank_codes(_sides(_transfers(spark, folder)), nation_banks(spark, folder), "bank")
     return checked.select("referenceId", "side", "code", "valid", "name")
 
 
@@ -243,7 +258,7 @@ def validate_amount(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("validate_account")
 def validate_account(spark: SparkSession, folder: str) -> DataFrame:
-    return validate_accounts(_sides(_clean(spark, folder)), seeded_accounts(spark), "account", "bank")
+    return validate_accounts(_sides(_transfers(spark, folder)), customer_accounts(spark, folder), "account", "bank")
 
 
 @_query("bulk_account_summary")
@@ -274,13 +289,12 @@ def validate_transactions_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("validate_transactions_customers")
 def validate_transactions_customers(spark: SparkSession, folder: str) -> DataFrame:
-    clean = cleanse(customer_transactions(spark, folder))
-    return validate_transactions(clean, customer_references(spark, folder)).select(*_CHECKED)
+    return _checked_transfers(spark, folder).select(*_CHECKED)
 
 
 @_query("rule_hits")
 def rule_hits(spark: SparkSession, folder: str) -> DataFrame:
-    looked_up = look_up(_clean(spark, folder), References.seeded(spark))
+    looked_up = look_up(_transfers(spark, folder), customer_references(spark, folder))
     return count_rule_hits(looked_up, transaction_rules())
 
 
@@ -299,19 +313,18 @@ def invalid_output(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("written_outputs")
 def written_outputs(spark: SparkSession, folder: str) -> DataFrame:
-    """A whole batch run from files to files, read back."""
+    """A whole batch run from files to files, read back with the partition of each line."""
     output = new_work_dir(spark, "batch")
-    run_validation(spark, _transaction_files(spark, folder), output, References.seeded(spark))
-    return read_both_outputs(spark, output).drop("run_id", "partition")
+    run_validation(spark, _transaction_files(spark, folder), output, customer_references(spark, folder))
+    return read_both_outputs(spark, output).drop("run_id")
 
 
 @_query("stream_validate")
 def stream_validate(spark: SparkSession, folder: str) -> DataFrame:
     """A whole chunked run, stopped after its first chunk and resumed."""
     source = _transaction_files(spark, folder)
-    files = len(spark.read.text(source).inputFiles())
-    output, references = new_work_dir(spark, "chunked"), References.seeded(spark)
-    run = ChunkedRun.start(spark, source, output, references, max_files=ceil(files / 3), max_chunks=1)
+    output, references = new_work_dir(spark, "chunked"), customer_references(spark, folder)
+    run = ChunkedRun.start(spark, source, output, references, max_files=3, max_chunks=1)
     if run.wait() == "STOPPED":
         ChunkedRun.resume(spark, run.run_id, output, references).wait()
     return read_results(spark, output).select(*TRANSACTION_FIELDS, "validationErrors", "outcome")
@@ -319,15 +332,43 @@ def stream_validate(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("output_counts")
 def output_counts(spark: SparkSession, folder: str) -> DataFrame:
-    checked = _checked(spark, folder).withColumn("outcome", F.when(F.col("valid"), "valid").otherwise("invalid"))
-    return reports.output_counts(range_split(checked.select("referenceId", "outcome"), ["referenceId"], 10))
+    """Counted in the parts that a run has written."""
+    output = new_work_dir(spark, "batch")
+    run_validation(spark, _transaction_files(spark, folder), output, customer_references(spark, folder))
+    return reports.output_counts(read_both_outputs(spark, output))
+
+
+@_query("logged_run")
+def logged_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of a real run over lines that are good, quoted, without note, or have a field too many or too few."""
+    fields = ", ".join(f"coalesce({f}, '')" for f in TRANSACTION_FIELDS if f != "note")
+    whole = f"concat_ws(',', {fields})"
+    lines = customer_transactions(spark, folder).withColumn("k", F.expr("CAST(substring(referenceId, 5) AS BIGINT)")).select(
+        "k",
+        F.expr(f"""CASE k % 10 WHEN 1 THEN {whole} WHEN 2 THEN concat({whole}, ',a note,one more')
+            WHEN 3 THEN concat({whole}, ',"a note, quoted"') WHEN 4 THEN concat_ws(',', referenceId, sourceAccount)
+            ELSE concat({whole}, ',a note') END""").alias(",".join(CSV_HEADER)),
+    )
+    source, output = new_work_dir(spark, "lines"), new_work_dir(spark, "batch")
+    rows_per_file = max(1, ceil(order_ids(spark, folder).count() / 7.5))
+    in_order = lines.orderBy("k").drop("k")
+    in_order.write.options(header="true", sep="\u0001", quote="", maxRecordsPerFile=rows_per_file).csv(source)
+    run_id = run_validation(spark, source, output, customer_references(spark, folder))
+    status = run_log.run_status(run_log.read_runs(spark, output), run_log.read_steps(spark, output), run_id)
+    totals = status.select(F.col("status").alias("run_status"), "progress.*", "partitions")
+    return totals.select(
+        "run_status", "total_read", "total_written", "total_skipped", F.explode("partitions").alias("p")
+    ).select(
+        "run_status", "total_read", "total_written", "total_skipped", "p.partition_name", "p.read_count",
+        "p.write_count", "p.skip_count",
+    )
 
 
 @_query("reconcile_outputs")
 def reconcile_outputs(spark: SparkSession, folder: str) -> DataFrame:
     stored = _stored(spark, folder)
     outputs = [select_output(stored, outcome) for outcome in ("valid", "invalid")]
-    return reconcile(_clean(spark, folder), *outputs)
+    return reconcile(_transfers(spark, folder), *outputs)
 
 
 @_query("resume_anti_join")
@@ -343,12 +384,12 @@ def resume_anti_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("validity_totals")
 def validity_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.validity_totals(_checked(spark, folder))
+    return reports.validity_totals(_checked_transfers(spark, folder))
 
 
 @_query("input_count")
 def input_count(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.input_count(order_transactions(spark, folder))
+    return reports.input_count(scan_transactions(spark, _transaction_files(spark, folder)))
 
 
 @_query("errors_by_type")
@@ -358,13 +399,14 @@ def errors_by_type(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("error_histogram")
 def error_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.error_histogram(_invalid(spark, folder))
+    return reports.error_histogram(_checked_transfers(spark, folder).filter(~F.col("valid")))
 
 
 @_query("preview_invalid")
 def preview_invalid(spark: SparkSession, folder: str) -> DataFrame:
     columns = [F.col("amount_text").alias(c) if c == "amount" else c for c in INVALID_OUTPUT_FIELDS]
-    return reports.preview(_invalid(spark, folder)).select(*columns)
+    rank = F.row_number().over(Window.orderBy("referenceId")).alias("rank")  # of the few rows of a preview
+    return reports.preview(_invalid(spark, folder)).select(*columns, rank)
 
 
 # --- run log ----------------------------------------------------------------
@@ -378,7 +420,8 @@ def run_progress(spark: SparkSession, folder: str) -> DataFrame:
 @_query("run_partitions")
 def run_partitions(spark: SparkSession, folder: str) -> DataFrame:
     steps = run_log.run_partitions(order_run_steps(spark, folder), 1)
-    return steps.withColumns({c: F.col(c).cast("string") for c in ("start_time", "end_time")})
+    place = F.row_number().over(Window.partitionBy("run_id").orderBy("partition_name"))
+    return steps.withColumns({c: F.col(c).cast("string") for c in ("start_time", "end_time")} | {"rank": place})
 
 
 @_query("runs_latest")
@@ -386,6 +429,11 @@ def runs_latest(spark: SparkSession, folder: str) -> DataFrame:
     return run_log.runs_latest(order_runs(spark, folder)).select("run_id", "status")
 
 
+@_query("stoppable_runs")
+def stoppable_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_log.stoppable_runs(order_runs(spark, folder)).select("run_id", "status")
+
+
 @_query("restartable_runs")
 def restartable_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_log.restartable_runs(order_runs(spark, folder)).select("run_id", "status")
@@ -407,7 +455,8 @@ def range_split_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("range_bounds")
 def range_bounds_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return range_bounds(order_ids(spark, folder), 7)
+    """First and last line of each range of a run's stored lines."""
+    return range_bounds(label_ranges(_stored(spark, folder), 7))
 
 
 @_query("dim_first_wins")

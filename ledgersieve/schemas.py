@@ -27,7 +27,11 @@ INVALID_OUTPUT = T.StructType(text_schema(*INVALID_OUTPUT_FIELDS).fields + _OUTP
 
 # One row per line read; stored as parquet under results/run_id=.../outcome=...
 RESULTS = T.StructType(
-    [T.StructField("line_id", T.LongType())]
+    [
+        T.StructField("line_file", T.StringType()),
+        T.StructField("line_block", T.LongType()),
+        T.StructField("line_id", T.LongType()),
+    ]
     + text_schema(*TRANSACTION_FIELDS, "validationErrors", "amount_reason", CORRUPT_COLUMN).fields
     + [T.StructField("outcome", T.StringType())]
 )

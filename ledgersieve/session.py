@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_made: list[str] = []
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, **conf) -> SparkSession:
     """A session with the settings this library relies on; all can be overridden."""
@@ -41,11 +45,40 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="ledgersieve-")
+    if not context.master.startswith("local") and _scheme(context, folder) == "file":
+        raise ValueError(f"{folder} is local to each machine; set spark.checkpoint.dir to a shared folder")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
 def new_work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; nothing is created yet.
+
+    ``remove_work_dirs`` deletes it; so does the end of this process, if the session is still up.
+    """
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_remove_at_exit)
+    _made.append(path)
+    return path
+
+
+def remove_work_dirs(spark: SparkSession) -> None:
+    """Deletes the staged copies made so far; frames that read them can no longer be used."""
+    context = spark.sparkContext
+    while _made:
+        path = context._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _remove_at_exit() -> None:
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already; nothing else is lost
+            remove_work_dirs(session)
+
+
+def _scheme(context, folder: str) -> str:
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).getUri().getScheme()

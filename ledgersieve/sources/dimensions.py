@@ -6,10 +6,11 @@ hinted blindly: Spark broadcasts a side whose size it knows to be small, AQE
 decides again on real sizes, and a larger side is sort-merge joined with skewed
 partitions split.
 
-The lookups derive their join key after the aggregate that makes it unique. Were
-the grouping key itself joined on, the planner would join right on top of the
-aggregate, without a shuffle of its own for that side, and AQE could then no longer
-split the partition of a hot bank or account.
+The bank and limit lookups derive their join key after the aggregate that makes it
+unique. Were the grouping key itself joined on, the planner would join right on top
+of the aggregate, without a shuffle of its own for that side, and AQE could then no
+longer split the partition of a hot bank. Accounts need no aggregate: their keys are
+checked once, and then the table is joined as it is.
 """
 
 from __future__ import annotations
@@ -82,18 +83,20 @@ def limit_lookup(limits: DataFrame) -> DataFrame:
 
 
 def account_lookup(accounts: DataFrame) -> DataFrame:
-    """Accounts by number (as is) and bank (without case). A duplicate key fails the query."""
-    grouped = accounts.groupBy("accountNumber", F.expr(f"{case_key('bankCode')} AS _bank_key")).agg(
-        F.expr("count(*) AS copies"),
-        *[F.expr(f"max({c}) AS {c}") for c in ("accountName", "bankCode", "status")],
-    )
-    error = "raise_error(concat('Duplicate account key ', accountNumber, ':', _bank_key))"
-    return grouped.selectExpr(
+    """Accounts by number (as is) and bank (without case).
+
+    A duplicate key raises here and now: one hash aggregate over the keys, before anything
+    is joined with the table.
+    """
+    double = duplicate_accounts(accounts).first()
+    if double:
+        raise ValueError(f"Duplicate account key {double.accountNumber}:{double.bankKey}")
+    return accounts.selectExpr(
         "accountNumber AS account_key",
         f"{case_key('bankCode')} AS account_bank_key",
         "accountName",
         "bankCode",
-        f"IF(copies > 1, CAST({error} AS STRING), status) AS status",
+        "status",
     )
 
 

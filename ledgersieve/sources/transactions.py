@@ -47,16 +47,27 @@ def stream_transactions(spark: SparkSession, path: str, max_files: int | None =
     reader = spark.readStream.schema(RAW_TRANSACTIONS).options(**READ_OPTIONS).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    return with_line_source(reader.csv(path))
+
+
+def with_line_source(scanned: DataFrame) -> DataFrame:
+    """Adds line_file and line_block, where the split of the file starts; only a scan knows them."""
+    return scanned.select(
+        "*",
+        F.col("_metadata.file_path").alias("line_file"),
+        F.col("_metadata.file_block_start").alias("line_block"),
+    )
 
 
 def with_line_id(scanned: DataFrame) -> DataFrame:
-    """Adds an id that grows with the position of the line.
+    """Adds line_id, and line_file and line_block unless they are there.
 
-    The upper bits are the task, the lower 33 bits the line within the task. Must
-    be applied right to a scan, before any filter.
+    Within a split ids are gapless and grow with the position of the line, so the three
+    together give the order of all lines, however Spark packs splits into tasks. Must be
+    applied right to a scan of files, before any filter.
     """
-    return scanned.withColumn("line_id", F.monotonically_increasing_id())
+    placed = scanned if "line_file" in scanned.columns else with_line_source(scanned)
+    return placed.withColumn("line_id", F.monotonically_increasing_id())
 
 
 def rescue_short_lines(scanned: DataFrame) -> DataFrame:

@@ -25,20 +25,25 @@ from ..operators.cleanse import cleanse
 from ..operators.rules import Rule
 from ..plans.batch_run import check_status, find_run, new_run_id
 from ..plans.outputs import stage_results, write_chunk
-from ..plans.run_log import append_state, count_steps
+from ..plans.run_log import append_state, count_steps, stop_is_requested
 from ..plans.validation import Mapper, References, check_lines
 from ..sources.transactions import stream_transactions, with_line_id
 
 
+class _Halt(Exception):
+    """Ends the query before a chunk that a stop comes before."""
+
+
 class ChunkedRun:
     """A run in progress. ``start`` and ``resume`` create it; ``wait`` ends it."""
 
     def __init__(
-        self, spark, output, check, run_id, output_id, input_path, resumed_from, max_files, max_chunks=None
+        self, spark, output, check, run_id, output_id, input_path, resumed_from, max_files, scan_options,
+        max_chunks=None,
     ):
         self.run_id = run_id
         self._spark, self._output, self._output_id, self._check = spark, output, output_id, check
-        self._stop = threading.Event()
+        self._stop, self._halted = threading.Event(), False
         self._chunks_left = max_chunks
         self._state = dict(
             run_id=run_id, output_id=output_id, input_path=input_path, resumed_from=resumed_from,
@@ -46,7 +51,7 @@ class ChunkedRun:
         )
         self._log("STARTED")
         self.query = (
-            stream_transactions(spark, input_path, max_files)
+            stream_transactions(spark, input_path, max_files, **scan_options)
             .writeStream.foreachBatch(self._write_chunk)
             .option("checkpointLocation", f"{output}/checkpoints/{output_id}")
             .trigger(availableNow=True)
@@ -57,7 +62,7 @@ class ChunkedRun:
     def start(
         cls, spark: SparkSession, input_path: str, output: str, references: References,
         *, max_files: int | None = None, max_chunks: int | None = None, rules: list[Rule] | None = None,
-        mapper: Mapper = cleanse,
+        mapper: Mapper = cleanse, **scan_options: str,
     ) -> "ChunkedRun":
         """Starts checking all files that are now in the directory.
 
@@ -65,18 +70,22 @@ class ChunkedRun:
         """
         run_id = new_run_id()
         check = partial(check_lines, references=references, rules=rules, mapper=mapper)
-        return cls(spark, output, check, run_id, run_id, input_path, None, max_files, max_chunks)
+        return cls(spark, output, check, run_id, run_id, input_path, None, max_files, scan_options, max_chunks)
 
     @classmethod
     def resume(
         cls, spark: SparkSession, run_id: str, output: str, references: References,
         *, max_files: int | None = None, rules: list[Rule] | None = None, mapper: Mapper = cleanse,
+        abandoned: bool = False, **scan_options: str,
     ) -> "ChunkedRun":
-        """Goes on after the last committed chunk of a stopped or failed run, as a new execution."""
+        """Goes on after the last committed chunk of a stopped or failed run, as a new execution.
+
+        With ``abandoned`` also of a run that is still running in the log since its driver died.
+        """
         run = find_run(spark, output, run_id)
-        check_status(run, RESTARTABLE_STATUSES, "resumed")
+        check_status(run, RESTARTABLE_STATUSES, "resumed", abandoned)
         check = partial(check_lines, references=references, rules=rules, mapper=mapper)
-        return cls(spark, output, check, new_run_id(), run.output_id, run.input_path, run_id, max_files)
+        return cls(spark, output, check, new_run_id(), run.output_id, run.input_path, run_id, max_files, scan_options)
 
     def request_stop(self) -> None:
         """Asks the run to stop once the chunk in progress is written and committed."""
@@ -89,7 +98,7 @@ class ChunkedRun:
         try:
             self.query.awaitTermination()
         except StreamingQueryException:
-            if not self._stop.is_set():
+            if not self._halted:  # a failure is one, also while a stop is pending
                 self._log("FAILED", end_time=datetime.now(timezone.utc))
                 raise
             self._log("STOPPED", end_time=datetime.now(timezone.utc))
@@ -98,9 +107,10 @@ class ChunkedRun:
         return "COMPLETED"
 
     def _write_chunk(self, lines: DataFrame, chunk: int) -> None:
-        if self._stop.is_set():
+        if self._stop.is_set() or stop_is_requested(self._spark, self._output, self.run_id):
             # The chunk is not begun, so the one before it is the last committed.
-            raise InterruptedError("stop requested")
+            self._halted = True
+            raise _Halt("stop requested")
         start = datetime.now(timezone.utc)
         results = self._check(with_line_id(lines))
         stored = stage_results(results, self._output, self._output_id, chunk)

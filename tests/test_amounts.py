@@ -9,7 +9,6 @@ from ledgersieve.functions.amounts import with_amount
 
 NUMBER = re.compile(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\Z", re.ASCII)
 EXACT = Context(prec=500, Emax=10**12, Emin=-(10**12))
-LARGEST = Decimal("9" * 20 + "." + "9" * 18)
 
 FIXED = [
     "5000", "5000.50", "+5", "007500.50", ".5", "5.", "1e5", "1E-9", "-0", "-0.00", "0E+3", "0e3", "0.0000001",
@@ -31,7 +30,7 @@ def expected(text):
     printed = EXACT.to_sci_string(value)
     sign = -1 if value < 0 else 1
     if value.adjusted() >= 20:
-        return printed, LARGEST.copy_sign(value), sign
+        return printed, None, sign  # too large for the decimal column
     if value.adjusted() < -300:
         return printed, Decimal(0), sign
     cut = value.quantize(Decimal("1e-18"), rounding=ROUND_DOWN, context=EXACT)

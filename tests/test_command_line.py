@@ -16,4 +16,4 @@ def test_generate_start_and_inspect(spark, tmp_path, capsys):
     assert "partition-1" in capsys.readouterr().out
     main(["summary", "--output", out], spark)
     shown = capsys.readouterr().out
-    assert "|NULL   |NULL     |400|" in shown and "bank_code" in shown
+    assert "\t\t400\n" in shown and "bank_code" in shown

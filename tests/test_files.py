@@ -4,6 +4,8 @@ import pytest
 
 from ledgersieve.fixed_values import CSV_HEADER, TRANSACTION_FIELDS
 from ledgersieve.operators.cleanse import cleanse
+from ledgersieve.operators.ranges import label_ranges, range_bounds
+from ledgersieve.plans.outputs import stage_results
 from ledgersieve.plans.validation import check_lines
 from ledgersieve.sources.generated import generate_range
 from ledgersieve.sources.transactions import (
@@ -111,3 +113,19 @@ def test_generated_faults_fail_for_their_reason(spark, references):
             assert row.validationErrors is None
         else:
             assert text[row.fault] in row.validationErrors
+
+
+def test_ranges_follow_the_order_of_files_and_lines(spark, references, tmp_path, conf):
+    """Spark packs large files first; ranges go by name and line all the same, for any number of tasks."""
+    sizes = {"a": 3, "b": 30, "c": 2}
+    for name, size in sizes.items():
+        line = golden_line(GOLDEN[0])
+        write_csv(tmp_path / "in" / f"{name}.csv", [line.replace(GOLDEN[0][0], f"{name}{i:02}") for i in range(size)])
+    expected = {f"{n}{i:02}": place // 4 for place, (n, i) in enumerate((n, i) for n, s in sizes.items() for i in range(s))}
+    for split in ("128m", "300"):
+        conf(spark__sql__files__maxPartitionBytes=split, spark__sql__files__openCostInBytes="1")
+        lines = with_line_id(scan_transactions(spark, str(tmp_path / "in")))
+        stored = stage_results(check_lines(lines, references), str(tmp_path / f"out-{split}"), "r")
+        assert {r.referenceId: r.partition for r in label_ranges(stored, 9).collect()} == expected
+        bounds = sorted(tuple(r) for r in range_bounds(label_ranges(stored, 9)).collect())
+        assert bounds == [(p * 4 + 2, min(p * 4 + 5, 36), p) for p in range(9)]

@@ -171,3 +171,49 @@ def test_elapsed_and_local_time(spark):
     assert [r.t for r in rows] == [
         "2026-02-20T10:15:30.123", "2026-02-20T10:15", "2026-02-20T10:15:30", "2026-02-20T10:15:00.000120",
     ]
+
+
+def test_stop_by_id_from_another_session(spark, references, tmp_path):
+    source, out = parts(tmp_path), str(tmp_path / "out")
+    write = ChunkedRun._write_chunk
+    other = spark.newSession()
+
+    def stop_after_first(self, lines, chunk):
+        write(self, lines, chunk)
+        if chunk == 0:
+            run_log.request_stop(other, out, self.run_id)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ChunkedRun, "_write_chunk", stop_after_first)
+        run = ChunkedRun.start(spark, source, out, references, max_files=1)
+        assert run.wait() == "STOPPED"
+    assert read_both_outputs(spark, out).count() == 13
+    with pytest.raises(ValueError, match="can be stopped"):
+        run_log.request_stop(other, out, run.run_id)
+    with pytest.raises(LookupError):
+        run_log.request_stop(other, out, "none")
+    assert ChunkedRun.resume(spark, run.run_id, out, references).wait() == "COMPLETED"
+    assert read_both_outputs(spark, out).count() == 52
+
+
+def test_failure_while_a_stop_is_pending_is_a_failure(spark, references, tmp_path, monkeypatch):
+    source, out = parts(tmp_path, 2), str(tmp_path / "out")
+
+    def fail(self, lines, chunk):
+        run_log.request_stop(spark, out, self.run_id)
+        raise RuntimeError("executor gone")
+
+    monkeypatch.setattr(ChunkedRun, "_write_chunk", fail)
+    run = ChunkedRun.start(spark, source, out, references, max_files=1)
+    with pytest.raises(Exception, match="executor gone"):
+        run.wait()
+    assert run_log.read_runs(spark, out).first().status == "FAILED"
+
+
+def test_abandoned_run_is_resumed_only_when_told(spark, references, tmp_path):
+    source, out = parts(tmp_path, 1), str(tmp_path / "out")
+    run_log.append_state(spark, out, run_id="r", output_id="r", seq=1, status="STARTED", input_path=source)
+    with pytest.raises(ValueError, match="only STOPPED or FAILED"):
+        resume_run(spark, out, "r", references)
+    resume_run(spark, out, "r", references, abandoned=True)
+    assert read_both_outputs(spark, out).count() == 13

@@ -1,5 +1,7 @@
 """The stand-alone validators and the lookups."""
 
+import pytest
+
 from ledgersieve import schemas
 from ledgersieve.operators.lookups import limit_by_type, rows_with_known_account, rows_with_unknown_bank
 from ledgersieve.operators.validators import (
@@ -144,3 +146,34 @@ def test_reference_tables_from_files(spark, tmp_path):
     assert read_banks(spark, str(tmp_path / "banks.csv")).collect() == [("BCA", "Bank Central Asia", 0)]
     assert read_limits(spark, str(tmp_path / "limits.csv")).first().minAmount == "10.50"
     assert read_accounts(spark, str(tmp_path / "accounts")).first().accountNumber == "0987654321"
+
+
+def test_bulk_goes_by_the_number_of_entries(spark, references):
+    out = bulk(spark, references, [
+        *[(1, i, "1234567890", "BCA") for i in range(1, 101)],
+        *[(2, i, "1234567890", "BCA") for i in (500, 502, 507)],
+        *[(3, 0, "1234567890", "BCA") for _ in range(5000)],
+        *[(4, 7, n, "BCA") for n in ("1234567890", "0000000000")],
+    ])
+    assert {b: (r.accepted, r.totalRequested, r.totalValid) for b, r in out.items()} == {
+        1: (True, 100, 100), 2: (True, 3, 3), 3: (False, 5000, None), 4: (True, 2, 1),
+    }
+    assert max(len(r.results or []) for r in out.values()) == 100
+
+
+def test_amounts_beyond_the_decimal_column(spark, references):
+    texts = ["1" + "0" * 25, "-1" + "0" * 25, "10000." + "0" * 18 + "7"]
+    rows = spark.createDataFrame([("TRANSFER", t) for t in texts], "transactionType string, amount string")
+    found = {r.amount_text: r for r in validate_amounts(rows, references.limits, "transactionType", "amount").collect()}
+    assert set(found) == set(texts)
+    assert found[texts[0]].amount is None and "exceeds the maximum" in found[texts[0]].reason
+    assert found[texts[1]].amount is None and "below the minimum" in found[texts[1]].reason
+    assert found[texts[2]].valid
+
+
+def test_duplicate_account_raises_before_any_join(spark, references):
+    twice = references.accounts.union(local_table(spark, schemas.ACCOUNTS, [("1234567890", "X", "bca", "ACTIVE")]))
+    rows = spark.createDataFrame([("1234567890", "BCA")], "number string, bank string")
+    for use in (validate_accounts, rows_with_known_account):
+        with pytest.raises(ValueError, match="Duplicate account key 1234567890:BCA"):
+            use(rows, twice, "number", "bank").count()
