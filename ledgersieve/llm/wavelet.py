@@ -13,8 +13,11 @@ cost a few words of reading. Layout, all little-endian::
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +26,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from .bpe import _Remembered
 from .texts import slices, space_chunks, stored
 
 _HEAD = struct.Struct("<4sIQII")
@@ -48,7 +50,7 @@ def pack_shard(ids: np.ndarray, lengths: list[int], doc_ids: list[int | None]) -
     ]
     order = dense[ids]
     for plane in reversed(range(planes)):
-        ones = (order >> plane & 1).astype(bool)
+        ones = (order & order.dtype.type(1 << plane)) != 0
         packed = np.packbits(ones, bitorder="little")
         packed = np.concatenate([packed, np.zeros(-len(packed) % (_BLOCK // 8), dtype="u1")])
         before = np.cumsum(np.bitwise_count(packed.view("<u8")).reshape(-1, 8).sum(axis=1, dtype=np.uint32))
@@ -170,22 +172,61 @@ class Shard:
         return block * _BLOCK + int(np.flatnonzero(inside == one)[nth - int(counts[block])])
 
 
-class LibraryEncoder:
-    """The tokenizers library, asked once for each chunk of text that recurs."""
+#: A chunk that the token pattern leaves whole: Latin letters, and a mark that is a match of its own.
+_PLAIN_CHUNK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)").fullmatch
+
+
+def _byte_characters() -> list[str]:
+    """The characters by which byte-level vocabularies write bytes: visible Latin-1 as it is, the others from U+0100 on."""
+    visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
 
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self._chunk_ids = _Remembered(lambda chunk: self._ids(" " + chunk))
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a whole text, each as four little-endian bytes."""
-        chunks = space_chunks(text)
-        if chunks is None:
-            return self._ids(text)
-        return self._ids(chunks[0]) + b"".join(map(self._chunk_ids.get_ids, chunks[1:]))
+class LibraryEncoder:
+    """The tokenizers library, asked once for each chunk of text that recurs.
+
+    A chunk that is one match of the token pattern goes to the library's model at once, without the
+    library's own splitting of texts; all others go through the whole library.
+    """
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def __init__(self, path: str, most: int = 900_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self._model, self._written = self.tokenizer.model.tokenize, _byte_characters()
+        self._known: dict[str, bytes] = {}
+        self._marks = dict(zip(".,;:!?", self._ids([*".,;:!?"]), strict=True)) | {"": b""}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of whole texts, each as four little-endian bytes."""
+        split = [space_chunks(text) for text in texts]
+        later = [chunks[1:] for chunks in split if chunks]
+        wanted = set().union(*later).difference(self._known)
+        if len(self._known) + len(wanted) > self.most:
+            self._known.clear()
+            wanted = set().union(*later)
+        self._learn(wanted)
+        starts = self._ids([text if chunks is None else chunks[0] for text, chunks in zip(texts, split, strict=True)])
+        known = self._known.__getitem__
+        return [start + b"".join(map(known, (chunks or ())[1:])) for start, chunks in zip(starts, split, strict=True)]
+
+    def _learn(self, chunks: set[str]) -> None:
+        known, rest = self._known, []
+        for chunk in chunks:
+            plain = _PLAIN_CHUNK(chunk)
+            if plain is None:
+                rest.append(chunk)
+                continue
+            word, mark = plain.groups()
+            ids = known.get(word)
+            if ids is None:
+                written = "".join([self._written[b] for b in (" " + word).encode()])
+                ids = known[word] = array("I", [token.id for token in self._model(written)]).tobytes()
+            known[chunk] = ids + self._marks[mark]
+        known.update(zip(rest, self._ids([" " + chunk for chunk in rest]), strict=True))
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
@@ -226,8 +267,9 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: i
 
         for batch in batches:
             for rows in slices(batch, "text"):
-                for doc_id, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), strict=True):
-                    held.append(encoder.encode(text or "") + end)
+                encoded = encoder.encode([text or "" for text in rows.column("text").to_pylist()])
+                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encoded, strict=True):
+                    held.append(ids + end)
                     names.append(doc_id)
                     size += len(held[-1]) // 4
                     if size >= shard_ids:
