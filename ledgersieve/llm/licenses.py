@@ -86,17 +86,15 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 
 
-def candidate_blocks(text: str) -> list[tuple[int, int, str]]:
-    """Runs of lines that start and end with a cue and have at most a few lines without one between: first line, lines, text."""
-    lines = text.split("\n")
-    marked = [number for number, line in enumerate(lines) if _CUES.search(line)]
+def candidate_blocks(lines: list[str]) -> list[tuple[int, int]]:
+    """Runs of lines that start and end with a cue and have at most a few lines without one between: first and last line."""
     blocks: list[list[int]] = []
-    for number in marked:
+    for number in (number for number, line in enumerate(lines) if _CUES.search(line)):
         if blocks and number - blocks[-1][1] <= _GAP + 1:
             blocks[-1][1] = number
         else:
             blocks.append([number, number])
-    return [(first, last - first + 1, "\n".join(lines[first : last + 1])) for first, last in blocks]
+    return [(first, last) for first, last in blocks]
 
 
 class LicenseMatcher:
@@ -180,9 +178,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
             for rows in slices(batch, "text"):
                 found = []
                 for number, text in enumerate(rows.column("text").to_pylist()):
-                    for line, lines, block in candidate_blocks(text):
-                        place = {"row": number, "line": line, "n_lines": lines}
-                        found += [place | match for match in matcher.match(block, least_share)]
+                    found += [{"row": number} | match for match in _matches(matcher, text, least_share)]
                 table = pa.RecordBatch.from_pylist(found, _FOUND)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id").take(table.column("row")), *table.columns[1:]], ["doc_id", *_FOUND.names[1:]]
@@ -200,6 +196,20 @@ def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
     )
 
 
+def _matches(matcher: LicenseMatcher, text: str, least_share: float) -> Iterator[dict]:
+    """The licenses of a text's blocks; a block that names none is tried again with the line before and after it."""
+    lines = text.split("\n")
+    for first, last in candidate_blocks(lines):
+        for begin, end in ((first, last + 1), (max(0, first - 1), last + 2)):
+            matches = matcher.match("\n".join(lines[begin:end]), least_share)
+            if matches[0]["confirmed"]:
+                break
+        if not matches[0]["confirmed"]:
+            begin, end = first, last + 1
+        for match in matches:
+            yield match | {"line": begin, "n_lines": min(end, len(lines)) - begin}
+
+
 _FOUND = pa.schema(
     [
         ("row", pa.int64()), ("line", pa.int32()), ("n_lines", pa.int32()), ("license", pa.string()), ("saved", pa.int32()),

@@ -1,0 +1,87 @@
+"""The corpus pipeline and the registered queries of this subpackage."""
+
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from ledgersieve.llm.bpe import rank_encoder
+from ledgersieve.llm.oracle import all_oracles
+from ledgersieve.llm.queries import all_queries
+
+from .test_duplicates import plain_cut, plain_fingerprint, plain_labels
+
+FOLDER = "/root/testdata/sf0.001"
+given = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the given tables are not here")
+
+
+@given
+def test_every_query_is_registered():
+    assert set(all_queries()) | {"pipeline"} <= set(entry.queries())
+    assert [name.split("_")[0] for name in all_queries()] == [f"op{n}" for n in range(1, 11)]
+
+
+@given
+@pytest.mark.parametrize("name", sorted(all_oracles()))
+def test_query_matches_sql(spark, name):
+    tables = duckdb.connect()
+    for file in Path(FOLDER).glob("*.parquet"):
+        tables.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    result = tables.execute(all_oracles()[name])
+    names = [d[0] for d in result.description]
+    found = all_queries()[name](spark, FOLDER).select(*names)
+    assert sorted(map(tuple, found.collect())) == sorted(result.fetchall())
+
+
+@given
+def test_stages_against_plain_versions(spark):
+    """Each stage on all that the one before it kept."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+
+    kept = stages["quality"](spark, docs, FOLDER).checkpoint()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    ids = {r.doc_id for r in kept.collect()}
+    good = [d for d, q in labels.items() if q == 1]
+    assert kept.columns == columns and len(ids) == kept.count()
+    assert sum(d in ids for d in good) >= 0.9 * len(good)
+
+    single = stages["near_duplicates"](spark, kept, FOLDER).checkpoint()
+    rows = [(r.doc_id, r.text) for r in kept.collect()]
+    marks = plain_labels(np.array([plain_fingerprint(t, 3) for _, t in rows], dtype=np.uint64))
+    first = {}
+    for (doc_id, _), mark in zip(rows, marks, strict=True):
+        first[mark] = min(doc_id, first.get(mark, doc_id))
+    assert single.columns == columns and sorted(r.doc_id for r in single.collect()) == sorted(first.values())
+
+    cut = stages["repeated_passages"](spark, single, FOLDER).checkpoint()
+    before = [(r.doc_id, r.text) for r in single.collect()]
+    left = {doc_id: n - gone for doc_id, n, gone, _ in plain_cut(before, 13)}
+    assert cut.columns == columns
+    assert {r.doc_id: len((r.text or "").encode().split()) for r in cut.collect()} == {d: n for d, n in left.items() if n or not dict(before)[d]}
+
+    mixed = stages["mix"](spark, cut, FOLDER).checkpoint()
+    assert mixed.columns == columns
+    sizes = lambda frame: {r.source: r.n for r in frame.selectExpr("source", "size(split(trim(text), '[ \\\\t\\\\n]+')) AS w").groupBy("source").agg({"w": "sum"}).toDF("source", "n").collect()}
+    taken, own = sizes(mixed), sizes(cut)
+    assert all(taken[s] <= 2 * own[s] for s in taken)
+    assert abs(sum(taken.values()) - 1.5 * sum(own.values())) <= len(own)
+
+    encoder = rank_encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = stages["encode"](spark, mixed, FOLDER).collect()
+    assert sorted((r.doc_id, encoder.decode(r.ids)) for r in encoded) == sorted((r.doc_id, r.text.encode()) for r in mixed.collect())
+
+
+def test_stages_take_odd_rows(spark, docs_of, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [(1, "some text here"), (1, "some text here"), (1, "another text"), (None, "text"), (2, None), (3, ""), (4, None, None, None)]
+    for table, least in ((docs_of(rows), 3), (docs_of([]), 0)):
+        docs = table
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, str(tmp_path)).checkpoint()
+        assert docs.count() >= least
