@@ -15,6 +15,8 @@ checked once, and then the table is joined as it is.
 
 from __future__ import annotations
 
+import weakref
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,6 +24,10 @@ from .. import schemas
 from ..fixed_values import ACCOUNTS, BANK_CODES, TRANSACTION_LIMITS
 from ..functions.text import case_key
 
+# Account tables without duplicate keys.
+_unique: weakref.WeakSet[DataFrame] = weakref.WeakSet()
+
+
 def seeded_banks(spark: SparkSession) -> DataFrame:
     return local_table(spark, schemas.BANKS, [(*row, i) for i, row in enumerate(BANK_CODES)])
 
@@ -86,11 +92,14 @@ def account_lookup(accounts: DataFrame) -> DataFrame:
     """Accounts by number (as is) and bank (without case).
 
     A duplicate key raises here and now: one hash aggregate over the keys, before anything
-    is joined with the table.
+    is joined with the table. A frame is checked once, however often it is looked up in, as
+    the chunks of a run do.
     """
-    double = duplicate_accounts(accounts).first()
-    if double:
-        raise ValueError(f"Duplicate account key {double.accountNumber}:{double.bankKey}")
+    if accounts not in _unique:
+        double = duplicate_accounts(accounts).first()
+        if double:
+            raise ValueError(f"Duplicate account key {double.accountNumber}:{double.bankKey}")
+        _unique.add(accounts)
     return accounts.selectExpr(
         "accountNumber AS account_key",
         f"{case_key('bankCode')} AS account_bank_key",
