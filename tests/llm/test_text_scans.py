@@ -73,6 +73,7 @@ def test_shared_lines_are_a_longest_common_subsequence():
     ("<article>t<section class='comments'><p>no</section>u<script>if(a<b)</script>v</article>", ["t", "u", "v"]),
     ("<article><header class='entry-header'><h1>T</h1></header>x</article><footer>f</footer>", ["T", "x"]),
     ("<header>h</header><nav>n</nav><aside>s</aside><form>f</form><div id=cookie-notice>c</div><p>p", ["p"]),
+    ("<div class='cookieBanner'>c</div><div id=advert2>a</div><article><p hidden>h</p><div class='adage'>b</div></article>", ["h", "b"]),
     ("<article>a<!-- b --> c <style>p{}</style>d</article>", ["a c", "d"]),
     ("<ul><li>a<li>b</ul>c &am", ["a", "b", "c &am"]), ("<p>a <", ["a"]), ("", []), ("<script>x", []),
 ])
