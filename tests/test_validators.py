@@ -177,3 +177,12 @@ def test_duplicate_account_raises_before_any_join(spark, references):
     for use in (validate_accounts, rows_with_known_account):
         with pytest.raises(ValueError, match="Duplicate account key 1234567890:BCA"):
             use(rows, twice, "number", "bank").count()
+
+
+def test_accounts_are_joined_without_an_aggregate(spark, references, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    rows = spark.createDataFrame([("1234567890", "BCA")], "number string, bank string")
+    joined = validate_accounts(rows, references.accounts, "number", "bank")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Aggregate" not in plan
+    assert joined.first().status == "ACTIVE"
