@@ -21,7 +21,7 @@ from .texts import slices
 
 _CUE = (
     r"licen[sc]|copyright|copyleft|warrant|permission is hereby|rights reserved|redistribut|public domain|spdx|"
-    r"\bcc[ -]by|creative commons|\bgpl|©"
+    r"\bcc[ -]?by|\bcc[ -]?(?:0|zero)|creative commons|\bgpl|©"
 )
 _CUES = re.compile(_CUE, re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")

@@ -25,6 +25,13 @@ def test_each_wording_names_its_license(matcher):
                 assert max(saved[n] for n in own) == max(saved.values())
 
 
+def test_scan_finds_each_wording_as_the_only_notice(spark, docs_of):
+    wordings = [(name, wording) for name, own in TEMPLATES.items() for wording in own]
+    rows = [(i, f"Some prose.\n{wording}\nMore prose.") for i, (_, wording) in enumerate(wordings)]
+    found = {(r.doc_id, r.license) for r in scan_licenses(docs_of(rows)).collect() if r.confirmed}
+    assert found == {(i, name) for i, (name, _) in enumerate(wordings)}
+
+
 def test_wording_differences_are_exact(matcher):
     (found,) = matcher.match("Licensed under the Apache License, Version 1.1.")
     assert (found["confirmed"], found["missing"]) == (False, ["2.0"])
