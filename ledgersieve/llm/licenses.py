@@ -10,9 +10,10 @@ words are given.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -27,6 +28,8 @@ _CUES = re.compile(_CUE, re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 #: Lines without a cue that a block may span.
 _GAP = 3
+#: Words of a block that are compared at once.
+_PIECE = 4_096
 
 #: Fixed wordings of public licenses: name, and the notices that stand for it.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -117,30 +120,44 @@ class LicenseMatcher:
         size = len(self.alone.compress(data))
         return sorted(((size - len(c.compress(data)), number) for number, c in enumerate(self.given)), key=lambda x: (-x[0], x[1]))
 
-    def match(self, block: str, least_share: float = 0.9, confirmed_ranks: int = 3) -> list[dict]:
-        """The licenses of a block: the best-ranked wording that the block holds but for a few words, then those of the rest.
+    def match(self, block: str, least_share: float = 0.9, nearest_ranks: int = 3) -> list[dict]:
+        """The licenses of a block: the wording that the block holds best, then those of the rest.
 
-        Wordings that differ in few words compress nearly alike, so the first ``confirmed_ranks`` are
-        compared by words; the one that misses fewest wins, ties by rank. Numbers of a wording must all
-        be there: they tell versions apart. If none holds, the nearest one is given as unconfirmed.
+        All wordings are compared by words, since much prose around a notice says more about the ranks
+        than the notice does. A wording is confirmed if few of its words are missing and few others stand
+        in between, at most twice as many; the one with most words there, less those that differ, wins,
+        ties by rank. Numbers of a wording must all be there: they tell versions apart. If none holds, the
+        nearest of the first ``nearest_ranks`` is given as unconfirmed.
         """
         found: list[dict] = []
+        words = _WORD.findall(block)
         while not found or found[-1]["confirmed"] and _CUES.search(block):
-            words = _WORD.findall(block)
+            lowered = [w.lower() for w in words]
+            there = Counter(lowered)
             results = []
-            for saved, number in self.rank(block)[:confirmed_ranks]:
+            for place, (saved, number) in enumerate(self.rank(block)[:nearest_ranks]):
                 name, wording = self.wordings[number]
                 wanted = [w.lower() for w in _WORD.findall(wording)]
-                missing, added, span = _differences(wanted, [w.lower() for w in words])
+                held = sum(min(n, there[w]) for w, n in Counter(wanted).items())
+                if place >= nearest_ranks and held < least_share * len(wanted):
+                    continue
+                missing, added, span = _differences(wanted, lowered)
                 numbers = [w for w in missing if any(c.isdigit() for c in w)]
-                confirmed = not numbers and len(wanted) - len(missing) >= least_share * len(wanted)
+                enough = len(wanted) - len(missing) >= least_share * len(wanted)
+                confirmed = not numbers and enough and len(added) <= 2 * (1 - least_share) * len(wanted) + 1e-9
                 result = {"license": name, "saved": saved, "missing": missing, "added": added, "confirmed": confirmed}
-                results.append((result, span))
-            best, span = min(results, key=lambda r: (not r[0]["confirmed"], len(r[0]["missing"]) + len(r[0]["added"])))
+                if confirmed or place < nearest_ranks:
+                    results.append((result, span, len(wanted) - 2 * len(missing) - len(added)))
+            held_best = [r for r in results if r[0]["confirmed"]]
+            if held_best:
+                best, span, _ = max(held_best, key=lambda r: r[2])
+            else:
+                best, span, _ = min(results, key=lambda r: len(r[0]["missing"]) + len(r[0]["added"]))
             if found and not best["confirmed"]:
                 break
             found.append(best)
-            block = " ".join(words[: span.start] + words[span.stop :])
+            words = words[: span.start] + words[span.stop :]
+            block = " ".join(words)
         return found
 
 
@@ -149,16 +166,45 @@ def _plain(text: str) -> str:
 
 
 def _differences(wanted: list[str], words: list[str]) -> tuple[list[str], list[str], slice]:
-    """Words of the wording that the block lacks, words the block has in between, and the span of what they share."""
-    runs = [m for m in SequenceMatcher(None, wanted, words, autojunk=False).get_matching_blocks() if m.size]
-    if not runs:
-        return list(wanted), [], slice(0, 0)
-    missing, added = list(wanted[: runs[0].a]), []
-    for one, following in zip(runs, runs[1:], strict=False):
-        missing += wanted[one.a + one.size : following.a]
-        added += words[one.b + one.size : following.b]
-    end = runs[-1].a + runs[-1].size
-    return missing + wanted[end:], added, slice(runs[0].b, runs[-1].b + runs[-1].size)
+    """Words of the wording that the block lacks, words the block has in between, and the span they lie in.
+
+    The span is the one with the fewest such words. Long blocks are compared in pieces that overlap by
+    twice the wording.
+    """
+    best: tuple[int, int, np.ndarray] | None = None
+    step = max(_PIECE, 4 * len(wanted))
+    for start in range(0, max(1, len(words)), step):
+        costs = _span_costs(wanted, words[start : start + step + 2 * len(wanted)])
+        least = int(costs[-1].min())
+        if best is None or least < best[0]:
+            best = least, start, costs
+    _, start, costs = best
+    row, column = len(wanted), int(costs[-1].argmin())
+    stop, missing, added = start + column, [], []
+    while row:
+        cost = costs[row, column]
+        if column and wanted[row - 1] == words[start + column - 1] and costs[row - 1, column - 1] == cost:
+            row, column = row - 1, column - 1
+        elif costs[row - 1, column] + 1 == cost:
+            row -= 1
+            missing.append(wanted[row])
+        else:
+            column -= 1
+            added.append(words[start + column])
+    return missing[::-1], added[::-1], slice(start + column, stop)
+
+
+def _span_costs(wanted: list[str], words: list[str]) -> np.ndarray:
+    """Missing and added words of each beginning of the wording in the best span that ends at each word."""
+    known = {word: number for number, word in enumerate(dict.fromkeys(wanted))}
+    codes = np.array([known.get(w, -1) for w in words], dtype=np.int32)
+    costs = np.zeros((len(wanted) + 1, len(words) + 1), dtype=np.int32)
+    places = np.arange(len(words) + 1, dtype=np.int32)
+    for row, word in enumerate(wanted, 1):
+        cost = costs[row - 1] + 1
+        cost[1:] = np.where(codes == known[word], np.minimum(cost[1:], costs[row - 1, :-1]), cost[1:])
+        costs[row] = np.minimum.accumulate(cost - places) + places
+    return costs
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, least_share: float = 0.9) -> DataFrame:

@@ -41,6 +41,13 @@ def test_wording_differences_are_exact(matcher):
     assert {f["license"] for f in both if f["confirmed"]} == {"MIT", "All-rights-reserved"}
 
 
+def test_words_far_apart_are_no_notice(matcher):
+    prose = "Here all users of the library hold some rights under the licence terms, and the front seats stay reserved for guests."
+    assert not any(f["confirmed"] for f in matcher.match(prose))
+    inside = "All users of the library. Released under the MIT License. They hold rights, and seats stay reserved."
+    assert [f["license"] for f in matcher.match(inside) if f["confirmed"]] == ["MIT"]
+
+
 def test_scan_of_whole_texts(spark, docs_of):
     far = "word " * 50_000
     rows = [
