@@ -3,7 +3,7 @@
 A block of text that may be a license notice is compressed alone, and again with each template as a
 raw zstandard dictionary. Templates are ranked by how much smaller the block gets: what a template
 already says costs almost nothing. The ranking finds the closest template among many alike, however
-the wording is wrapped or filled in; the winner is then confirmed word by word, and the differing
+the wording is wrapped or filled in; every wording is then compared word by word, and the differing
 words are given.
 """
 
@@ -135,7 +135,7 @@ class LicenseMatcher:
             lowered = [w.lower() for w in words]
             there = Counter(lowered)
             results = []
-            for place, (saved, number) in enumerate(self.rank(block)[:nearest_ranks]):
+            for place, (saved, number) in enumerate(self.rank(block)):
                 name, wording = self.wordings[number]
                 wanted = [w.lower() for w in _WORD.findall(wording)]
                 held = sum(min(n, there[w]) for w, n in Counter(wanted).items())

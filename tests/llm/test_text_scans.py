@@ -48,6 +48,17 @@ def test_words_far_apart_are_no_notice(matcher):
     assert [f["license"] for f in matcher.match(inside) if f["confirmed"]] == ["MIT"]
 
 
+def test_notices_in_long_lines_are_found(matcher):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice(["the", "an", "re", "on", "ti", "license"]) for _ in range(rng.randint(1, 3))) for _ in range(400)]
+    for name, wordings in TEMPLATES.items():
+        for wording in wordings:
+            prose = rng.choices(vocabulary, k=6_000)
+            at = rng.randint(0, len(prose))
+            found = matcher.match(" ".join([*prose[:at], wording, *prose[at:]]))
+            assert [f["license"] for f in found if f["confirmed"]] == [name]
+
+
 def test_scan_of_whole_texts(spark, docs_of):
     far = "word " * 50_000
     rows = [
