@@ -1,12 +1,12 @@
-"""Substring dedup: suffix subtrees over words, partitioned by prefixes of varying length.
-
-Every word position starts a suffix. A suffix goes to the group of its shortest prefix that few
-enough suffixes share: one word for rare words, more for common ones, up to the window. A first
-pass counts suffixes by prefix in tables of fixed size and packs the groups into shards that fit
-in memory. A shard sorts its suffixes along their path to the depth of the window; where two meet,
-the tree has an internal node at that depth, and the node's leaves are all places of one repeated
-window. The first document of a node keeps it; elsewhere the window's words go. Windows that
-follow one another join to maximal repeats.
+"""Substring dedup: equal windows of words, dealt by prefixes of varying length.
+
+Hashed windows of a fixed depth stand in for suffix trees: no suffixes are sorted, and no nodes of
+other depths are made. Every word position starts a suffix. A suffix goes to the group of its shortest
+prefix that few enough suffixes share: one word for rare words, more for common ones, up to the window.
+A first pass counts suffixes by prefix in tables of fixed size and packs the groups into shards that fit
+in memory. A shard groups its suffixes by the hash of their first ``window`` words; a group (called node,
+its suffixes leaves) is all places of one repeated window. The first document of a node keeps it;
+elsewhere the window's words go. Windows that follow one another join to longer runs.
 
 Paths are compared by 64-bit fingerprints of their words, so that a suffix costs some ten bytes of
 shuffle and not its words. Two different windows meet by chance once in 2**64 pairs of one shard.
