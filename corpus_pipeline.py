@@ -6,15 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgersieve.llm.bpe import encode_documents
-from ledgersieve.llm.minhash import near_copies
 from ledgersieve.llm.mixing import mix_sources
 from ledgersieve.llm.quality import classify_quality
 from ledgersieve.llm.shipping import ship_package
+from ledgersieve.llm.simhash import near_duplicates
 from ledgersieve.llm.suffixes import cut_repeats
 from ledgersieve.llm.texts import stored
 
 _COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-_SHINGLE_WORDS, _LEAST_SIMILARITY = 5, 0.8
+_SHINGLE_WORDS, _MAX_BITS = 3, 3
 _WINDOW = 13
 
 #: SQL can express neither the classifier nor the tokens.
@@ -31,10 +31,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: the one with the smallest doc_id, a null doc_id last."""
+    """One document of each component of near fingerprints: the one with the smallest doc_id, a null doc_id last.
+
+    Texts without words have one fingerprint, so one of them stays.
+    """
     ship_package(spark)
     docs = docs.select(_COLUMNS)
-    found = near_copies(docs, _SHINGLE_WORDS, _LEAST_SIMILARITY)
+    found = near_duplicates(docs, _SHINGLE_WORDS, _MAX_BITS)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
     kept = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
     return _one_of_each(docs.join(kept, _same_text(docs), "left_semi"))
