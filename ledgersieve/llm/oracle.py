@@ -49,7 +49,28 @@ WITH used AS (
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLES = {"op1_mtree_top_k": TOP_K, "op2_mix_sources": MIXING}
+HARD_NEGATIVES = """
+WITH used AS (
+  SELECT DISTINCT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM used a JOIN used c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), found AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+    AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 5
+"""
+
+ORACLES = {"op1_mtree_top_k": TOP_K, "op2_mix_sources": MIXING, "op12_threshold_negatives": HARD_NEGATIVES}
 
 
 def all_oracles() -> dict[str, str]:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .ann import nearest_by_cosine
 from .bpe import encode_documents
+from .jaccard import jaccard_components
 from .licenses import scan_licenses
 from .mixing import mix_sources
 from .mtree import top_inner_products
+from .negatives import mine_negatives
 from .pages import extract_main_text
 from .quality import classify_quality
 from .shipping import ship_package
@@ -71,8 +73,20 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept_digests(cut_repeats(_table(spark, folder, "documents"), window=13))
 
 
+def op12_threshold_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """With a wrong label for every seventh row."""
+    label = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    vectors = _table(spark, folder, "embeddings").withColumn("label", label)
+    return mine_negatives(vectors, every=100, positives=5, negatives=5, scale=256, low=80)
+
+
+def op13_jaccard_product(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(_table(spark, folder, "documents"), shingle_words=5, percent=80)
+
+
 _QUERIES = (
-    op1_mtree_top_k, op2_mix_sources, op3_kneser_ney_quality, op4_license_compression, op5_adaptive_scan, op6_simhash_components, op7_wavelet_shards, op8_byte_bpe, op9_page_differencing, op10_suffix_dedup,
+    op1_mtree_top_k, op2_mix_sources, op3_kneser_ney_quality, op4_license_compression, op5_adaptive_scan, op6_simhash_components,
+    op7_wavelet_shards, op8_byte_bpe, op9_page_differencing, op10_suffix_dedup, op12_threshold_negatives, op13_jaccard_product,
 )
 
 

@@ -22,7 +22,7 @@ given = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the given tables a
 @given
 def test_every_query_is_registered():
     assert set(all_queries()) | {"pipeline"} <= set(entry.queries())
-    assert [name.split("_")[0] for name in all_queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in all_queries()] == [f"op{n}" for n in range(1, 14)]
 
 
 @given
