@@ -190,9 +190,8 @@ def mine_negatives(
     own = Window.partitionBy("anchor_id", "draw").orderBy(F.desc("positive_score"), "positive_id")
     chosen = stored(near.withColumn("place", F.row_number().over(own) - 1).filter(F.col("place") < positives), "positives")
     highs = chosen.groupBy("anchor_id", "draw").agg(F.array_sort(F.collect_list(F.struct("place", "positive_score"))).alias("p"))
-    wanted = anchors.join(
-        highs.select(F.col("anchor_id").alias("vec_id"), "draw", F.col("p.positive_score").alias("highs")), ["vec_id", "draw"]
-    )
+    highs = highs.select(F.col("anchor_id").alias("vec_id"), "draw", F.col("p.positive_score").alias("highs"))
+    wanted = stored(anchors.join(highs, ["vec_id", "draw"]), "windows")
     found = rows.cogroup(to_shards(wanted)).applyInArrow(windows, longs("anchor_id", "draw", "place", "negative_id", "negative_score"))
     window = Window.partitionBy("anchor_id", "draw", "place").orderBy(F.desc("negative_score"), "negative_id")
     ranked = found.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= negatives)
