@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .ann import nearest_by_cosine
 from .bpe import encode_documents
+from .conversations import damaged_turns, every_conversation, repair_conversations, repaired_digests
 from .jaccard import jaccard_components
 from .licenses import scan_licenses
 from .mixing import mix_sources
@@ -73,6 +74,12 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept_digests(cut_repeats(_table(spark, folder, "documents"), window=13))
 
 
+def op11_grammar_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = _table(spark, folder, "conversations")
+    turns = damaged_turns(conversations)
+    return repaired_digests(turns, every_conversation(repair_conversations(turns), conversations))
+
+
 def op12_threshold_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """With a wrong label for every seventh row."""
     label = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
@@ -86,7 +93,8 @@ def op13_jaccard_product(spark: SparkSession, folder: str) -> DataFrame:
 
 _QUERIES = (
     op1_mtree_top_k, op2_mix_sources, op3_kneser_ney_quality, op4_license_compression, op5_adaptive_scan, op6_simhash_components,
-    op7_wavelet_shards, op8_byte_bpe, op9_page_differencing, op10_suffix_dedup, op12_threshold_negatives, op13_jaccard_product,
+    op7_wavelet_shards, op8_byte_bpe, op9_page_differencing, op10_suffix_dedup, op11_grammar_repair, op12_threshold_negatives,
+    op13_jaccard_product,
 )
 
 
