@@ -1,15 +1,16 @@
-"""The run log: one row per run and state change, and one per run and partition."""
+"""The run log: one row per run and state change; what is known of its partitions comes from the commits."""
 
 from __future__ import annotations
 
 import time
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..fixed_values import JOB_NAME, RESTARTABLE_STATUSES, STOPPABLE_STATUSES
 from ..functions.text import elapsed_text, local_time_text
+from ..session import path_exists
+from .commits import CHUNK, RANGE, read_commits
 
 STOPPING = "STOPPING"
 
@@ -22,19 +23,25 @@ def append_state(spark: SparkSession, output: str, **values) -> None:
 
 
 def request_stop(spark: SparkSession, output: str, run_id: str) -> None:
-    """Asks a run to stop after the chunk in progress; any session that sees the log can ask."""
+    """Asks a run to stop; any session that sees the log can ask.
+
+    A chunked run ends after the chunk in progress. A batch run gives up the job in progress; what it has
+    committed stays, and a run that has committed everything in the meantime completes.
+    """
     run = read_runs(spark, output).filter(F.col("run_id") == run_id).first()
     if run is None:
         raise LookupError(f"no run {run_id}")
     if run.status not in STOPPABLE_STATUSES:
         raise ValueError(f"run {run_id} is {run.status}; only {' or '.join(STOPPABLE_STATUSES)} runs can be stopped")
+    if run.stoppable is False:
+        raise ValueError(f"run {run_id} was started without looking at the log, so it cannot be stopped")
     state = run.asDict() | {"seq": time.time_ns(), "status": STOPPING}
     append_state(spark, output, **state)
 
 
 def stop_is_requested(spark: SparkSession, output: str, run_id: str) -> bool:
-    run = read_runs(spark, output).filter(F.col("run_id") == run_id).first()
-    return run is not None and run.status == STOPPING
+    states = spark.read.schema(schemas.RUNS).parquet(f"{output}/runs")
+    return not states.filter((F.col("run_id") == run_id) & (F.col("status") == STOPPING)).isEmpty()
 
 
 def read_runs(spark: SparkSession, output: str) -> DataFrame:
@@ -44,26 +51,29 @@ def read_runs(spark: SparkSession, output: str) -> DataFrame:
     return states.groupBy("run_id").agg(*[F.max_by(c, "seq").alias(c) for c in others])
 
 
+def visible_units(spark: SparkSession, output: str, *units: str) -> DataFrame:
+    """output_id and number of the units that readers may see."""
+    commits = read_commits(spark, output).filter(F.col("unit").isin(*units))
+    if not path_exists(spark, f"{output}/runs"):
+        return commits.select("output_id", "number").limit(0)
+    completed = read_runs(spark, output).filter("status = 'COMPLETED'").select("output_id").distinct()
+    finished = commits.join(completed.withColumn("completed", F.lit(True)), "output_id", "left")
+    return finished.filter(f"completed OR unit = '{CHUNK}'").select("output_id", "number")
+
+
 def read_steps(spark: SparkSession, output: str) -> DataFrame:
-    steps = spark.read.schema(schemas.RUN_STEPS).parquet(f"{output}/steps")
-    return steps.drop("execution")
-
-
-def count_steps(labelled: DataFrame, run_id: str, start: datetime, end: datetime) -> DataFrame:
-    """Step rows of a finished run: read, written (valid or invalid) and skipped (quarantined) lines."""
-    skipped = F.col("outcome") == "quarantined"
-    return labelled.groupBy("partition").agg(
-        F.count("*").alias("read_count"), F.count_if(~skipped).alias("write_count"), F.count_if(skipped).alias("skip_count")
-    ).select(
-        F.lit(run_id).alias("run_id"),
-        F.concat(F.lit("partition-"), F.col("partition").cast("string")).alias("partition_name"),
+    """Ranges and chunks as steps of the executions that committed them."""
+    return read_commits(spark, output).filter(F.col("unit").isin(RANGE, CHUNK)).select(
+        "run_id",
+        F.concat(F.lit("partition-"), F.col("number").cast("string")).alias("partition_name"),
         F.lit("COMPLETED").alias("status"),
         "read_count",
-        "write_count",
+        (F.col("valid_count") + F.col("invalid_count")).alias("write_count"),
         "skip_count",
         F.lit(0).cast("bigint").alias("filter_count"),
-        F.lit(start).alias("start_time"),
-        F.lit(end).alias("end_time"),
+        "start_time",
+        "end_time",
+        "unit",
     )
 
 
@@ -106,7 +116,8 @@ def with_elapsed(runs: DataFrame, now: Column | None = None) -> DataFrame:
 def run_status(runs: DataFrame, steps: DataFrame, run_id) -> DataFrame:
     """One row for a run: its state, times, progress (struct) and partitions (array by name).
 
-    A run has as many array entries as it was split into, a number set by the caller.
+    Only ranges are listed, since a run has as many as its caller sets. Chunks are counted in ``progress``;
+    ``run_partitions`` gives their details as rows.
     """
     mine = steps.filter(F.col("run_id") == run_id)
     entry = F.struct(
@@ -114,7 +125,8 @@ def run_status(runs: DataFrame, steps: DataFrame, run_id) -> DataFrame:
         local_time_text(F.col("start_time")).alias("start_time"),
         local_time_text(F.col("end_time")).alias("end_time"),
     )
-    details = mine.groupBy("run_id").agg(F.array_sort(F.collect_list(entry)).alias("partitions"))
+    listed = mine.filter("unit = 'range'") if "unit" in mine.columns else mine
+    details = listed.groupBy("run_id").agg(F.array_sort(F.collect_list(entry)).alias("partitions"))
     counts = run_progress(mine)
     progress = counts.select("run_id", F.struct(*[c for c in counts.columns if c != "run_id"]).alias("progress"))
     run = with_elapsed(runs.filter(F.col("run_id") == run_id))

@@ -36,12 +36,17 @@ RESULTS = T.StructType(
     + [T.StructField("outcome", T.StringType())]
 )
 
-RUN_STEPS = (
-    "run_id string, partition_name string, status string, read_count bigint, write_count bigint, "
-    "skip_count bigint, filter_count bigint, start_time timestamp, end_time timestamp"
+# One row per unit of work that is written as a whole: the staged results of a run, a range or a chunk of lines.
+COMMITS = (
+    "output_id string, unit string, number int, run_id string, read_count bigint, valid_count bigint, "
+    "invalid_count bigint, skip_count bigint, start_time timestamp, end_time timestamp, seq bigint"
 )
-# output_id names the output directories; an execution that resumes another keeps its output_id.
+# output_id names the output directories; an execution that resumes another keeps its output_id. ranges is
+# the number of line ranges; line_count and left_out count lines of the files, where that is asked for.
 RUNS = (
     "run_id string, output_id string, seq bigint, status string, exit_code string, input_path string, "
-    "resumed_from string, start_time timestamp, end_time timestamp"
+    "resumed_from string, start_time timestamp, end_time timestamp, ranges int, stoppable boolean, "
+    "line_count bigint, left_out bigint"
 )
+# Where a part of a file begins, and the chunk of a run that its lines belong to.
+BLOCKS = "line_file string, line_block bigint, length bigint, lines bigint, first_line bigint, chunk int"

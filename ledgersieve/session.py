@@ -64,12 +64,21 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library has written; nothing happens if there is none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def remove_work_dirs(spark: SparkSession) -> None:
     """Deletes the staged copies made so far; frames that read them can no longer be used."""
-    context = spark.sparkContext
     while _made:
-        path = context._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, _made.pop())
 
 
 def _remove_at_exit() -> None:

@@ -6,8 +6,7 @@ number, then committed to the checkpoint. A chunk that was cut off is repeated
 under the same number and replaces what it had written, so every line ends up in
 the outputs exactly once.
 
-One file is never split over chunks: to chunk one large file, write it out in
-parts first (``sources.transactions.write_transaction_files``).
+One file is never split over chunks; ``block_run`` works in chunks of lines within files.
 """
 
 from __future__ import annotations
@@ -18,14 +17,15 @@ from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..fixed_values import RESTARTABLE_STATUSES
 from ..operators.cleanse import cleanse
 from ..operators.rules import Rule
 from ..plans.batch_run import check_status, find_run, new_run_id
-from ..plans.outputs import stage_results, write_chunk
-from ..plans.run_log import append_state, count_steps, stop_is_requested
+from ..plans.commits import CHUNK, commit
+from ..plans.outputs import stage_counted, write_chunk
+from ..plans.run_log import append_state, stop_is_requested
 from ..plans.validation import Mapper, References, check_lines
 from ..sources.transactions import stream_transactions, with_line_id
 
@@ -47,7 +47,7 @@ class ChunkedRun:
         self._chunks_left = max_chunks
         self._state = dict(
             run_id=run_id, output_id=output_id, input_path=input_path, resumed_from=resumed_from,
-            start_time=datetime.now(timezone.utc),
+            start_time=datetime.now(timezone.utc), stoppable=True,
         )
         self._log("STARTED")
         self.query = (
@@ -113,14 +113,11 @@ class ChunkedRun:
             raise _Halt("stop requested")
         start = datetime.now(timezone.utc)
         results = self._check(with_line_id(lines))
-        stored = stage_results(results, self._output, self._output_id, chunk)
+        stored, counts = stage_counted(results, self._output, self._output_id, chunk)
         write_chunk(stored, self._output, self._output_id, chunk)
-        steps = count_steps(
-            stored.withColumn("partition", F.lit(chunk)), self.run_id, start, datetime.now(timezone.utc)
-        )
-        # Named by output and chunk, not by execution: a repeated chunk is counted once.
-        steps.coalesce(1).write.mode("overwrite").parquet(
-            f"{self._output}/steps/execution={self._output_id}-{chunk}"
+        # Named by output and number, not by execution: a repeated chunk is counted once.
+        commit(
+            self._spark, self._output, self._output_id, self.run_id, CHUNK, {chunk: counts}, start, datetime.now(timezone.utc)
         )
         if self._chunks_left is not None:
             self._chunks_left -= 1
