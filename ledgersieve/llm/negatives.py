@@ -1,10 +1,10 @@
 """Hard negatives by threshold joins over an inverted index with norm bounds.
 
-Every component has a list of the rows that have one, those with the longest prefix (the components up
-to it, weak ones first) in front. For a threshold the tail of a list is left out: there the prefixes of
-row and query are so short that by the Cauchy-Schwarz inequality their product stays below it. What the
-lists hold is added up from the strongest component on; a pair ends when its sum and the norms of what
-is left cannot reach the threshold. Thresholds start high and are lowered until enough rows are found.
+The index has a list for every group of components, weak groups first, with the rows that hold it, long rows
+in front. For a threshold the tail of a list is left out: there the prefixes (the components up to the group's
+end) of row and query are so short that by the Cauchy-Schwarz inequality their product stays below it. What
+the lists hold is added up from the strongest group on; a pair ends when its sum and the norms of what is
+left cannot reach the threshold. Thresholds start high and are lowered until enough rows are found.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .texts import stored
 from .vectors import matrix, usable
 
-_ANCHORS, _STEP = 32, 8
+_ANCHORS, _GROUP = 64, 8
 _SLACK = 1e-9
 #: Shares of the highest possible score that a search for positives falls back to, one after the other.
 _LEVELS = (0.8, 0.6, 0.45, 0.3, 0.15, 0.0)
@@ -29,45 +29,48 @@ class NormIndex:
     """Rows of integers to be joined with queries at thresholds of the inner product."""
 
     def __init__(self, vectors: np.ndarray):
-        self.vectors = vectors
         self.order = np.argsort(np.square(vectors.astype(np.float64)).sum(axis=0), kind="stable")
         points = vectors[:, self.order].astype(np.float64)
-        self.norms = _prefix_norms(points)
-        self.lists = []
-        for at in range(points.shape[1]):
-            rows = np.flatnonzero(points[:, at])
-            rows = rows[np.argsort(-self.norms[rows, at + 1], kind="stable")]
-            self.lists.append((rows, points[rows, at], -self.norms[rows, at + 1]))
+        self.rows = np.argsort(-np.square(points).sum(axis=1), kind="stable")
+        self.vectors = vectors[self.rows]
+        self.points = points[self.rows]
+        self.norms = _prefix_norms(self.points)
+        self.groups = [(at, min(at + _GROUP, vectors.shape[1])) for at in range(0, vectors.shape[1], _GROUP)]
+        # Per group the longest prefix from a row on: where it falls below a bound, the list ends.
+        self.longest = [np.maximum.accumulate(self.norms[::-1, end])[::-1] for _, end in self.groups]
         self.added = 0  # products of components, for a comparison with all of them
 
     def join(self, queries: np.ndarray, least: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All pairs (place of the query, row, score) that are allowed and whose score is at least the query's threshold."""
         points = queries[:, self.order].astype(np.float64)
         norms = _prefix_norms(points)
-        slack = _SLACK * self.norms[:, -1] * norms[:, -1:] + _SLACK
+        goal = least[:, None] - _SLACK
+        spare = 1 + _SLACK
         sums = np.zeros(allowed.shape)
-        left = np.full(len(self.vectors), points.shape[1])  # components of a row not added yet
-        alive = allowed & (self.norms[:, -1] * norms[:, -1:] + slack >= least[:, None])
-        for at in range(points.shape[1] - 1, -1, -1):
-            rows, values, bounds = self.lists[at]
+        alive = allowed[:, self.rows] & (norms[:, -1:] * self.norms[:, -1] * spare >= goal)
+        # Rounding errors are far below this share of the longest product.
+        goal = goal - _SLACK * norms[:, -1:] * self.norms[:, -1].max(initial=0.0)
+        held = len(self.rows)
+        for (start, end), longest in zip(reversed(self.groups), reversed(self.longest), strict=True):
             with np.errstate(divide="ignore", invalid="ignore"):
                 # Not below this norm can a prefix reach a threshold; all can where that is 0 or less.
-                needed = np.where(least <= 0, 0.0, least / norms[:, at + 1])
+                needed = np.where(least <= 0, 0.0, least / norms[:, end])
             cut = float(np.nanmin(needed, initial=np.inf)) * (1 - 1e-6)
-            held = int(np.searchsorted(bounds, -cut, side="right"))
-            if held:
-                sums[:, rows[:held]] += points[:, at, None] * values[:held]
-                self.added += held * len(points)
-            left[self.norms[:, at + 1] >= cut] = at
-            if at % _STEP == 0:
-                rest = np.take_along_axis(self.norms, left[:, None], axis=1)[:, 0] * norms[:, left]
-                alive &= sums + rest + slack >= least[:, None]
-                if alive.sum() <= alive.size // 64:
-                    break
+            listed = min(held, len(longest) - int(np.searchsorted(longest[::-1], cut, side="left")))
+            if listed < held:
+                alive[:, listed:held] &= sums[:, listed:held] + norms[:, end, None] * self.norms[listed:held, end] >= goal
+                held = listed
+            if not held:
+                break
+            sums[:, :held] += points[:, start:end] @ self.points[:held, start:end].T
+            self.added += held * (end - start) * len(points)
+            alive[:, :held] &= sums[:, :held] + norms[:, start, None] * self.norms[:held, start] >= goal
+            if np.count_nonzero(alive) <= alive.size // 64:
+                break
         query, row = np.nonzero(alive)
         scores = self._exact(queries, query, row)
         good = np.asarray(scores >= least[query], dtype=bool)
-        return query[good], row[good], scores[good]
+        return query[good], self.rows[row[good]], scores[good]
 
     def _exact(self, queries: np.ndarray, query: np.ndarray, row: np.ndarray) -> np.ndarray:
         highest = float(np.abs(self.vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * queries.shape[1]
