@@ -9,8 +9,8 @@ partitions split.
 The bank and limit lookups derive their join key after the aggregate that makes it
 unique. Were the grouping key itself joined on, the planner would join right on top
 of the aggregate, without a shuffle of its own for that side, and AQE could then no
-longer split the partition of a hot bank. Accounts need no aggregate: their keys are
-checked once, and then the table is joined as it is.
+longer split the partition of a hot bank. Accounts are joined as they are; that their
+keys are unique is part of the same query.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from .. import schemas
 from ..fixed_values import ACCOUNTS, BANK_CODES, TRANSACTION_LIMITS
 from ..functions.text import case_key
 
-# Account tables without duplicate keys.
+# Account tables of constants whose keys were looked at when the frame was made.
 _unique: weakref.WeakSet[DataFrame] = weakref.WeakSet()
 
 
@@ -37,7 +37,10 @@ def seeded_limits(spark: SparkSession) -> DataFrame:
 
 
 def seeded_accounts(spark: SparkSession) -> DataFrame:
-    return local_table(spark, schemas.ACCOUNTS, ACCOUNTS)
+    accounts = local_table(spark, schemas.ACCOUNTS, ACCOUNTS)
+    if len({(number, bank.upper()) for number, _, bank, _ in ACCOUNTS}) == len(ACCOUNTS):
+        _unique.add(accounts)
+    return accounts
 
 
 def read_banks(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -91,22 +94,22 @@ def limit_lookup(limits: DataFrame) -> DataFrame:
 def account_lookup(accounts: DataFrame) -> DataFrame:
     """Accounts by number (as is) and bank (without case).
 
-    A duplicate key raises here and now: one hash aggregate over the keys, before anything
-    is joined with the table. A frame is checked once, however often it is looked up in, as
-    the chunks of a run do.
+    A key that occurs twice raises in every query that looks an account up, whatever columns it uses: the
+    rows pass a filter on one aggregate over the keys, which a query computes once for all its lookups. So the
+    rows are checked that are joined, also if the table has changed since the frame was made.
     """
-    if accounts not in _unique:
-        double = duplicate_accounts(accounts).first()
-        if double:
-            raise ValueError(f"Duplicate account key {double.accountNumber}:{double.bankKey}")
-        _unique.add(accounts)
-    return accounts.selectExpr(
+    keyed = accounts.selectExpr(
         "accountNumber AS account_key",
         f"{case_key('bankCode')} AS account_bank_key",
         "accountName",
         "bankCode",
         "status",
     )
+    if accounts in _unique:
+        return keyed
+    twice = duplicate_accounts(accounts).agg(F.min(F.concat_ws(":", "accountNumber", "bankKey")).alias("k")).scalar()
+    message = F.concat(F.lit("Duplicate account key "), twice)
+    return keyed.filter(F.when(twice.isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def duplicate_accounts(accounts: DataFrame) -> DataFrame:

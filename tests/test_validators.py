@@ -3,14 +3,18 @@
 import pytest
 
 from ledgersieve import schemas
+from ledgersieve.operators.cleanse import cleanse
 from ledgersieve.operators.lookups import limit_by_type, rows_with_known_account, rows_with_unknown_bank
 from ledgersieve.operators.validators import (
     check_batches, validate_accounts, validate_accounts_in_bulk, validate_amounts, validate_bank_codes,
 )
+from ledgersieve.plans.validation import References, validate_transactions
 from ledgersieve.sources.dimensions import (
     bank_lookup, duplicate_accounts, first_wins, local_table, read_accounts, read_banks, read_limits,
 )
 
+from .helpers import raw_frame
+
 
 def test_bank_codes(spark, references):
     df = spark.createDataFrame([("BCA",), ("bca",), ("UNKNOWN_BANK",), ("",)], "bank string")
@@ -171,12 +175,41 @@ def test_amounts_beyond_the_decimal_column(spark, references):
     assert found[texts[2]].valid
 
 
-def test_duplicate_account_raises_before_any_join(spark, references):
+def test_duplicate_account_raises_in_every_action(spark, references, tmp_path):
+    """Also where no column of the account is used; frames are built without a job."""
     twice = references.accounts.union(local_table(spark, schemas.ACCOUNTS, [("1234567890", "X", "bca", "ACTIVE")]))
+    rows = spark.createDataFrame([("1234567890", "BCA"), ("other", "BCA")], "number string, bank string")
+    context = spark.sparkContext
+    context.setJobGroup("building", "")
+    frames = [use(rows, twice, "number", "bank") for use in (validate_accounts, rows_with_known_account)]
+    assert list(context.statusTracker().getJobIdsForGroup("building")) == []
+    context.setJobGroup("acting", "")
+    for frame in frames:
+        for action in (lambda f: f.count(), lambda f: f.select("*").collect(), lambda f: f.selectExpr("1").collect(), lambda f: f.isEmpty()):
+            with pytest.raises(Exception, match="Duplicate account key 1234567890:BCA"):
+                action(frame)
+
+
+def test_a_table_that_changes_is_checked_when_it_is_read(spark, references, tmp_path):
+    path = str(tmp_path / "accounts")
+    references.accounts.write.parquet(path)
     rows = spark.createDataFrame([("1234567890", "BCA")], "number string, bank string")
-    for use in (validate_accounts, rows_with_known_account):
-        with pytest.raises(ValueError, match="Duplicate account key 1234567890:BCA"):
-            use(rows, twice, "number", "bank").count()
+    checked = validate_accounts(rows, read_accounts(spark, path), "number", "bank")
+    assert checked.count() == 1
+    local_table(spark, schemas.ACCOUNTS, [("1234567890", "X", "bca", "ACTIVE")]).write.mode("append").parquet(path)
+    with pytest.raises(Exception, match="Duplicate account key 1234567890:BCA"):
+        validate_accounts(rows, read_accounts(spark, path), "number", "bank").count()
+
+
+def test_keys_are_counted_once_for_both_lookups(spark, references, tmp_path):
+    path = str(tmp_path / "accounts")
+    references.accounts.write.parquet(path)
+    accounts = read_accounts(spark, path)
+    clean = cleanse(raw_frame(spark, [{}]))
+    checked = validate_transactions(clean, References(references.banks, references.limits, accounts))
+    assert checked.collect()[0].valid
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedSubquery" in plan
 
 
 def test_accounts_are_joined_without_an_aggregate(spark, references, conf):
