@@ -15,15 +15,16 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from ledgersieve.fixed_values import DEFAULT_INVALID_RATE, DEFAULT_PARTITIONS
+from ledgersieve.fixed_values import DEFAULT_INVALID_RATE
 from ledgersieve.plans import reports, run_log
-from ledgersieve.plans.batch_run import resume_run, run_validation
-from ledgersieve.plans.outputs import read_both_outputs, read_output
+from ledgersieve.plans.batch_run import find_run, resume_run, run_validation
+from ledgersieve.plans.outputs import MOST_RANGES, read_both_outputs, read_output
 from ledgersieve.plans.validation import References
 from ledgersieve.session import build_session
 from ledgersieve.sources.dimensions import read_accounts, read_banks, read_limits
 from ledgersieve.sources.generated import generate_range
 from ledgersieve.sources.transactions import write_transaction_files
+from ledgersieve.streaming.block_run import resume_in_blocks, run_in_blocks
 from ledgersieve.streaming.chunked_run import ChunkedRun
 
 
@@ -41,8 +42,14 @@ def _start(spark, args):
     if args.max_files:
         run = ChunkedRun.start(spark, args.input, args.output, references, max_files=args.max_files)
         print(run.run_id, run.wait())
+    elif args.chunk_bytes:
+        _print_state(spark, args, run_in_blocks(spark, args.input, args.output, references, chunk_bytes=args.chunk_bytes))
     else:
-        print(run_validation(spark, args.input, args.output, references, partitions=args.partitions))
+        ranges = {"partitions": args.partitions} if args.partitions else {}
+        print(run_validation(
+            spark, args.input, args.output, references, ranges_per_commit=args.ranges_per_commit,
+            physical_lines=args.physical_lines, **ranges,
+        ))
 
 
 def _resume(spark, args):
@@ -50,8 +57,17 @@ def _resume(spark, args):
     if args.max_files:
         run = ChunkedRun.resume(spark, args.run, args.output, references, max_files=args.max_files)
         print(run.run_id, run.wait())
+    elif args.chunk_bytes:
+        _print_state(spark, args, resume_in_blocks(spark, args.run, args.output, references, chunk_bytes=args.chunk_bytes))
     else:
-        print(resume_run(spark, args.output, args.run, references, partitions=args.partitions))
+        print(resume_run(
+            spark, args.output, args.run, references, partitions=args.partitions,
+            ranges_per_commit=args.ranges_per_commit, physical_lines=args.physical_lines,
+        ))
+
+
+def _print_state(spark, args, run_id: str) -> None:
+    print(run_id, find_run(spark, args.output, run_id).status)
 
 
 def _status(spark, args):
@@ -105,8 +121,11 @@ def _parser() -> argparse.ArgumentParser:
 
     output, run = ("--output", {"required": True}), ("--run", {"required": True})
     run_options = (
-        ("--partitions", {"type": int, "default": DEFAULT_PARTITIONS}),
+        ("--partitions", {"type": int, "help": "ranges of lines that the outputs are split into"}),
+        ("--ranges-per-commit", {"type": int, "default": MOST_RANGES, "help": "ranges that are written and committed together"}),
+        ("--physical-lines", {"action": "store_true", "help": "also log the lines of the files and how many are no data"}),
         ("--max-files", {"type": int, "help": "work in chunks of so many files"}),
+        ("--chunk-bytes", {"type": int, "help": "work in chunks of lines of about so many bytes, also within files"}),
         ("--banks", {"help": "CSV with code, name, ord"}),
         ("--limits", {"help": "CSV with transactionType, minAmount, maxAmount, currency, ord"}),
         ("--accounts", {"help": "parquet with accountNumber, accountName, bankCode, status"}),

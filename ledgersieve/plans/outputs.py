@@ -14,6 +14,8 @@ Lines are counted while they are written. Readers take committed parts only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..fixed_values import INVALID_OUTPUT_FIELDS, TRANSACTION_FIELDS
@@ -115,6 +117,18 @@ def read_both_outputs(spark: SparkSession, output: str) -> DataFrame:
     return frames[0].unionByName(frames[1], allowMissingColumns=True)
 
 
+def part_files(spark: SparkSession, output: str) -> DataFrame:
+    """The files with lines of both outputs as they lie there, committed or not: outcome, run_id, partition, path."""
+    frames = [
+        spark.read.schema(_SCHEMAS[outcome]).option("header", "true").csv(f"{output}/{outcome}")
+        .select(F.lit(outcome).alias("outcome"), "run_id", "partition", F.col("_metadata.file_path").alias("path")).distinct()
+        for outcome in _FIELDS
+        if path_exists(spark, f"{output}/{outcome}")
+    ]
+    schema = "outcome string, run_id string, partition int, path string"
+    return reduce(DataFrame.unionAll, frames, spark.createDataFrame([], schema))
+
+
 def _visible(rows: DataFrame, output: str, part: str, *units: str) -> DataFrame:
     """Rows of parts that readers may see; parts are folders, so those of others are not read."""
     seen = visible_units(rows.sparkSession, output, *units).select(F.col("output_id").alias("run_id"), F.col("number").alias(part))

@@ -254,8 +254,12 @@ def _counted(cte: str, name: str, tests: dict[str, str], source: str) -> str:
 
 
 # Orders with smaller keys come before a line, so its range follows from their number.
-_PART = """CAST((SELECT count(*) FROM orders o WHERE o.o_orderkey < CAST(substr(checked.referenceId, 5) AS BIGINT))
-    // CAST(ceil((SELECT count(*) FROM orders) / 10) AS BIGINT) AS INTEGER)"""
+def _part(ranges: int, rows: str = "checked") -> str:
+    return f"""CAST((SELECT count(*) FROM orders o WHERE o.o_orderkey < CAST(substr({rows}.referenceId, 5) AS BIGINT))
+    // CAST(ceil((SELECT count(*) FROM orders) / {ranges}) AS BIGINT) AS INTEGER)"""
+
+
+_PART = _part(10)
 _N = "CAST(id + 1 AS VARCHAR)"
 _ORACLE = {
     "scan_transactions": f"{_CUSTOMER_CTE} SELECT {_null_if_empty(_FIELDS)} FROM raw",
@@ -333,6 +337,20 @@ _ORACLE = {
           CAST(NULL AS VARCHAR) AS validationErrors, 'valid' AS outcome, {_PART} AS partition FROM checked WHERE valid
         UNION ALL BY NAME SELECT {_null_if_empty(_INVALID_FIELDS)}, 'invalid' AS outcome, {_PART} AS partition
         FROM checked WHERE NOT valid""",
+    "resumed_ranges": f"""{_CUSTOMER_CTE}, placed AS (SELECT *, {_part(7)} AS partition FROM checked)
+        SELECT {_null_if_empty(_VALID_FIELDS)}, CAST(NULL AS VARCHAR) AS validationErrors, 'valid' AS outcome, partition,
+          partition < 4 AS files_kept, CASE WHEN partition < 4 THEN 1 ELSE 2 END AS execution FROM placed WHERE valid
+        UNION ALL BY NAME SELECT {_null_if_empty(_INVALID_FIELDS)}, 'invalid' AS outcome, partition,
+          partition < 4 AS files_kept, CASE WHEN partition < 4 THEN 1 ELSE 2 END AS execution FROM placed WHERE NOT valid""",
+    "committed_outputs": f"""{_CUSTOMER_CTE} SELECT {_null_if_empty(_VALID_FIELDS)}, CAST(NULL AS VARCHAR) AS validationErrors,
+          'valid' AS outcome, {_PART} AS partition, 'COMPLETED FAILED STOPPED' AS states FROM checked WHERE valid
+        UNION ALL BY NAME SELECT {_null_if_empty(_INVALID_FIELDS)}, 'invalid' AS outcome, {_PART} AS partition,
+          'COMPLETED FAILED STOPPED' AS states FROM checked WHERE NOT valid""",
+    "block_chunks": f"""{_CUSTOMER_CTE} SELECT {_VALID_FIELDS}, validationErrors,
+        CASE WHEN valid THEN 'valid' ELSE 'invalid' END AS outcome FROM checked""",
+    "line_accounting": """SELECT count(*) + left_out AS line_count, left_out, count(*) AS total_read,
+          count(*) FILTER (o_orderkey % 5 <> 2) AS total_written, count(*) FILTER (o_orderkey % 5 = 2) AS total_skipped
+        FROM orders, (SELECT count(*) AS left_out FROM orders WHERE o_orderkey % 5 IN (0, 1)) GROUP BY left_out""",
     "stream_validate": f"""{_CUSTOMER_CTE} SELECT {_VALID_FIELDS}, validationErrors,
         CASE WHEN valid THEN 'valid' ELSE 'invalid' END AS outcome FROM checked""",
     "output_counts": f"""{_CUSTOMER_CTE}, placed AS (

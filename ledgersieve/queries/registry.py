@@ -7,6 +7,7 @@ from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from .. import schemas
 from ..fixed_values import CSV_HEADER, INVALID_OUTPUT_FIELDS, NO_RESULT_ERROR, TRANSACTION_FIELDS
 from ..functions.amounts import with_amount
 from ..functions.text import case_key, clean_text
@@ -21,15 +22,18 @@ from ..operators.validators import (
     check_batches, validate_accounts, validate_accounts_in_bulk, validate_amounts, validate_bank_codes,
 )
 from ..plans import reports, run_log
-from ..plans.batch_run import run_validation
-from ..plans.outputs import read_both_outputs, read_results, select_output, stage_results
+from ..plans.batch_run import find_run, resume_run, run_validation
+from ..plans.commits import RANGE, read_commits
+from ..plans.outputs import part_files, read_both_outputs, read_results, select_output, stage_results
 from ..plans.validation import References, check_lines, look_up, transaction_rules, validate_transactions
-from ..session import new_work_dir
+from ..session import new_work_dir, staged_table
 from ..sources.dimensions import (
     duplicate_accounts, first_wins, seeded_accounts, seeded_banks, seeded_limits,
 )
 from ..sources.generated import generate_transactions
 from ..sources.transactions import scan_transactions, with_line_id, write_transaction_files
+from ..sources.dimensions import local_table
+from ..streaming.block_run import resume_in_blocks, run_in_blocks
 from ..streaming.chunked_run import ChunkedRun
 from .given_tables import (
     customer_accounts, customer_references, customer_transactions, nation_banks, order_ids, order_run_steps,
@@ -330,6 +334,73 @@ def stream_validate(spark: SparkSession, folder: str) -> DataFrame:
     return read_results(spark, output).select(*TRANSACTION_FIELDS, "validationErrors", "outcome")
 
 
+@_query("resumed_ranges")
+def resumed_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch run that ends after four of its ranges and is resumed: all lines, with the execution that has
+    written each range and whether the range's files are those from before the resumption."""
+    output, references = new_work_dir(spark, "batch"), customer_references(spark, folder)
+    first = run_validation(
+        spark, _transaction_files(spark, folder), output, references, partitions=7, ranges_per_commit=1, max_ranges=4
+    )
+    before = staged_table(part_files(spark, output), "part_files")
+    if find_run(spark, output, first).status == "STOPPED":
+        resume_run(spark, output, first, references, ranges_per_commit=2)
+    kept = part_files(spark, output).join(before.select("path", F.lit(True).alias("old")), "path", "left")
+    parts = kept.groupBy("outcome", "partition").agg(F.every(F.coalesce("old", F.lit(False))).alias("files_kept"))
+    execution = F.when(F.col("run_id") == first, 1).otherwise(2).alias("execution")
+    ranges = read_commits(spark, output).filter(F.col("unit") == RANGE).select(F.col("number").alias("partition"), execution)
+    return read_both_outputs(spark, output).drop("run_id").join(parts, ["outcome", "partition"]).join(ranges, "partition")
+
+
+@_query("committed_outputs")
+def committed_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs over the same lines: one stopped after some ranges, one failed, one completed. Only the last is read."""
+    source, output, references = _transaction_files(spark, folder), new_work_dir(spark, "batch"), customer_references(spark, folder)
+    run_validation(spark, source, output, references, ranges_per_commit=3, max_ranges=3)
+    unreadable = local_table(spark, schemas.LIMITS, [("1-URGENT", "no number", "1", "IDR", 0)])
+    try:
+        run_validation(spark, source, output, References(references.banks, unreadable, references.accounts))
+    except Exception as error:
+        if "no number" not in str(error):
+            raise
+    run_validation(spark, source, output, references)
+    states = run_log.read_runs(spark, output).select("status").agg(F.array_join(F.sort_array(F.collect_list("status")), " ")).first()[0]
+    return read_both_outputs(spark, output).drop("run_id").withColumn("states", F.lit(states))
+
+
+@_query("block_chunks")
+def block_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """A run in some eight chunks of lines within three files, ended after three chunks and resumed."""
+    source, output, references = _transaction_files(spark, folder, 3), new_work_dir(spark, "blocks"), customer_references(spark, folder)
+    size = spark.read.format("binaryFile").load(source).agg(F.sum("length")).first()[0]
+    run_id = run_in_blocks(spark, source, output, references, chunk_bytes=size // 8 + 1, max_chunks=3)
+    if find_run(spark, output, run_id).status == "STOPPED":
+        resume_in_blocks(spark, run_id, output, references)
+    return read_results(spark, output).select(*TRANSACTION_FIELDS, "validationErrors", "outcome")
+
+
+@_query("line_accounting")
+def line_accounting(spark: SparkSession, folder: str) -> DataFrame:
+    """A run over files with blank lines: lines of the files, those left out, and what became of the others."""
+    fields = ", ".join(f"coalesce({f}, '')" for f in TRANSACTION_FIELDS if f != "note")
+    numbered = customer_transactions(spark, folder).selectExpr(
+        "CAST(substring(referenceId, 5) AS BIGINT) AS k", f"concat_ws(',', {fields}) AS line"
+    )
+    blank = """CASE k % 5 WHEN 0 THEN array(line, '') WHEN 1 THEN array(' \t ', line) WHEN 2 THEN array('too,short')
+        ELSE array(line) END"""
+    lines = numbered.selectExpr("k div 20000 AS file", "k", f"posexplode({blank}) AS (place, value)")
+    headers = lines.select("file").distinct().selectExpr("file", "-1L AS k", "0 AS place", f"'{','.join(CSV_HEADER)}' AS value")
+    source, output = new_work_dir(spark, "lines"), new_work_dir(spark, "batch")
+    in_order = headers.unionByName(lines).repartition("file").sortWithinPartitions("file", "k", "place")
+    in_order.select("file", "value").write.partitionBy("file").text(source)
+    run_id = run_validation(
+        spark, source, output, customer_references(spark, folder), physical_lines=True, recursiveFileLookup="true"
+    )
+    progress = run_log.run_progress(run_log.read_steps(spark, output))
+    run = run_log.read_runs(spark, output).filter(F.col("run_id") == run_id).select("run_id", "line_count", "left_out")
+    return run.join(progress, "run_id").select("line_count", "left_out", "total_read", "total_written", "total_skipped")
+
+
 @_query("output_counts")
 def output_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Counted in the parts that a run has written."""

@@ -7,7 +7,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _made: list[str] = []
 
@@ -64,6 +64,13 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def staged_table(df: DataFrame, name: str) -> DataFrame:
+    """Writes the rows to the shared folder and returns a frame that reads them, so that they no longer change."""
+    path = new_work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
