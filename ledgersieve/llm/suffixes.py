@@ -80,8 +80,8 @@ class WordLine:
         return starts[whole], text[whole]
 
 
-def _texts(rows: pa.RecordBatch) -> list[bytes]:
-    return [t or b"" for t in rows.column("text").cast(pa.binary()).to_pylist()]
+def _texts(rows: pa.RecordBatch, column: str = "text") -> list[bytes]:
+    return [t or b"" for t in rows.column(column).cast(pa.binary()).to_pylist()]
 
 
 def _cells(line: WordLine, starts: np.ndarray, window: int) -> list[np.ndarray]:
@@ -282,25 +282,27 @@ def cut_repeats(docs: DataFrame, window: int = 13, shard_suffixes: int = 1_500_0
         .groupBy("_id", "_hash")
         .agg(F.collect_list("places").alias("_places"))
     )
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
-    joined = keyed.join(found, same, "left").drop("_id", "_hash", "_key")
+    # Columns by number, so that no name of the caller's meets one of these.
+    names, numbers = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = numbers[names.index("doc_id")], numbers[names.index("text")]
+    keyed = docs.toDF(*numbers).withColumn("_key", F.xxhash64(text))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
+    joined = keyed.join(found, same, "left").select(*numbers, "_places")
     added = "n_words long, n_removed long, kept string, spans array<struct<start: int, end: int>>"
     given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, text):
                 done = [
-                    _cut_text(text, places, window)
-                    for text, places in zip(_texts(rows), rows.column("_places").to_pylist(), strict=True)
+                    _cut_text(words, places, window)
+                    for words, places in zip(_texts(rows, text), rows.column("_places").to_pylist(), strict=True)
                 ]
                 counts, removed, kept, spans = zip(*done, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[rows.column(c) for c in names], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
+                        *[rows.column(c) for c in numbers], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
                         pa.array(kept, pa.string()), pa.array(spans, spans_kind),
                     ],
                     [*names, "n_words", "n_removed", "kept", "spans"],

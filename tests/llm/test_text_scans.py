@@ -2,11 +2,16 @@
 
 import html
 import random
+from collections import Counter
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgersieve.llm.licenses import TEMPLATES, LicenseMatcher, candidate_blocks, scan_licenses
-from ledgersieve.llm.pages import PageLines, extract_main_text, page_place, shared_lines
+from ledgersieve.llm.pages import PageLines, extract_main_text, lines_to_drop, page_place, shared_lines
+
+FOLDER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -106,6 +111,51 @@ def test_lines_of_a_page(page, lines):
     assert [line.text for line in PageLines.of(page)] == lines
 
 
+@pytest.mark.parametrize("page,lines", [
+    ("<article>a<section class='related'>b</section><div id='comments-on-physics'>c</div><p class='share'>d</article>", ["a", "b", "c", "d"]),
+    ("<article>a<div class='box comments'>b</div><div id='ad'>c</div><p class='notice'>d</p><aside>e</aside></article>", ["a"]),
+    ("<div class='related'>a</div><div id='comments-on-physics'>b</div><p>c", ["c"]),
+])
+def test_names_count_less_within_an_article(page, lines):
+    assert [line.text for line in PageLines.of(page)] == lines
+
+
+def test_copies_are_no_pair():
+    site, text, other = [1, 2], [11, 12, 13], [21, 22]
+    lengths = [5, 5, 100, 100, 100, 5]
+    page = [*site, *text, 9]
+    assert lines_to_drop(page, lengths, iter([page, page])) == []
+    assert lines_to_drop(page, lengths, iter([page, [*site, 11, 12, 13, 8], [*site, *other, 9]])) == [0, 1, 5]
+    assert lines_to_drop(page, lengths, iter([[1, 31], [2, 32], page[:4]])) == [0, 1]
+    assert lines_to_drop([], [], iter([[], [1]])) == []
+
+
+def _words(text):
+    return Counter(text.split())
+
+
+def _quality(spark, pages, change):
+    """Precision and recall of the words of pages whose markup was changed, against what their articles hold."""
+    truth = {r.page_id: _words(r.text) for r in extract_main_text(pages).collect()}
+    changed = pages.withColumn("html", change(F.col("html")))
+    found = {r.page_id: _words(r.text) for r in extract_main_text(changed).collect()}
+    common = sum((found[i] & truth[i]).total() for i in truth)
+    return common / sum(w.total() for w in found.values()), common / sum(w.total() for w in truth.values())
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="the given tables are not here")
+def test_given_pages_without_their_article_tags(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    plain = lambda html: F.regexp_replace(html, "</?(article|main)>", "")
+    precision, recall = _quality(spark, pages, plain)
+    assert precision > 0.99 and recall > 0.99
+    # Nothing but a repeated frame of lines around the text.
+    frame = "".join(f"<div>Line {i} of the frame</div>" for i in range(30))
+    framed = lambda html: F.concat(F.lit(frame), F.regexp_replace(plain(html), "(?s)^.*?(?=<h1>)", ""), F.lit(frame))
+    precision, recall = _quality(spark, pages, framed)
+    assert precision > 0.95 and recall > 0.95
+
+
 def test_place_of_a_url():
     assert page_place("HTTP://user@Host.example:80/a/b?q#f") == ("host.example", "/a/b")
     assert page_place(None) == (None, "") and page_place("http://[") == (None, "") and page_place("/a") == (None, "/a")
@@ -117,6 +167,8 @@ def test_differencing_and_markup_together(spark):
     rows += [(100 + i, f"http://b.example/{i}", site(i, "<article><p>copied article</p></article>")) for i in range(5)]
     rows += [(200, None, "<p>no url</p>"), (201, "http://c.example/", "<p>alone</p>"), (202, "http://c.example/2", None), (203, "%%", ""), (None, "http://a.example/x/1", "<p>nameless</p>")]
     rows += [(300, "http://d.example/p", "<p>twice</p>")] * 2
+    rows += [(400 + i, f"http://e.example/{i}", site(i, "<p>" + "a copied article " * 60 + "</p>")) for i in range(4)]
+    rows += [(410 + i, f"http://e.example/x{i}", site(i, f"<p>{f'another text {i} ' * 60}</p>")) for i in range(2)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS lines", "'t' AS text").repartition(4)
     found = {}
     for r in extract_main_text(pages).collect():
@@ -125,5 +177,7 @@ def test_differencing_and_markup_together(spark):
     assert all(found[i] == [f"own text {i}"] for i in range(40))
     assert all(found[100 + i] == ["copied article"] for i in range(5))
     assert (found[200], found[201], found[202], found[203], found[None]) == (["no url"], ["alone"], [""], [""], ["nameless"])
-    assert len(found[300]) == 2
+    assert found[300] == ["twice"] * 2
+    assert all(found[400 + i] == [("a copied article " * 60).strip()] for i in range(4))
+    assert all(found[410 + i] == [(f"another text {i} " * 60).strip()] for i in range(2))
     assert extract_main_text(pages.filter("false")).collect() == []
