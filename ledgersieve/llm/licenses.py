@@ -1,15 +1,17 @@
 """License scans by conditional compression.
 
-A block of text that may be a license notice is compressed alone, and again with each template as a
-raw zstandard dictionary. Templates are ranked by how much smaller the block gets: what a template
+A stretch of text that may hold a license notice is compressed alone, and again with each template as a
+raw zstandard dictionary. Templates are ranked by how much smaller the text gets: what a template
 already says costs almost nothing. The ranking finds the closest template among many alike, however
 the wording is wrapped or filled in; every wording is then compared word by word, and the differing
-words are given.
+words are given. Stretches are windows of words around cues, as wide as the longest wording needs on both
+sides, so lines, comment marks and what stands around a notice do not matter.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,9 +22,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from .texts import slices
 
+# Words of a cue may stand on two lines, with comment marks between them.
 _CUE = (
-    r"licen[sc]|copyright|copyleft|warrant|permission is hereby|rights reserved|redistribut|public domain|spdx|"
-    r"\bcc[ -]?by|\bcc[ -]?(?:0|zero)|creative commons|\bgpl|©"
+    r"licen[sc]|copyright|copyleft|warrant|permission\W{1,9}is\W{1,9}hereby|rights\W{1,9}reserved|redistribut|public\W{1,9}domain|spdx|"
+    r"\bcc\W{0,9}by|\bcc\W{0,9}(?:0|zero)|creative\W{1,9}commons|\bgpl|©"
 )
 _CUES = re.compile(_CUE, re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
@@ -30,6 +33,9 @@ _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 _GAP = 3
 #: Words of a block that are compared at once.
 _PIECE = 4_096
+#: Words by which a wording without a cue is looked for.
+_OWN_CUES = 3
+_COMMENT_MARKS = re.compile(r"\n[ \t]*(?://+|#+|\*+|--+|;+|>+)[ \t]*")
 
 #: Fixed wordings of public licenses: name, and the notices that stand for it.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -89,10 +95,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 
 
-def candidate_blocks(lines: list[str]) -> list[tuple[int, int]]:
+def candidate_blocks(lines: list[str], cues: re.Pattern = _CUES) -> list[tuple[int, int]]:
     """Runs of lines that start and end with a cue and have at most a few lines without one between: first and last line."""
     blocks: list[list[int]] = []
-    for number in (number for number, line in enumerate(lines) if _CUES.search(line)):
+    for number in (number for number, line in enumerate(lines) if cues.search(line)):
         if blocks and number - blocks[-1][1] <= _GAP + 1:
             blocks[-1][1] = number
         else:
@@ -100,11 +106,25 @@ def candidate_blocks(lines: list[str]) -> list[tuple[int, int]]:
     return [(first, last) for first, last in blocks]
 
 
+def cue_pattern(templates: dict[str, tuple[str, ...]]) -> str:
+    """What a text with one of the wordings holds: the common cues, and the longest words of wordings without any."""
+    words: set[str] = set()
+    for wordings in templates.values():
+        for wording in wordings:
+            if not _CUES.search(wording):
+                own = {w.lower() for w in _WORD.findall(wording)}
+                words.update(sorted(own, key=lambda w: (-len(w), w))[:_OWN_CUES])
+    return "|".join([_CUE, *(re.escape(word) for word in sorted(words))])
+
+
 class LicenseMatcher:
-    """Ranks templates by conditional compression and confirms the winner."""
+    """Ranks templates by conditional compression and confirms the winners."""
 
     def __init__(self, templates: dict[str, tuple[str, ...]] = TEMPLATES, level: int = 9):
         self.wordings = [(name, wording) for name, wordings in templates.items() for wording in wordings]
+        self.words = [[w.lower() for w in _WORD.findall(wording)] for _, wording in self.wordings]
+        self.cues = re.compile(cue_pattern(templates), re.IGNORECASE)
+        self.longest = max(map(len, self.words), default=0)
         self.alone = zstandard.ZstdCompressor(level=level)
         self.given = [
             zstandard.ZstdCompressor(
@@ -121,48 +141,76 @@ class LicenseMatcher:
         return sorted(((size - len(c.compress(data)), number) for number, c in enumerate(self.given)), key=lambda x: (-x[0], x[1]))
 
     def match(self, block: str, least_share: float = 0.9, nearest_ranks: int = 3) -> list[dict]:
-        """The licenses of a block: the wording that the block holds best, then those of the rest.
+        """The licenses of a text in order, or else the nearest one, unconfirmed.
 
-        All wordings are compared by words, since much prose around a notice says more about the ranks
+        All wordings are compared by words, since prose around a notice says more about the ranks
         than the notice does. A wording is confirmed if few of its words are missing and few others stand
-        in between, at most twice as many; the one with most words there, less those that differ, wins,
-        ties by rank. Numbers of a wording must all be there: they tell versions apart. If none holds, the
-        nearest of the first ``nearest_ranks`` is given as unconfirmed.
+        in between, at most twice as many. Numbers of a wording must all be there: they tell versions
+        apart. If none holds, the nearest of the first ``nearest_ranks`` is given.
+        """
+        found = [result for _, _, result in self.notices(block, least_share)]
+        return found or [self.nearest(block, nearest_ranks)]
+
+    def notices(self, text: str, least_share: float = 0.9) -> list[tuple[int, int, dict]]:
+        """All confirmed notices in order: where they begin and end in the text, and the result.
+
+        Each window begins at the first cue that is left, and is as wide as a notice with this cue can be and as
+        much again. In it the wording wins that has most words there, less those that differ, ties by rank;
+        what lies before and behind it is looked at again. A window without any is left for the next one.
+        So the work grows with the text, however many notices or cues it has.
         """
-        found: list[dict] = []
-        words = _WORD.findall(block)
-        while not found or found[-1]["confirmed"] and _CUES.search(block):
-            lowered = [w.lower() for w in words]
-            there = Counter(lowered)
-            results = []
-            for place, (saved, number) in enumerate(self.rank(block)):
-                name, wording = self.wordings[number]
-                wanted = [w.lower() for w in _WORD.findall(wording)]
-                held = sum(min(n, there[w]) for w, n in Counter(wanted).items())
-                if place >= nearest_ranks and held < least_share * len(wanted):
+        words = list(_WORD.finditer(text))
+        starts = [w.start() for w in words]
+        lowered = [w.group().lower() for w in words]
+        cues = sorted({max(0, bisect_right(starts, m.start()) - 1) for m in self.cues.finditer(text)}) if words else []
+        # A notice may be longer than its wording by the words that may be added.
+        reach = int(self.longest * (1 + 2 * (1 - least_share))) + 1
+        found: list[tuple[int, int, dict]] = []
+        waiting = [(0, len(words))]
+        while waiting:
+            begin, end = waiting.pop()
+            at = bisect_left(cues, begin)
+            while at < len(cues) and cues[at] < end:
+                first, last = max(begin, cues[at] - reach), min(end, cues[at] + 2 * reach)
+                best = self._best(text[starts[first] : words[last - 1].end()], lowered[first:last], least_share)
+                if best is None:
+                    at = bisect_right(cues, cues[at] + reach)
                     continue
-                missing, added, span = _differences(wanted, lowered)
-                numbers = [w for w in missing if any(c.isdigit() for c in w)]
-                enough = len(wanted) - len(missing) >= least_share * len(wanted)
-                confirmed = not numbers and enough and len(added) <= 2 * (1 - least_share) * len(wanted) + 1e-9
-                result = {"license": name, "saved": saved, "missing": missing, "added": added, "confirmed": confirmed}
-                if confirmed or place < nearest_ranks:
-                    results.append((result, span, len(wanted) - 2 * len(missing) - len(added)))
-            held_best = [r for r in results if r[0]["confirmed"]]
-            if held_best:
-                best, span, _ = max(held_best, key=lambda r: r[2])
-            else:
-                best, span, _ = min(results, key=lambda r: len(r[0]["missing"]) + len(r[0]["added"]))
-            if found and not best["confirmed"]:
-                break
-            found.append(best)
-            words = words[: span.start] + words[span.stop :]
-            block = " ".join(words)
-        return found
+                result, span = best
+                start, stop = first + span.start, first + span.stop
+                found.append((starts[start], words[stop - 1].end(), result))
+                waiting.append((first, start))
+                begin, at = stop, bisect_left(cues, stop)
+        return sorted(found, key=lambda notice: notice[:2])
+
+    def _best(self, text: str, words: list[str], least_share: float) -> tuple[dict, slice] | None:
+        there, best = Counter(words), None
+        for saved, number in self.rank(text):
+            wanted = self.words[number]
+            if not wanted or sum(min(n, there[w]) for w, n in Counter(wanted).items()) < least_share * len(wanted):
+                continue
+            result, span = self._compared(number, saved, words)
+            missing, added = result["missing"], result["added"]
+            numbers = [w for w in missing if any(c.isdigit() for c in w)]
+            enough = len(wanted) - len(missing) >= least_share * len(wanted)
+            score = len(wanted) - 2 * len(missing) - len(added)
+            if not numbers and enough and len(added) <= 2 * (1 - least_share) * len(wanted) + 1e-9 and (best is None or score > best[0]):
+                best = score, result | {"confirmed": True}, span
+        return best and best[1:]
+
+    def nearest(self, block: str, nearest_ranks: int = 3) -> dict:
+        """Of the first ranks the wording that differs least, unconfirmed."""
+        words = [w.lower() for w in _WORD.findall(block)]
+        results = [self._compared(number, saved, words)[0] for saved, number in self.rank(block)[:nearest_ranks]]
+        return min(results, key=lambda r: len(r["missing"]) + len(r["added"]))
+
+    def _compared(self, number: int, saved: int, words: list[str]) -> tuple[dict, slice]:
+        missing, added, span = _differences(self.words[number], words)
+        return {"license": self.wordings[number][0], "saved": saved, "missing": missing, "added": added, "confirmed": False}, span
 
 
 def _plain(text: str) -> str:
-    return " ".join(text.lower().split())
+    return " ".join(_COMMENT_MARKS.sub("\n", text).lower().split())
 
 
 def _differences(wanted: list[str], words: list[str]) -> tuple[list[str], list[str], slice]:
@@ -210,13 +258,14 @@ def _span_costs(wanted: list[str], words: list[str]) -> np.ndarray:
 def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, least_share: float = 0.9) -> DataFrame:
     """License notices in whole texts: doc_id, line (from 0), n_lines, license, saved, missing, added, confirmed.
 
-    ``saved``: bytes by which the template's dictionary shrinks the block; ``missing`` and ``added``:
-    words of the template that the block lacks, and further words inside it. A block with several
-    notices has a row for each. A block whose best wordings do not hold comes back unconfirmed, with
-    the nearest license. ``docs`` needs doc_id and
-    text; further columns are ignored. Null and empty texts have no blocks. Each row is scanned on its
-    own, so null and repeated doc_ids and equal rows change nothing, and no row is shuffled.
+    ``saved``: bytes by which the template's dictionary shrinks the text around the notice; ``missing`` and
+    ``added``: words of the template that are not there, and further words inside. Lines with cues that lie
+    close together and belong to no notice come back once, unconfirmed, with the nearest license. ``docs``
+    needs doc_id and text; further columns are ignored. Null and empty texts have no notices. Each row is
+    scanned on its own, so null and repeated doc_ids and equal rows change nothing, and no row is shuffled.
     """
+    if not templates:
+        raise ValueError("no templates")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = LicenseMatcher(templates)
@@ -233,7 +282,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (
         docs.select("doc_id", "text")
-        .filter(F.col("text").rlike(f"(?iu){_CUE}"))
+        .filter(F.col("text").rlike(f"(?iu){cue_pattern(templates)}"))
         .mapInArrow(
             scan,
             f"doc_id {kind}, line int, n_lines int, license string, saved int, missing array<string>, "
@@ -243,17 +292,21 @@ def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
 
 
 def _matches(matcher: LicenseMatcher, text: str, least_share: float) -> Iterator[dict]:
-    """The licenses of a text's blocks; a block that names none is tried again with the line before and after it."""
+    """The notices of a text, and the nearest license for each block of cues without one."""
     lines = text.split("\n")
-    for first, last in candidate_blocks(lines):
-        for begin, end in ((first, last + 1), (max(0, first - 1), last + 2)):
-            matches = matcher.match("\n".join(lines[begin:end]), least_share)
-            if matches[0]["confirmed"]:
-                break
-        if not matches[0]["confirmed"]:
-            begin, end = first, last + 1
-        for match in matches:
-            yield match | {"line": begin, "n_lines": min(end, len(lines)) - begin}
+    ends = np.cumsum([len(line) + 1 for line in lines])
+    line_of = lambda place: int(np.searchsorted(ends, place, side="right"))
+    spans: list[tuple[int, int]] = []
+    for begin, end, match in matcher.notices(text, least_share):
+        spans.append((line_of(begin), line_of(end - 1)))
+        yield match | {"line": spans[-1][0], "n_lines": spans[-1][1] - spans[-1][0] + 1}
+    firsts, lasts = [a for a, _ in spans], [b for _, b in spans]
+    for first, last in candidate_blocks(lines, matcher.cues):
+        # Notices are in order, so the block holds one if any that ends behind its first line begins before its last.
+        at = bisect_left(lasts, first)
+        if at == len(spans) or firsts[at] > last:
+            block = "\n".join(lines[first : last + 1])
+            yield matcher.nearest(block) | {"line": first, "n_lines": last + 1 - first}
 
 
 _FOUND = pa.schema(

@@ -2,6 +2,9 @@
 
 import html
 import random
+import re
+import textwrap
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -64,6 +67,82 @@ def test_notices_in_long_lines_are_found(matcher):
             assert [f["license"] for f in found if f["confirmed"]] == [name]
 
 
+def _prose(rng, count):
+    return " ".join("".join(rng.choice(["the", "an", "re", "on", "ti"]) for _ in range(rng.randint(1, 3))) for _ in range(count))
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "-- "])
+def test_wrapped_notices_are_found_at_every_width(matcher, mark):
+    rng = random.Random(5)
+    for width in (30, 40, 50, 60, 72, 80, 100):
+        for name, wordings in TEMPLATES.items():
+            for wording in wordings:
+                wrapped = textwrap.wrap(wording, width, break_on_hyphens=False, break_long_words=False)
+                text = "\n".join(mark + line for line in [*textwrap.wrap(_prose(rng, 60), width), *wrapped, *textwrap.wrap(_prose(rng, 60), width)])
+                ((begin, end, found),) = matcher.notices(text)
+                assert (found["license"], found["missing"], found["added"]) == (name, [], [])
+                inside = re.findall(r"\w+", text[begin:end])
+                assert [w for w in re.findall(r"\w+", wording)] == inside
+
+
+def test_notices_are_those_that_stand_there(matcher):
+    """Wordings with lost and added words, in texts put together at random; found are just those, in order."""
+    rng = random.Random(6)
+    for _ in range(60):
+        parts, expected = [_prose(rng, rng.randint(0, 40))], []
+        for _ in range(rng.randint(1, 6)):
+            number = rng.randrange(len(matcher.wordings))
+            name, wording = matcher.wordings[number]
+            words = wording.split()
+            if len(words) >= 40:
+                for _ in range(2):
+                    at = rng.randrange(1, len(words) - 1)
+                    if not any(c.isdigit() for c in words[at]):
+                        del words[at]
+                words.insert(rng.randrange(1, len(words) - 1), "hereby")
+            expected.append(name)
+            parts += [" ".join(words), _prose(rng, rng.randint(8, 300))]
+        text = rng.choice(["\n", " ", "\n\n"]).join(parts)
+        assert [found["license"] for _, _, found in matcher.notices(text)] == expected
+
+
+def test_sliding_every_wording_over_a_text(matcher):
+    """Wherever all words of a wording stand in a row, a notice is found there or over it."""
+    rng = random.Random(7)
+    pieces = [w for _, wording in matcher.wordings for w in (wording, " ".join(wording.split()[:4]), " ".join(wording.split()[-5:]))]
+    for _ in range(40):
+        text = " ".join(rng.choice(pieces) if rng.random() < 0.4 else _prose(rng, rng.randint(1, 9)) for _ in range(25))
+        words = list(re.finditer(r"[^\W_]+(?:[.'-][^\W_]+)*", text))
+        lowered = [w.group().lower() for w in words]
+        found = matcher.notices(text)
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
+        for wanted in matcher.words:
+            for at in range(len(lowered) - len(wanted) + 1):
+                if lowered[at : at + len(wanted)] == wanted:
+                    begin, end = words[at].start(), words[at + len(wanted) - 1].end()
+                    assert any(a < end and begin < b for a, b, _ in found)
+
+
+def test_many_notices_take_time_in_proportion(matcher):
+    wordings = [wording for _, wording in matcher.wordings]
+    took = []
+    for count in (250, 1_000):
+        text = "\n".join(wordings[i % len(wordings)] for i in range(count))
+        begin = time.process_time()
+        assert len(matcher.notices(text)) == count
+        took.append(time.process_time() - begin)
+    assert took[1] < 8 * took[0]
+
+
+def test_templates_of_the_caller_need_no_common_cue(spark, docs_of):
+    own = {"House-1": ("You may share these pages with anybody who asks for them kindly.",), "House-2": ("Ask the owners.",)}
+    rows = [(1, "x\nYou may share these pages\nwith anybody who asks for them kindly.\ny"), (2, "Nothing here."), (3, "Please ask the owners. Thanks.")]
+    found = [(r.doc_id, r.line, r.n_lines, r.license, r.confirmed) for r in scan_licenses(docs_of(rows), own).collect()]
+    assert sorted(found) == [(1, 1, 2, "House-1", True), (3, 0, 1, "House-2", True)]
+    with pytest.raises(ValueError):
+        scan_licenses(docs_of(rows), {})
+
+
 def test_scan_of_whole_texts(spark, docs_of):
     far = "word " * 50_000
     rows = [
