@@ -13,12 +13,15 @@ cost a few words of reading. Layout, all little-endian::
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -48,14 +51,18 @@ def pack_shard(ids: np.ndarray, lengths: list[int], doc_ids: list[int | None]) -
         symbols.tobytes(),
         counts[symbols].astype("<u4").tobytes(),
     ]
-    order = dense[ids]
+    order, lower = dense[ids], np.empty(size, dtype=dense.dtype)
+    packed = np.zeros(-(-size // _BLOCK) * _BLOCK // 8, dtype="u1")
     for plane in reversed(range(planes)):
         ones = (order & order.dtype.type(1 << plane)) != 0
-        packed = np.packbits(ones, bitorder="little")
-        packed = np.concatenate([packed, np.zeros(-len(packed) % (_BLOCK // 8), dtype="u1")])
+        packed[: -(-size // 8)] = np.packbits(ones, bitorder="little")
         before = np.cumsum(np.bitwise_count(packed.view("<u8")).reshape(-1, 8).sum(axis=1, dtype=np.uint32))
-        order = np.concatenate([order[~ones], order[ones]])
-        parts += [struct.pack("<Q", size - int(ones.sum())), np.r_[0, before[:-1]].astype("<u4").tobytes(), packed.tobytes()]
+        zeros = size - int(before[-1]) if size else 0
+        np.compress(ones, order, out=lower[zeros:])
+        np.logical_not(ones, out=ones)
+        np.compress(ones, order, out=lower[:zeros])
+        order, lower = lower, order
+        parts += [struct.pack("<Q", zeros), np.r_[0, before[:-1]].astype("<u4").tobytes(), packed.tobytes()]
     return b"".join(parts)
 
 
@@ -131,11 +138,13 @@ class Shard:
         reversed_bits = sum(((codes >> b & 1) << (len(self.planes) - 1 - b) for b in range(len(self.planes))), codes * 0)
         bottom = np.argsort(reversed_bits, kind="stable")
         order = np.repeat(self.symbols[bottom], self.counts[bottom])
+        above = np.empty_like(order)
         for zeros, _, bits in reversed(self.planes):
             ones = np.unpackbits(bits, count=self.size, bitorder="little").view(bool)
-            above = np.empty_like(order)
-            above[~ones], above[ones] = order[:zeros], order[zeros:]
-            order = above
+            above[ones] = order[zeros:]
+            np.logical_not(ones, out=ones)
+            above[ones] = order[:zeros]
+            order, above = above, order
         return order
 
     def _code(self, token: int) -> int | None:
@@ -172,8 +181,12 @@ class Shard:
         return block * _BLOCK + int(np.flatnonzero(inside == one)[nth - int(counts[block])])
 
 
-#: A chunk that the token pattern leaves whole: Latin letters, and a mark that is a match of its own.
-_PLAIN_CHUNK = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)").fullmatch
+#: Pieces that are matches of the token pattern of their own: Latin letters, ASCII marks but the apostrophe, a line end.
+_PIECES = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+|[!-&(-/:-@\[-`{-~]+|\n")
+#: A chunk of such pieces only: a word and marks, and more of them on further lines.
+_PLAIN_CHUNK = re.compile(r"W+M*(?:\nW+M*)*".replace("W", "[A-Za-zÀ-ÖØ-öø-ɏ]").replace("M", r"[!-&(-/:-@\[-`{-~]")).fullmatch
+#: Bytes that a worker may spend on remembered chunks; longer chunks than this are not remembered.
+_ROOM, _LONGEST, _ENTRY = 256 << 20, 64, 200
 
 
 def _byte_characters() -> list[str]:
@@ -183,52 +196,77 @@ def _byte_characters() -> list[str]:
     return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
 
 
+class _Remembered(dict):
+    """Ids by chunk, asked for where they are not known; emptied when they fill their room."""
+
+    def __init__(self, ask, room: int):
+        super().__init__()
+        self._ask, self._room, self._left = ask, room, room
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self._ask(chunk)
+        if len(chunk) <= _LONGEST:
+            self._left -= len(chunk) + len(ids) + _ENTRY
+            if self._left < 0:
+                self.clear()
+                self._left = self._room
+            self[chunk] = ids
+        return ids
+
+
 class LibraryEncoder:
     """The tokenizers library, asked once for each chunk of text that recurs.
 
-    A chunk that is one match of the token pattern goes to the library's model at once, without the
-    library's own splitting of texts; all others go through the whole library.
+    With a file whose splitting of texts is the common byte-level one, a chunk whose pieces are matches of
+    its pattern goes to the library's model at once, piece by piece, without that splitting. All other
+    chunks, and with any other file whole texts, go through the whole library.
     """
 
-    def __init__(self, path: str, most: int = 900_000):
+    def __init__(self, path: str, room: int = _ROOM):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer = Tokenizer.from_file(path)
         self._model, self._written = self.tokenizer.model.tokenize, _byte_characters()
-        self._known: dict[str, bytes] = {}
-        self._marks = dict(zip(".,;:!?", self._ids([*".,;:!?"]), strict=True)) | {"": b""}
+        self._pieces = _Remembered(self._piece, room // 4)
+        self._known = _Remembered(self._chunk, room - room // 4)
+        self._plain = _splits_at_bytes(path)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of whole texts, each as four little-endian bytes."""
+        if not self._plain:
+            return self._ids(texts)
         split = [space_chunks(text) for text in texts]
-        later = [chunks[1:] for chunks in split if chunks]
-        wanted = set().union(*later).difference(self._known)
-        if len(self._known) + len(wanted) > self.most:
-            self._known.clear()
-            wanted = set().union(*later)
-        self._learn(wanted)
         starts = self._ids([text if chunks is None else chunks[0] for text, chunks in zip(texts, split, strict=True)])
         known = self._known.__getitem__
         return [start + b"".join(map(known, (chunks or ())[1:])) for start, chunks in zip(starts, split, strict=True)]
 
-    def _learn(self, chunks: set[str]) -> None:
-        known, rest = self._known, []
-        for chunk in chunks:
-            plain = _PLAIN_CHUNK(chunk)
-            if plain is None:
-                rest.append(chunk)
-                continue
-            word, mark = plain.groups()
-            ids = known.get(word)
-            if ids is None:
-                written = "".join([self._written[b] for b in (" " + word).encode()])
-                ids = known[word] = array("I", [token.id for token in self._model(written)]).tobytes()
-            known[chunk] = ids + self._marks[mark]
-        known.update(zip(rest, self._ids([" " + chunk for chunk in rest]), strict=True))
+    def _chunk(self, chunk: str) -> bytes:
+        """The ids of a chunk after a space."""
+        if _PLAIN_CHUNK(chunk) is None:
+            return self._ids([" " + chunk])[0]
+        first, *others = _PIECES.findall(chunk)
+        ids = self._pieces[" " + first]
+        return ids + b"".join([self._pieces[piece] for piece in others]) if others else ids
+
+    def _piece(self, piece: str) -> bytes:
+        written = "".join([self._written[b] for b in piece.encode()])
+        return array("I", [token.id for token in self._model(written)]).tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+@cache
+def _splits_at_bytes(path: str) -> bool:
+    """Whether a tokenizer's file splits texts by the common byte-level pattern and changes them in no other way."""
+    file = json.loads(Path(path).read_text(encoding="utf-8"))
+    split, model = file.get("pre_tokenizer") or {}, file.get("model") or {}
+    common = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+    bare = not any(model.get(key) for key in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "fuse_unk"))
+    special = [token["content"] for token in file.get("added_tokens") or ()]
+    free = not any(_PLAIN_CHUNK(content.strip()) or " " in content for content in special)
+    return common and bare and free and model.get("type") == "BPE" and file.get("normalizer") is None and file.get("truncation") is None
+
+
 _ENCODERS: dict[str, LibraryEncoder] = {}
 
 

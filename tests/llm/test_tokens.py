@@ -1,6 +1,7 @@
 """Byte-level BPE against tiktoken, wavelet shards against plain arrays and the tokenizers library."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from ledgersieve.llm.bpe import encode_documents, rank_encoder
 from ledgersieve.llm.wavelet import LibraryEncoder, Shard, pack_shard, read_shards, write_shards
@@ -72,7 +73,7 @@ def test_shard_answers_as_the_array_does(size, kinds):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(chunky, max_size=4), st.booleans())
 def test_chunks_are_encoded_as_whole_texts(texts, special):
-    library, known = LibraryEncoder(LIBRARY, most=20), Tokenizer.from_file(LIBRARY)
+    library, known = LibraryEncoder(LIBRARY, room=4_000), Tokenizer.from_file(LIBRARY)
     texts = [t + "<|endoftext|>" + t for t in texts] if special else texts
     for text, ids in zip(texts, library.encode(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == known.encode(text, add_special_tokens=False).ids
@@ -92,3 +93,30 @@ def test_shards_hold_all_documents_in_order(spark, docs_of):
         wanted = [np.array(library.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes() for d, t in rows if d == doc_id]
         assert (count, crc) in {(len(w) // 4, zlib.crc32(w)) for w in wanted}
     assert read_shards(write_shards(docs_of([]), LIBRARY, end_id=2)).collect() == []
+
+
+def test_chunks_of_words_marks_and_lines_are_encoded_as_whole_texts():
+    rng, library, known = random.Random(9), LibraryEncoder(LIBRARY, room=20_000), Tokenizer.from_file(LIBRARY)
+    pieces = ["word", "Été", "x", ".", "...", "$$", "<|", "|>", "<|endoftext|>", "endoftext", "\n", "\n\n", "\t", "'s", "'", "9", "é\u0301", "\xa0", "W" * 100, "_", "~`"]
+    texts = [" ".join("".join(rng.choices(pieces, k=rng.randint(1, 6))) for _ in range(rng.randint(1, 8))) for _ in range(3_000)]
+    found = library.encode(texts)
+    for text, ids in zip(texts, found, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == known.encode(text, add_special_tokens=False).ids
+
+
+def test_other_files_are_left_to_the_library(tmp_path):
+    """A file with another way of splitting, one that changes texts, and one with a token like a word."""
+    text = "The word, the Word.\nWORD endoftext word"
+    changes = (
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.Sequence([pre_tokenizers.Digits(), pre_tokenizers.ByteLevel(add_prefix_space=False)])),
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=True)),
+        lambda t: setattr(t, "normalizer", normalizers.Lowercase()),
+        lambda t: t.add_tokens(["word"]),
+    )
+    for number, change in enumerate(changes):
+        tokenizer = Tokenizer.from_file(LIBRARY)
+        change(tokenizer)
+        path = str(tmp_path / f"{number}.json")
+        tokenizer.save(path)
+        ids = [np.frombuffer(x, "<u4").tolist() for x in LibraryEncoder(path).encode([text, ""])]
+        assert ids == [tokenizer.encode(t, add_special_tokens=False).ids for t in (text, "")]
