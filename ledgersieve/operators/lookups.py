@@ -49,6 +49,27 @@ def attach_account(df: DataFrame, lookup: DataFrame, number: str, bank: str, pre
     return df.join(_prefixed(lookup, prefix), F.expr(match), "left")
 
 
+def attach_both_accounts(df: DataFrame, lookup: DataFrame, sides: dict[str, tuple[str, str]], line: str) -> DataFrame:
+    """Adds {prefix}account_key and {prefix}status for each prefix and its number and bank, by one join for all.
+
+    For account tables that are not broadcast. Each line gives a narrow row per side; these are joined with the
+    accounts, put together by line, and joined back. So whole rows are shuffled once, not once per side.
+    ``line`` names a column that is unique and the same whenever ``df`` is evaluated, such as the ids of a
+    scan of files.
+    """
+    pairs = ", ".join(
+        f"struct('{prefix}' AS _side, {number} AS _number, {case_key(bank)} AS _bank)" for prefix, (number, bank) in sides.items()
+    )
+    narrow = df.selectExpr(f"{line} AS _line", f"inline(array({pairs}))")
+    match = (F.col("_number") == F.col("account_key")) & (F.col("_bank") == F.col("account_bank_key"))
+    found = narrow.join(lookup.select("account_key", "account_bank_key", "status"), match)
+    of_side = lambda prefix: F.max(F.when(F.col("_side") == prefix, F.struct("account_key", "status"))).alias(prefix)
+    lines = found.groupBy("_line").agg(*[of_side(prefix) for prefix in sides])
+    return df.join(lines, F.col(line) == F.col("_line"), "left").select(
+        *df.columns, *[F.col(prefix)[field].alias(prefix + field) for prefix in sides for field in ("account_key", "status")]
+    )
+
+
 def rows_with_unknown_bank(df: DataFrame, banks: DataFrame, code: str) -> DataFrame:
     """Anti join: rows whose bank code is not in the table."""
     dim = bank_lookup(banks).select("bank_key")

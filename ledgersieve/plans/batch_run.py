@@ -131,11 +131,13 @@ def _execute(
         with watch:
             if physical_lines:
                 state |= _line_counts(spark, path, scan_options)
-            stored = _staged(spark, path, output, references, run_id, output_id, rules, mapper, scan_options)
+            stored = _staged(spark, path, output, references, run_id, output_id, resumed_from, rules, mapper, scan_options)
             watch.check()
             plan = plan_ranges(stored, partitions)
-            numbers = spark.range(plan.count).select(F.col("id").cast("int").alias("number"))
-            open_ranges = pending(spark, output, output_id, RANGE, numbers)
+            open_ranges = list(range(plan.count))
+            if resumed_from is not None:
+                numbers = spark.range(plan.count).select(F.col("id").cast("int").alias("number"))
+                open_ranges = pending(spark, output, output_id, RANGE, numbers)
             for some in _portions(open_ranges[:max_ranges], min(ranges_per_commit, MOST_RANGES)):
                 watch.check()
                 begin = datetime.now(timezone.utc)
@@ -152,9 +154,9 @@ def _execute(
         _end(spark, output, "COMPLETED", state)
 
 
-def _staged(spark, path, output, references, run_id, output_id, rules, mapper, scan_options) -> DataFrame:
+def _staged(spark, path, output, references, run_id, output_id, resumed_from, rules, mapper, scan_options) -> DataFrame:
     """The result rows of all lines, checked unless an earlier execution has committed them."""
-    if is_committed(spark, output, output_id, STAGE):
+    if resumed_from is not None and is_committed(spark, output, output_id, STAGE):
         return read_staged(spark, output, output_id)
     begin = datetime.now(timezone.utc)
     lines = with_line_id(scan_transactions(spark, path, **scan_options))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..fixed_values import (
     AMOUNT_ERROR, BENEFICIARY_ACCOUNT_ERROR, BENEFICIARY_BANK_ERROR, NO_RESULT_ERROR, SOURCE_ACCOUNT_ERROR,
@@ -13,7 +13,7 @@ from ..fixed_values import (
 )
 from ..functions.text import fill, quoted
 from ..operators.cleanse import cleanse
-from ..operators.lookups import attach_account, attach_bank, attach_limit
+from ..operators.lookups import attach_account, attach_bank, attach_both_accounts, attach_limit
 from ..operators.rules import Rule, apply_rules
 from ..operators.validators import amount_reason, is_active
 from ..schemas import CORRUPT_COLUMN, RESULTS
@@ -29,11 +29,17 @@ Mapper = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class References:
-    """The three tables a transaction is checked against."""
+    """The three tables a transaction is checked against.
+
+    ``accounts_by_line`` is for an account table too large to be broadcast: both accounts of a line are then looked
+    up by one join of narrow rows. The transactions must come from files or tables, whose rows get the same
+    numbers whenever they are read.
+    """
 
     banks: DataFrame
     limits: DataFrame
     accounts: DataFrame
+    accounts_by_line: bool = False
 
     @staticmethod
     def seeded(spark: SparkSession) -> "References":
@@ -64,8 +70,14 @@ def look_up(clean: DataFrame, references: References) -> DataFrame:
     shuffled before the small lookups have widened them.
     """
     accounts, banks = account_lookup(references.accounts), bank_lookup(references.banks)
-    df = attach_account(clean, accounts, "sourceAccount", "sourceBankCode", "_src_")
-    df = attach_account(df, accounts, "beneficiaryAccount", "beneficiaryBankCode", "_bene_")
+    sides = {"_src_": ("sourceAccount", "sourceBankCode"), "_bene_": ("beneficiaryAccount", "beneficiaryBankCode")}
+    if references.accounts_by_line:
+        numbered = clean.withColumn("_number_of_line", F.monotonically_increasing_id())
+        df = attach_both_accounts(numbered, accounts, sides, "_number_of_line")
+    else:
+        df = clean
+        for prefix, (number, bank) in sides.items():
+            df = attach_account(df, accounts, number, bank, prefix)
     df = attach_bank(df, banks, "sourceBankCode", "_src_bank_")
     df = attach_bank(df, banks, "beneficiaryBankCode", "_bene_bank_")
     df = attach_limit(df, limit_lookup(references.limits), "transactionType", "_limit_")

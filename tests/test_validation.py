@@ -176,3 +176,37 @@ def test_account_table_is_shuffled_once_for_both_sides(spark, references, conf):
     df = df.select("referenceId", "_s_status", "_b_status")
     df.collect()
     assert "ReusedExchange" in plan_of(df)
+
+
+def test_accounts_by_line_give_the_same_result(spark, references, tmp_path, conf):
+    """A third of the rows have one source, two fifths one beneficiary; some have the same account twice, or blanks."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="10KB",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="30KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    rows = spark.range(0, 30_000, 1, 8).selectExpr(
+        "CAST(id AS STRING) AS referenceId",
+        "IF(id % 3 = 0, '1234567890', IF(id % 7 = 1, 'x5', CAST(id AS STRING))) AS sourceAccount", "'A' AS sourceAccountName",
+        "IF(id % 3 = 0 OR id % 2 = 0, 'BCA', 'BNI') AS sourceBankCode",
+        "IF(id % 5 < 2, '0987654321', IF(id % 7 < 3, 'x5', IF(id % 11 = 0, ' ', concat('x', id)))) AS beneficiaryAccount",
+        "'B' AS beneficiaryAccountName", "IF(id % 5 < 2, 'BNI', 'bri') AS beneficiaryBankCode", "'IDR' AS currency",
+        "'500000' AS amount", "IF(id % 2 = 0, 'TRANSFER', 'TOPUP') AS transactionType", "'' AS note",
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    others = spark.range(0, 20_000).selectExpr(
+        "concat('x', id)", "'N'", "IF(id % 2 = 0, 'BCA', 'BRI')", "CASE id % 3 WHEN 0 THEN 'blocked' WHEN 1 THEN 'ACTIVE' END"
+    )
+    accounts = references.accounts.union(others)
+    found = []
+    for by_line in (False, True):
+        own = References(references.banks, references.limits, accounts, by_line)
+        looked_up = look_up(cleanse(spark.read.parquet(str(tmp_path / "rows"))), own)
+        found.append(sorted(map(str, looked_up.collect())))
+    assert found[0] == found[1] and len(found[0]) == 30_000
+    narrow = looked_up.select("referenceId", "source_status", "beneficiary_status")
+    narrow.collect()
+    plan = plan_of(narrow).split("Initial Plan")[0]
+    assert plan.count("SortMergeJoin") == 2 and "SortMergeJoin(skew=true)" in plan
