@@ -224,7 +224,7 @@ class LibraryEncoder:
 
     def __init__(self, path: str, room: int = _ROOM):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self._model, self._written = self.tokenizer.model.tokenize, _byte_characters()
         self._pieces = _Remembered(self._piece, room // 4)
         self._known = _Remembered(self._chunk, room - room // 4)
@@ -255,6 +255,11 @@ class LibraryEncoder:
         return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+@cache
+def _tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
 @cache
 def _splits_at_bytes(path: str) -> bool:
     """Whether a tokenizer's file splits texts by the common byte-level pattern and changes them in no other way."""

@@ -16,6 +16,7 @@ from ledgersieve.llm.wavelet import LibraryEncoder, Shard, pack_shard, read_shar
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 LIBRARY = public_tokenizers.path("byte_bpe_50k.json")
+KNOWN = Tokenizer.from_file(LIBRARY)
 TEXTS = [
     None, "", " ", "\n\n  a  b \t c ", "the the The", "don't we'll it's", "a" * 3000, " " * 500, "12345 678", "日本語 é ü ß 😀",
     "x\x1c y\x85 z\xa0w", "<|endoftext|> a <|endoftext|>", "word " * 20_000,
@@ -73,7 +74,7 @@ def test_shard_answers_as_the_array_does(size, kinds):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(chunky, max_size=4), st.booleans())
 def test_chunks_are_encoded_as_whole_texts(texts, special):
-    library, known = LibraryEncoder(LIBRARY, room=4_000), Tokenizer.from_file(LIBRARY)
+    library, known = LibraryEncoder(LIBRARY, room=4_000), KNOWN
     texts = [t + "<|endoftext|>" + t for t in texts] if special else texts
     for text, ids in zip(texts, library.encode(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == known.encode(text, add_special_tokens=False).ids
@@ -96,7 +97,7 @@ def test_shards_hold_all_documents_in_order(spark, docs_of):
 
 
 def test_chunks_of_words_marks_and_lines_are_encoded_as_whole_texts():
-    rng, library, known = random.Random(9), LibraryEncoder(LIBRARY, room=20_000), Tokenizer.from_file(LIBRARY)
+    rng, library, known = random.Random(9), LibraryEncoder(LIBRARY, room=20_000), KNOWN
     pieces = ["word", "Été", "x", ".", "...", "$$", "<|", "|>", "<|endoftext|>", "endoftext", "\n", "\n\n", "\t", "'s", "'", "9", "é\u0301", "\xa0", "W" * 100, "_", "~`"]
     texts = [" ".join("".join(rng.choices(pieces, k=rng.randint(1, 6))) for _ in range(rng.randint(1, 8))) for _ in range(3_000)]
     found = library.encode(texts)
