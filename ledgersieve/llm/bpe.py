@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from .texts import slices, space_chunks
 
 _REMEMBERED = 300_000
+#: Longer pieces and chunks are not remembered, so that what is stays within some 100 MB.
+_LONGEST = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -72,9 +74,11 @@ class RankEncoder:
         for piece in self.pieces.findall(chunk):
             ids = known.get(piece)
             if ids is None:
-                if len(known) >= _REMEMBERED:
-                    known.clear()
-                ids = known[piece] = np.array(self.encode_piece(piece.encode()), dtype="<u4").tobytes()
+                ids = np.array(self.encode_piece(piece.encode()), dtype="<u4").tobytes()
+                if len(piece) <= _LONGEST:
+                    if len(known) >= _REMEMBERED:
+                        known.clear()
+                    known[piece] = ids
             found.append(ids)
         return b"".join(found)
 
@@ -162,9 +166,11 @@ class _Remembered(dict):
         self.get_ids = self.__getitem__
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        self[key] = value = self.function(key)
+        value = self.function(key)
+        if len(key) <= _LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
         return value
 
 

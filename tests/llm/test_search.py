@@ -1,10 +1,15 @@
 """Exact and approximate search against brute force."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 
 from ledgersieve.llm.ann import ListBlock, fit_lists, nearest_by_cosine
 from ledgersieve.llm.mtree import MTree, top_inner_products
+from ledgersieve.llm.queries import all_queries
+
+FOLDER = "/root/testdata/sf0.1"
 
 
 def frame(spark, rows, parts=4):
@@ -112,3 +117,20 @@ def test_scan_gives_up_dimensions():
         cosines[number] = -2
         hits += len({i for _, i in found} & set(np.argsort(-cosines, kind="stable")[:5].tolist()))
     assert hits >= 0.95 * 250 and block.read < 0.7 * 50 * 4000 * 64
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="the given tables are not here")
+def test_recall_on_the_given_vectors(spark):
+    found = {}
+    for r in all_queries()["op5_adaptive_scan"](spark, FOLDER).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()
+    usable = [(r.vec_id, r.embedding) for r in rows if r.embedding and all(x is not None and np.isfinite(x) for x in r.embedding) and any(r.embedding)]
+    ids, points = np.array([i for i, _ in usable]), np.array([v for _, v in usable])
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    hits = 0
+    for at in np.flatnonzero(ids % 50 == 0):
+        cosines = unit @ unit[at]
+        cosines[ids == ids[at]] = -2
+        hits += len(found[ids[at]] & set(ids[np.lexsort((ids, -cosines))[:5]].tolist()))
+    assert set(found) == set(ids[ids % 50 == 0].tolist()) and hits >= 0.9 * 5 * len(found)
