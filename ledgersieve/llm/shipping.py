@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,7 +19,9 @@ def ship_package(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
-    archive = Path(tempfile.mkdtemp(prefix="ledgersieve-")) / f"{_PACKAGE.name}.zip"
+    folder = Path(tempfile.mkdtemp(prefix="ledgersieve-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = folder / f"{_PACKAGE.name}.zip"
     with zipfile.ZipFile(archive, "w") as target:
         for file in sorted(_PACKAGE.rglob("*.py")):
             target.write(file, file.relative_to(_PACKAGE.parent))
