@@ -186,7 +186,7 @@ _PIECES = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+|[!-&(-/:-@\[-`{-~]+|\n")
 #: A chunk of such pieces only: a word and marks, and more of them on further lines.
 _PLAIN_CHUNK = re.compile(r"W+M*(?:\nW+M*)*".replace("W", "[A-Za-zÀ-ÖØ-öø-ɏ]").replace("M", r"[!-&(-/:-@\[-`{-~]")).fullmatch
 #: Bytes that a worker may spend on remembered chunks; longer chunks than this are not remembered.
-_ROOM, _LONGEST, _ENTRY = 256 << 20, 64, 200
+_ROOM, _LONGEST, _ENTRY = 176 << 20, 64, 200
 
 
 def _byte_characters() -> list[str]:
@@ -226,8 +226,8 @@ class LibraryEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         self.tokenizer = _tokenizer(path)
         self._model, self._written = self.tokenizer.model.tokenize, _byte_characters()
-        self._pieces = _Remembered(self._piece, room // 4)
-        self._known = _Remembered(self._chunk, room - room // 4)
+        self._pieces = _Remembered(self._piece, room // 8)
+        self._known = _Remembered(self._chunk, room - room // 8)
         self._plain = _splits_at_bytes(path)
 
     def encode(self, texts: list[str]) -> list[bytes]:
