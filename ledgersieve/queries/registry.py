@@ -28,11 +28,10 @@ from ..plans.outputs import part_files, read_both_outputs, read_results, select_
 from ..plans.validation import References, check_lines, look_up, transaction_rules, validate_transactions
 from ..session import new_work_dir, staged_table
 from ..sources.dimensions import (
-    duplicate_accounts, first_wins, seeded_accounts, seeded_banks, seeded_limits,
+    duplicate_accounts, first_wins, local_table, seeded_accounts, seeded_banks, seeded_limits,
 )
 from ..sources.generated import generate_transactions
 from ..sources.transactions import scan_transactions, with_line_id, write_transaction_files
-from ..sources.dimensions import local_table
 from ..streaming.block_run import resume_in_blocks, run_in_blocks
 from ..streaming.chunked_run import ChunkedRun
 from .given_tables import (
