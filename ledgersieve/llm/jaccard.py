@@ -34,6 +34,8 @@ SLICE_SHINGLES, BUCKET_ENTRIES = 1_000_000, 2_000_000
 #: Rows of a block that one task multiplies; larger blocks are dealt as pairs of parts.
 BLOCK_ROWS = 16_384
 _HUBS = 24
+#: Holders of shingles that are counted at once.
+_HELD = 4_000_000
 
 _PACKED = "bucket long, slice long, slots binary, owners binary, classes array<long>, sizes array<long>"
 
@@ -268,10 +270,12 @@ def overlap_labels(slots: list[np.ndarray], sizes: np.ndarray, percent: int) ->
     def multiply(row: int) -> None:
         done[row] = True
         columns = column[begins[row] : begins[row + 1]]
-        lists = [holders[starts[c] : starts[c + 1]] for c in columns[spread[columns] > 1].tolist()]
-        if not lists:
-            return
-        overlap = np.bincount(np.concatenate(lists), minlength=count)
+        columns = columns[spread[columns] > 1]
+        ends = np.cumsum(spread[columns])
+        overlap = np.zeros(count, np.int64)
+        for part in np.split(columns, np.searchsorted(ends, np.arange(_HELD, ends[-1], _HELD)) if len(ends) else []):
+            if len(part):
+                overlap += np.bincount(np.concatenate([holders[starts[c] : starts[c + 1]] for c in part.tolist()]), minlength=count)
         overlap[row] = 0
         size = sizes[row]
         # 100 * overlap >= percent * union, where the union is both sizes less the overlap.

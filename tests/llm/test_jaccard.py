@@ -73,7 +73,9 @@ def test_clashing_columns_are_ignored(spark):
     assert found(jaccard_components(docs.unionAll(docs))) == [(1, 2, 1)] * 2
 
 
-def test_product_of_a_block_against_all_pairs():
+@pytest.mark.parametrize("held", [4_000_000, 7])
+def test_product_of_a_block_against_all_pairs(held, monkeypatch):
+    monkeypatch.setattr("ledgersieve.llm.jaccard._HELD", held)
     rng = np.random.default_rng(1)
     for seed in range(30):
         size = rng.integers(2, 40)
