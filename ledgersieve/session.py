@@ -7,9 +7,13 @@ import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[str] = []
+#: Folders that a session was found to share with its executors.
+_seen: set[tuple[str, str]] = set()
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, **conf) -> SparkSession:
@@ -36,19 +40,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and staged tables: the session's own if it names one.
 
-    Only a local master may fall back to a temporary folder, since no other
-    machine has to read it.
+    Without one, a session whose tasks run in the driver's process takes a temporary folder, any other the
+    warehouse, which its executors share as well. A ``file:`` folder may be a mount that all machines have:
+    a small job finds out whether the driver sees what the executors write there, and raises if it does not.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="ledgersieve-")
-    if not context.master.startswith("local") and _scheme(context, folder) == "file":
-        raise ValueError(f"{folder} is local to each machine; set spark.checkpoint.dir to a shared folder")
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = named or _own_dir(spark)
+    if not _one_process(context) and _scheme(context, folder) == "file" and (context.applicationId, folder) not in _seen:
+        if not _is_shared(spark, folder):
+            raise ValueError(f"{folder} is local to each machine; set spark.checkpoint.dir to a folder all executors share")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
+    _seen.update((context.applicationId, known) for known in (folder, context.getCheckpointDir()))
     return folder.rstrip("/")
 
 
@@ -95,6 +99,29 @@ def _remove_at_exit() -> None:
             remove_work_dirs(session)
 
 
+def _own_dir(spark: SparkSession) -> str:
+    if _one_process(spark.sparkContext):
+        return tempfile.mkdtemp(prefix="ledgersieve-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ledgersieve-{uuid.uuid4().hex}"
+
+
+def _one_process(context) -> bool:
+    """Whether tasks run in the driver's process, not in executors with working folders of their own."""
+    return context.master.startswith("local") and not context.master.startswith("local-cluster")
+
+
+def _is_shared(spark: SparkSession, folder: str) -> bool:
+    """Whether the driver finds what tasks write to a folder, and tasks what other tasks have written."""
+    path, tasks = f"{folder.rstrip('/')}/shared-{uuid.uuid4().hex}", spark.sparkContext.defaultParallelism
+    try:
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        return spark.read.schema("id long").parquet(path).count() == tasks
+    except (PySparkException, Py4JJavaError):
+        return False
+    finally:
+        delete_path(spark, path)
+
+
 def _scheme(context, folder: str) -> str:
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(context._jsc.hadoopConfiguration()).getUri().getScheme()
