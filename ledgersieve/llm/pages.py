@@ -1,10 +1,11 @@
 """Main text of web pages: page structure, and differencing against the pages with the nearest URLs.
 
-Each page is cut into lines once. Menus, forms, scripts and the like are left out by their markup. Where a page
-has an article (or main) element, its lines are the text. Where it has none, differencing decides: within a host,
-pages are put in the order of their URL paths, and a page is paired with the nearest ones that are no copies of
-it, since a copy shares the article as well. The lines of both are aligned by longest common subsequence;
-shared lines are what the site repeats, so they go.
+Each page is cut into lines once. Menus, forms, scripts and the like are left out by their markup. Differencing
+then judges every page: within a host, pages are put in the order of their URL paths, and a page is paired with
+the nearest ones that are no copies of it, since a copy shares the article as well. The lines of both are aligned
+by longest common subsequence; shared lines are what the site repeats, so they go. A check by markup follows on
+pages that have an article (or main) element: shared lines inside it come back, since two articles may hold the
+same line, and lines outside it that the page alone has go.
 """
 
 from __future__ import annotations
@@ -219,46 +220,45 @@ def _common_start(one: str, other: str) -> int:
 _COPY_SHARE = 0.9
 #: Pages on each side among which those to compare with are chosen, and how many are.
 _REACH, _PAIRS = 8, 2
-_LINED = "id long, url string, host string, path string, main boolean, lines array<string>, digests array<long>"
+_LINED = "id long, hash long, url string, host string, path string, lines array<string>, inside array<boolean>, digests array<long>"
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
-    """id, url, host, path, whether the page has a main element, its lines (those of it, if so) and digests of all lines."""
+    """id, hash of the whole row, url, host, path, and of each line its text, whether it is inside a main element, and a digest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "html"):
                 places = [page_place(u) for u in rows.column("url").to_pylist()]
                 pages = [PageLines.of(html or "") for html in rows.column("html").to_pylist()]
-                main = [any(line.main for line in lines) for lines in pages]
-                texts = [[line.text for line in lines if line.main or not m] for lines, m in zip(pages, main, strict=True)]
+                texts = [[line.text for line in lines] for lines in pages]
+                inside = [[line.main for line in lines] for lines in pages]
                 digests = [[xxhash.xxh64_intdigest(line.text.encode("utf-8", "surrogatepass")) - (1 << 63) for line in lines] for lines in pages]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        rows.column("id"), rows.column("url"), pa.array([h for h, _ in places], pa.string()),
-                        pa.array([p for _, p in places], pa.string()), pa.array(main, pa.bool_()),
-                        pa.array(texts, pa.list_(pa.string())), pa.array(digests, pa.list_(pa.int64())),
+                        rows.column("id"), rows.column("hash"), rows.column("url"), pa.array([h for h, _ in places], pa.string()),
+                        pa.array([p for _, p in places], pa.string()), pa.array(texts, pa.list_(pa.string())),
+                        pa.array(inside, pa.list_(pa.bool_())), pa.array(digests, pa.list_(pa.int64())),
                     ],
-                    ["id", "url", "host", "path", "main", "lines", "digests"],
+                    ["id", "hash", "url", "host", "path", "lines", "inside", "digests"],
                 )
 
-    return pages.select(F.col("page_id").cast("long").alias("id"), "url", "html").mapInArrow(cut, _LINED)
+    keyed = pages.select(F.col("page_id").cast("long").alias("id"), F.xxhash64("page_id", "url", "html").alias("hash"), "url", "html")
+    return keyed.mapInArrow(cut, _LINED)
 
 
 def repeated_lines(lined: DataFrame, chunk_pages: int = 2_000) -> DataFrame:
-    """For each page without a main element, the numbers of the lines it shares with pages of near URLs: row, shared.
+    """For each page that has a host, the numbers of the lines it shares with pages of near URLs: id, hash, shared.
 
-    ``lined`` is a stored frame of ``page_lines`` with ``row``, a number of its own for each. Pages of hosts
-    that have such pages get their place in the order of host, path and row by a range sort; a chunk of
-    consecutive pages is compared in one task together with some before and after it, so that a host of
-    any size is spread and every page has all its neighbours.
+    ``lined`` is a frame of ``page_lines``; repeated rows are one page. Pages get their place in the order of
+    host, path, id and hash by a range sort; a chunk of consecutive pages is compared in one task together with
+    some before and after it, so that a host of any size is spread and every page has all its neighbours.
     """
-    hosts = lined.filter("NOT main AND host IS NOT NULL").select("host").distinct()
-    lengths = F.transform("lines", lambda line: F.length(line)).alias("lengths")
     # Texts stay where they are: only digests and lengths are shuffled.
-    narrow = lined.select("row", "host", "path", "main", "digests", F.when(~F.col("main"), lengths).alias("lengths"))
-    narrow = narrow.join(hosts, "host", "left_semi")
-    order = ["host", "path", "row"]
+    lengths = F.transform("lines", lambda line: F.length(line)).alias("lengths")
+    narrow = stored(lined.filter("host IS NOT NULL").select("id", "hash", "host", "path", "digests", lengths), "page_lines")
+    narrow = narrow.dropDuplicates(["id", "hash"])
+    order = ["host", "path", "id", "hash"]
     ranged = stored(
         narrow.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "pages"
     ).withColumn("part", F.shiftright("at", 33))
@@ -271,7 +271,7 @@ def repeated_lines(lined: DataFrame, chunk_pages: int = 2_000) -> DataFrame:
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("number", ignore_index=True)
         hosts, paths, lines = rows["host"].tolist(), rows["path"].tolist(), [x.tolist() for x in rows["digests"]]
-        own = np.flatnonzero((rows["number"] // chunk_pages == key[0]) & ~rows["main"])
+        own = np.flatnonzero(rows["number"] // chunk_pages == key[0])
         shared = []
         for at in own:
             near = [
@@ -280,9 +280,9 @@ def repeated_lines(lined: DataFrame, chunk_pages: int = 2_000) -> DataFrame:
                 if other != at and hosts[other] == hosts[at]
             ]
             shared.append(lines_to_drop(lines[at], rows["lengths"].iloc[at], (lines[other] for _, _, other in sorted(near))))
-        return pd.DataFrame({"row": rows["row"].iloc[own], "shared": pd.Series(shared, dtype=object).array})
+        return pd.DataFrame({"id": rows["id"].iloc[own], "hash": rows["hash"].iloc[own], "shared": pd.Series(shared, dtype=object).array})
 
-    return chunked.groupBy("chunk").applyInPandas(compare, "row long, shared array<int>")
+    return chunked.groupBy("chunk").applyInPandas(compare, "id long, hash long, shared array<int>")
 
 
 def lines_to_drop(own: list[int], lengths: list[int], others: Iterator[list[int]]) -> list[int]:
@@ -305,17 +305,22 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
     ``pages`` needs page_id, url and html; further columns are ignored. White space inside a block
     becomes one space, and blocks are joined by one space. A null or empty page has an empty text; a
-    page that is cut off counts as far as it goes. Pages without a main element lose the lines they share
-    with the two nearest pages of their host that are no copies: a page that shares nine tenths of the
-    text is one. Pages with a null or broken URL have no pair, so only their markup is judged, and so have
-    those that have only copies near them. Repeated rows come back as often as given.
+    page that is cut off counts as far as it goes. Pages lose the lines they share with the two nearest
+    pages of their host that are no copies: a page that shares nine tenths of the text is one. On pages with a
+    main element its shared lines come back, and other lines outside it go. Pages with a null or broken URL
+    have no pair, so only their markup is judged, and so have those that have only copies near them. Repeated
+    rows come back as often as given.
     """
-    lined = stored(page_lines(pages).withColumn("row", F.monotonically_increasing_id()), "page_lines")
-    shared = repeated_lines(lined)
-    text = lambda lines: F.array_join(lines, " ").alias("text")
-    whole = lined.filter("main").select("id", "url", text("lines"))
-    kept = F.when(F.col("shared").isNull(), F.col("lines")).otherwise(
-        F.filter("lines", lambda line, number: ~F.array_contains(F.col("shared"), number))
-    )
-    cleared = lined.filter("NOT main").join(shared, "row", "left").select("id", "url", text(kept))
-    return whole.unionByName(cleared).select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+    # Pages are parsed once for the digests and once for the texts: storing the texts in between takes more disk than the input has.
+    lined = page_lines(pages)
+    shared = repeated_lines(lined).select(F.col("id").alias("of"), F.col("hash").alias("of_hash"), "shared")
+    marked = F.array_contains("inside", True)
+
+    def kept(_, number):
+        own = ~F.coalesce(F.array_contains("shared", number), F.lit(False))
+        inside = F.get("inside", number)
+        return (own | inside) & (inside | ~marked)
+
+    judged = lined.select("id", "hash", "url", "lines", "inside").join(shared, F.col("id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash")), "left")
+    text = F.array_join(F.filter("lines", kept), " ").alias("text")
+    return judged.select(F.col("id").alias("page_id"), "url", text).withColumn("n_chars", F.length("text").cast("long"))

@@ -12,7 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgersieve.llm.licenses import TEMPLATES, LicenseMatcher, candidate_blocks, scan_licenses
-from ledgersieve.llm.pages import PageLines, extract_main_text, lines_to_drop, page_place, shared_lines
+from ledgersieve.llm.pages import (
+    PageLines, extract_main_text, lines_to_drop, page_lines, page_place, repeated_lines, shared_lines,
+)
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -260,3 +262,14 @@ def test_differencing_and_markup_together(spark):
     assert all(found[400 + i] == [("a copied article " * 60).strip()] for i in range(4))
     assert all(found[410 + i] == [(f"another text {i} " * 60).strip()] for i in range(2))
     assert extract_main_text(pages.filter("false")).collect() == []
+
+
+def test_differencing_judges_pages_with_an_article_too(spark):
+    page = "<div>{0} list</div><article><p>Same opening.</p><p>Body {0} of its own.</p></article><div>One frame</div>"
+    rows = [(n, f"https://a.example/news/{n}", page.format(n)) for n in range(4)]
+    pages = spark.createDataFrame([*rows, rows[0]], "page_id long, url string, html string")
+    found = repeated_lines(page_lines(pages)).collect()
+    assert sorted((r.id, tuple(r.shared)) for r in found) == [(n, (1, 3)) for n in range(4)]
+    # The check by markup follows: a line that two articles share is text, one outside an article is none.
+    texts = sorted((r.page_id, r.text) for r in extract_main_text(pages).collect())
+    assert texts == sorted((n, f"Same opening. Body {n} of its own.") for n in (0, 0, 1, 2, 3))
