@@ -240,15 +240,16 @@ QUANTILES = (0.99, 0.98, 0.97, 0.96, 0.95)
 _LEAST_LOW = 20
 
 
-def classify_quality(
-    docs: DataFrame, labels: DataFrame, quantiles: tuple[float, ...] = QUANTILES, train_docs: int = 8_192
-) -> DataFrame:
+#: Ids of training documents that are sent to every task; more are joined by a shuffle.
+_SENT_IDS = 1_000_000
+
+
+def classify_quality(docs: DataFrame, labels: DataFrame, quantiles: tuple[float, ...] = QUANTILES) -> DataFrame:
     """Perplexity of every document, and whether to keep it.
 
     ``docs`` needs doc_id, text and lang; ``labels`` has doc_id and quality (1: trusted, 0: low). The
-    model is fitted on at most ``train_docs`` trusted documents out of one half of them by hash. The
-    other half and the low ones set the thresholds: of the ``quantiles`` of trusted perplexities, each
-    language takes the one with the largest share of trusted text kept less the share of low text kept,
+    model is fitted on all documents of one half of the trusted ones, taken by hash. The other half and the
+    low ones set the thresholds: of the ``quantiles`` of trusted perplexities, each language takes the one with the largest share of trusted text kept less the share of low text kept,
     the looser of equal ones. A quantile q needs 1 / (1 - q) trusted texts; a language with too few for
     any takes the threshold of all languages, one with few low texts the quantile of all. A document is
     kept if its perplexity is not above the threshold.
@@ -261,9 +262,8 @@ def classify_quality(
     """
     docs = docs.select("doc_id", "text", "lang")
     trusted = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id")).distinct()
-    trusted = trusted.withColumn("draw", F.xxhash64("id"))
-    chosen = trusted.filter("draw % 2 = 0").orderBy("draw", "id").limit(train_docs).select("id")
-    fit_on = docs.join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("id"), "left_semi")
+    chosen = stored(trusted.filter("xxhash64(id) % 2 = 0"), "trained")
+    fit_on = docs.join(F.broadcast(chosen) if chosen.count() <= _SENT_IDS else chosen, F.col("doc_id").cast("long") == F.col("id"), "left_semi")
     model = stored(kneser_ney(stored(count_grams(fit_on), "grams")), "model")
     scores = stored(
         perplexities(docs, model).withColumn("perplexity", F.when(F.col("n") > 0, F.exp(-F.col("log_sum") / F.col("n")))),

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from ledgersieve.llm import quality
 from ledgersieve.llm.quality import ORDER, classify_quality, count_grams, kneser_ney, perplexities
 
 START = "\x02" * (ORDER - 1)
@@ -117,3 +118,22 @@ def test_thresholds_reject_low_text_near_the_trusted(spark, docs_of):
     fine = [i for i in judged if not low(i) and i % 60 != 15]
     assert sum(found[i].keep for i in fine) >= 0.93 * len(fine)
     assert found[3001].threshold == found[4000].threshold  # too few texts for a quantile of its own
+
+
+def test_model_counts_all_trusted_documents_of_its_half(spark, monkeypatch):
+    n, counted = 18_000, []
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+
+    def count(texts):
+        counted.append(texts.count())
+        return count_grams(texts)
+
+    monkeypatch.setattr("ledgersieve.llm.quality.count_grams", count)
+    most = [quality._SENT_IDS, 10]  # beyond as many, ids are joined by a shuffle
+    for limit in most:
+        monkeypatch.setattr(quality, "_SENT_IDS", limit)
+        classify_quality(docs, labels)
+    half = docs.filter("xxhash64(doc_id) % 2 = 0").count()
+    assert half > 8_192
+    assert counted == [half, half]
