@@ -19,17 +19,18 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from .texts import slices, space_chunks, stored
+from .texts import slices, stored
 
 _HEAD = struct.Struct("<4sIQII")
 _BLOCK = 512
@@ -141,9 +142,9 @@ class Shard:
         above = np.empty_like(order)
         for zeros, _, bits in reversed(self.planes):
             ones = np.unpackbits(bits, count=self.size, bitorder="little").view(bool)
-            above[ones] = order[zeros:]
+            above[np.flatnonzero(ones)] = order[zeros:]
             np.logical_not(ones, out=ones)
-            above[ones] = order[:zeros]
+            above[np.flatnonzero(ones)] = order[:zeros]
             order, above = above, order
         return order
 
@@ -185,6 +186,13 @@ class Shard:
 _PIECES = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+|[!-&(-/:-@\[-`{-~]+|\n")
 #: A chunk of such pieces only: a word and marks, and more of them on further lines.
 _PLAIN_CHUNK = re.compile(r"W+M*(?:\nW+M*)*".replace("W", "[A-Za-zÀ-ÖØ-öø-ɏ]").replace("M", r"[!-&(-/:-@\[-`{-~]")).fullmatch
+#: The same, as Arrow takes it apart.
+_PLAIN_PARTS = r"^(?P<word>W+)(?P<marks>M*)(?P<lines>(?:\nW+M*)*)$".replace("W", "[A-Za-zÀ-ÖØ-öø-ɏ]").replace("M", r"[!-&(-/:-@\[-`{-~]")
+_SPACE_AFTER_OTHERS = re.compile(r"(?<=\S) ")
+#: All characters of white space.
+_WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+#: Bytes of text whose chunks are told apart in one step.
+_STEP = 4 << 20
 #: Bytes that a worker may spend on remembered chunks; longer chunks than this are not remembered.
 _ROOM, _LONGEST, _ENTRY = 176 << 20, 64, 200
 
@@ -217,44 +225,106 @@ class _Remembered(dict):
 class LibraryEncoder:
     """The tokenizers library, asked once for each chunk of text that recurs.
 
-    With a file whose splitting of texts is the common byte-level one, a chunk whose pieces are matches of
-    its pattern goes to the library's model at once, piece by piece, without that splitting. All other
-    chunks, and with any other file whole texts, go through the whole library.
+    With a file whose splitting of texts is the common byte-level one, texts are cut before spaces. Arrow
+    tells the different chunks of a batch apart, and the different words of those, so that each is looked
+    up once a batch, and lays out their ids in text order. A chunk whose pieces are matches of the file's
+    pattern goes to the library's model at once, piece by piece, without that splitting. All other chunks,
+    and with any other file whole texts, go through the whole library.
     """
 
     def __init__(self, path: str, room: int = _ROOM):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         self.tokenizer = _tokenizer(path)
-        self._model, self._written = self.tokenizer.model.tokenize, _byte_characters()
+        self._model, self._written = self.tokenizer.model.tokenize, dict(enumerate(_byte_characters()))
+        self._words = _Remembered(lambda word: self._piece(" " + word), room * 5 // 8)
         self._pieces = _Remembered(self._piece, room // 8)
-        self._known = _Remembered(self._chunk, room - room // 8)
+        self._lines = _Remembered(self._pieces_of, room // 8)
+        self._others = _Remembered(lambda chunk: self._ids([" " + chunk])[0], room // 8)
         self._plain = _splits_at_bytes(path)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of whole texts, each as four little-endian bytes."""
-        if not self._plain:
-            return self._ids(texts)
-        split = [space_chunks(text) for text in texts]
-        starts = self._ids([text if chunks is None else chunks[0] for text, chunks in zip(texts, split, strict=True)])
-        known = self._known.__getitem__
-        return [start + b"".join(map(known, (chunks or ())[1:])) for start, chunks in zip(starts, split, strict=True)]
-
-    def _chunk(self, chunk: str) -> bytes:
-        """The ids of a chunk after a space."""
-        if _PLAIN_CHUNK(chunk) is None:
-            return self._ids([" " + chunk])[0]
-        first, *others = _PIECES.findall(chunk)
-        ids = self._pieces[" " + first]
-        return ids + b"".join([self._pieces[piece] for piece in others]) if others else ids
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """The ids of whole texts, each as four little-endian bytes; a null is an empty text."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not self._plain or not len(texts):
+            return self._whole(texts)
+        chunks = _space_chunks(texts)
+        bounds, coded = chunks.offsets.to_numpy(), chunks.flatten().dictionary_encode()
+        codes, different, first = coded.indices.to_numpy(), coded.dictionary, bounds[:-1]
+        later = np.ones(len(codes), dtype=bool)
+        later[first] = False
+        heads = self._whole(different.take(pa.array(codes[first])))
+        # Ids of the first chunk of each text, then of the different chunks after spaces.
+        used = np.flatnonzero(np.bincount(codes[later], minlength=len(different)))
+        pool = pa.concat_arrays([_binary(heads), self._chunks(different.take(pa.array(used)))])
+        place = np.zeros(len(different), dtype=np.int32)
+        place[used] = np.arange(len(heads), len(pool))
+        places = place[codes]
+        places[first] = np.arange(len(heads))
+        laid = pool.take(pa.array(places))
+        ends = np.frombuffer(laid.buffers()[1], dtype=np.int64)[bounds].tolist()
+        ids = memoryview(laid.buffers()[2] or b"")
+        return [bytes(ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def _chunks(self, chunks: pa.Array) -> pa.Array:
+        """The ids of chunks after a space."""
+        parts = pc.extract_regex(chunks, _PLAIN_PARTS)
+        known = (("word", self._words), ("marks", self._pieces), ("lines", self._lines))
+        ids = [_looked_up(remembered, pc.struct_field(parts, name).dictionary_encode()) for name, remembered in known]
+        joined = pc.binary_join_element_wise(*ids, pa.scalar(b"", pa.large_binary()))
+        others = joined.is_null()
+        return pc.replace_with_mask(joined, others, _binary(map(self._others.__getitem__, _strings(chunks.filter(others)))))
+
+    def _pieces_of(self, lines: str) -> bytes:
+        return b"".join([self._pieces[piece] for piece in _PIECES.findall(lines)])
 
     def _piece(self, piece: str) -> bytes:
-        written = "".join([self._written[b] for b in piece.encode()])
+        written = piece.encode().decode("latin-1").translate(self._written)
         return array("I", [token.id for token in self._model(written)]).tobytes()
 
+    def _whole(self, texts: pa.Array) -> list[bytes]:
+        """The ids of texts by the whole library, some at a time, since its results take much room."""
+        batch = pa.record_batch([texts], ["text"])
+        return [ids for rows in slices(batch, "text") for ids in self._ids(_strings(rows.column("text")))]
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def _space_chunks(texts: pa.Array) -> pa.ListArray:
+    """Texts cut before every space that follows something that is no white space.
+
+    The pattern never lets a token run from other characters into a space, so such chunks can be encoded
+    alone. All but the first chunk begin with a space, which is left out. Texts with white space before
+    a space, where the pattern looks across a cut at every space, are cut again.
+    """
+    chunks = pc.split_pattern(texts, " ")
+    bounds, parts = chunks.offsets.to_numpy(), chunks.flatten()
+    length, bare = (pc.binary_length(x).to_numpy() for x in (parts, pc.utf8_rtrim(parts, _WHITE)))
+    blank = (length == 0) | (bare < length)
+    blank[bounds[1:] - 1] = False  # no cut follows
+    blank[bounds[:-1]] &= length[bounds[:-1]] > 0  # nothing comes before a cut at the very start
+    again = np.unique(np.searchsorted(bounds, np.flatnonzero(blank), side="right") - 1)
+    if not len(again):
+        return chunks
+    cut = pa.array([_SPACE_AFTER_OTHERS.split(text) for text in _strings(texts.take(pa.array(again)))], chunks.type)
+    rows = np.arange(len(texts))
+    rows[again] = np.arange(len(texts), len(texts) + len(again))
+    return pa.concat_arrays([chunks, cut]).take(pa.array(rows))
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
+
+
+def _binary(values: Iterable[bytes]) -> pa.Array:
+    return pa.array(list(values), pa.large_binary())
+
+
+def _looked_up(known: _Remembered, texts: pa.DictionaryArray) -> pa.Array:
+    """What is known for each text, null for null."""
+    return _binary(map(known.__getitem__, _strings(texts.dictionary))).take(texts.indices)
+
+
 @cache
 def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
@@ -309,8 +379,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: i
             )
 
         for batch in batches:
-            for rows in slices(batch, "text"):
-                encoded = encoder.encode([text or "" for text in rows.column("text").to_pylist()])
+            for rows in slices(batch, "text", _STEP):
+                encoded = encoder.encode(rows.column("text"))
                 for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encoded, strict=True):
                     held.append(ids + end)
                     names.append(doc_id)

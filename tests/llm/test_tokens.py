@@ -6,13 +6,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from ledgersieve.llm.bpe import encode_documents, rank_encoder
-from ledgersieve.llm.wavelet import LibraryEncoder, Shard, pack_shard, read_shards, write_shards
+from ledgersieve.llm.wavelet import LibraryEncoder, Shard, _Remembered, pack_shard, read_shards, write_shards
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 LIBRARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -105,6 +106,34 @@ def test_chunks_of_words_marks_and_lines_are_encoded_as_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == known.encode(text, add_special_tokens=False).ids
 
 
+def test_a_word_is_looked_up_once_a_batch(monkeypatch):
+    asked = []
+    monkeypatch.setattr(_Remembered, "__getitem__", lambda known, text: asked.append(text) or dict.__getitem__(known, text), raising=False)
+    texts = ["One word, the word. The wörd!\nand a word " * 500] * 4
+    assert _numbers(LibraryEncoder(LIBRARY).encode(texts)) == [KNOWN.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) < 30
+
+
+def test_texts_with_wide_spaces_are_cut_too(monkeypatch):
+    library, asked = LibraryEncoder(LIBRARY), []
+    whole = library._ids
+    monkeypatch.setattr(library, "_ids", lambda texts: asked.extend(texts) or whole(texts))
+    texts = ["  if  word:\n    other(word)  # 9 words\x1c \xa0 \n\n  a " * 500, "a  b", "a b", " "]
+    assert _numbers(library.encode(texts)) == [KNOWN.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(map(len, asked)) < 30
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_columns_of_texts_are_encoded_as_they_come(kind):
+    column = pa.array(["left out", *TEXTS, "left out"], kind).slice(1, len(TEXTS))
+    wanted = [KNOWN.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
+    assert _numbers(LibraryEncoder(LIBRARY).encode(column)) == wanted
+
+
+def _numbers(encoded):
+    return [np.frombuffer(ids, "<u4").tolist() for ids in encoded]
+
+
 def test_other_files_are_left_to_the_library(tmp_path):
     """A file with another way of splitting, one that changes texts, and one with a token like a word."""
     text = "The word, the Word.\nWORD endoftext word"
